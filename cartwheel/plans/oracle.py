@@ -51,11 +51,14 @@ orders_made AS (
   WHERE c.event_type = 'checkout_step')
 """
 
-_AVG_ORDER = """
-  CASE WHEN count({v}) = 0 THEN 0.0
-    WHEN abs(round(sum({v}), 2) * 10 - round(round(sum({v}), 2) * 10)) < 1e-6
-      AND abs(sum({v})) < 1e7 THEN round_even(CAST(round(sum({v}), 2) / count({v}) AS DOUBLE), 1)
-    ELSE round_even(CAST(round(sum({v}), 2) / count({v}) AS DOUBLE), 2) END"""
+def _avg_order(source: str, *keys: str) -> str:
+    """Half-even mean of ``cents`` over ``n`` in whole numbers; whole tenths give one decimal."""
+    return f"""
+SELECT {", ".join(keys)}, CASE WHEN n = 0 THEN 0.0
+  ELSE (a // n + CASE WHEN 2 * (a % n) > n OR (2 * (a % n) = n AND (a // n) % 2 = 1) THEN 1 ELSE 0 END) * unit / 100.0
+  END AS avg_order_value
+FROM (SELECT *, cents // unit AS a FROM (
+  SELECT *, CASE WHEN cents % 10 = 0 AND cents < 1000000000 THEN 10 ELSE 1 END AS unit FROM {source}))"""
 
 
 def _as_of(branch: str, body: str) -> str:
@@ -96,9 +99,12 @@ SELECT x.user_id, x.event_id, x.ts, s.window_size, count(o.order_id) AS orders_c
 FROM purchase x CROSS JOIN sizes s
 LEFT JOIN orders_made o ON o.user_id = x.user_id AND o.cart_ts >= x.ts - s.span AND o.order_ts <= x.ts
 GROUP BY x.user_id, x.event_id, x.ts, s.window_size""",
-    "avg_order_value": f"""{SHOP}
-SELECT x.user_id, x.event_id, x.ts, s.window_size, {_AVG_ORDER.format(v="o.order_value")} AS avg_order_value
-FROM purchase x CROSS JOIN sizes s
-LEFT JOIN orders_made o ON o.user_id = x.user_id AND o.cart_ts >= x.ts - s.span AND o.order_ts <= x.ts
-GROUP BY x.user_id, x.event_id, x.ts, s.window_size""",
+    "avg_order_value": f"""{SHOP},
+totals AS (
+  SELECT x.user_id, x.event_id, x.ts, s.window_size, count(o.order_id) AS n,
+    CAST(round(coalesce(sum(o.order_value), 0) * 100) AS BIGINT) AS cents
+  FROM purchase x CROSS JOIN sizes s
+  LEFT JOIN orders_made o ON o.user_id = x.user_id AND o.cart_ts >= x.ts - s.span AND o.order_ts <= x.ts
+  GROUP BY x.user_id, x.event_id, x.ts, s.window_size)
+{_avg_order("totals", "user_id", "event_id", "ts", "window_size")}""",
 }
