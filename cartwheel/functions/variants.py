@@ -9,6 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parsed_once(**columns: Column) -> Column:
+    """A generator giving one row of ``columns``.
+
+    Filters on what is read from them stay above it; pushed below, they would parse the text again for
+    every field they mention.
+    """
+    return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+
+
 def get(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schema
 from cartwheel.functions.useragent import user_agent
-from cartwheel.functions.variants import get, is_number, is_text, number, present, text, text_or_empty
+from cartwheel.functions.variants import get, is_number, is_text, number, parsed_once, present, text, text_or_empty
 
 AMOUNT_LIMIT = 1e15
 """Amounts are summed as decimals with room for twelve places; larger ones make a bad row."""
@@ -21,7 +21,7 @@ MARKETING_FIELDS = ("campaign", "source", "medium", "term", "content")
 def parse_events(raw: DataFrame) -> DataFrame:
     """Canonical columns plus ``value`` and ``parse_error`` (null for good rows)."""
     v = F.col("v")
-    parsed = raw.select("value", F.try_parse_json("value").alias("v"))
+    parsed = raw.select("value", parsed_once(v=F.try_parse_json("value")))
     picked = parsed.select(
         "value",
         v.isNull().alias("_malformed"),

@@ -17,6 +17,7 @@ from cartwheel.functions.variants import (
     if_truthy,
     null_value,
     object_of,
+    parsed_once,
     text,
     truthy,
 )
@@ -60,16 +61,13 @@ DEVICE_FIELDS = {
 
 def reshape(raw: DataFrame, full: bool = True) -> DataFrame:
     """``value`` in, ``value`` out. ``full=False`` leaves out the blocks the feature job never reads."""
-    parsed = raw.select(
-        F.try_parse_json("value").alias("v"),
-        F.map_filter(
-            F.from_json("value", "map<string,variant>"),
-            lambda k, _: k.startswith(MARKETING_START)
-            | k.startswith(CONTEXT_START)
-            | (k.startswith(ACTION_START) & k.endswith(ACTION_END)),
-        ).alias("m"),
-        "value",
+    named = F.map_filter(
+        F.from_json("value", "map<string,variant>"),
+        lambda k, _: k.startswith(MARKETING_START)
+        | k.startswith(CONTEXT_START)
+        | (k.startswith(ACTION_START) & k.endswith(ACTION_END)),
     )
+    parsed = raw.select("value", parsed_once(v=F.try_parse_json("value"), m=named))
     contexts = parsed.select(
         "v",
         "value",

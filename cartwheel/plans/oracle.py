@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-SIZES = {"1d": 1, "3d": 3, "7d": 7}
-
 SHOP = """
 WITH ev AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -108,3 +106,255 @@ totals AS (
   GROUP BY x.user_id, x.event_id, x.ts, s.window_size)
 {_avg_order("totals", "user_id", "event_id", "ts", "window_size")}""",
 }
+
+GRID = f"""{SHOP},
+steps_ahead AS (SELECT window_size, span, unnest(range(1, CAST(epoch(span) / 21600 AS BIGINT) + 1)) AS i FROM sizes)
+"""
+
+
+def _emits(branch: str, name: str) -> str:
+    """The branch's events, each at every emit time whose window holds it."""
+    return f"""{name} AS (
+  SELECT x.*, s.window_size, time_bucket(INTERVAL 6 HOUR, x.ts) + s.i * INTERVAL 6 HOUR AS emit_ts
+  FROM {branch} x CROSS JOIN steps_ahead s)"""
+
+
+PRODUCT_ITEMS = f"""{GRID}, {_emits("product", "pe")},
+pitems AS (
+  SELECT user_id, emit_ts, window_size, product_id, count(*) AS n, arg_min(product_price, (ts, event_id)) AS first_price,
+    min(product_price) AS low, max(product_price) AS high
+  FROM pe GROUP BY ALL),
+pfeat AS (
+  SELECT user_id, emit_ts, window_size, count(*) AS unique_product_count, avg(first_price) AS average_price,
+    min(low) AS min_price, max(high) AS max_price, count(*) AS viewed, CAST(sum(n) AS BIGINT) AS view_count,
+    '{{' || string_agg(product_id || '=' || n, ', ' ORDER BY product_id) || '}}' AS views
+  FROM pitems GROUP BY user_id, emit_ts, window_size)"""
+
+CATEGORY_ITEMS = f"""{_emits("category", "ce")},
+citems AS (SELECT user_id, emit_ts, window_size, category, count(*) AS n FROM ce GROUP BY ALL),
+cfeat AS (
+  SELECT user_id, emit_ts, window_size, count(*) AS unique_category_count,
+    arg_min(category, (-n, category)) AS most_viewed_category,
+    '{{' || string_agg(category || '=' || n, ', ' ORDER BY category) || '}}' AS views
+  FROM citems GROUP BY user_id, emit_ts, window_size)"""
+
+CART_ITEMS = f"""{_emits("cart", "ke")},
+kfeat AS (
+  SELECT user_id, emit_ts, window_size, count(*) FILTER (WHERE event_type = 'add_to_cart') AS adds,
+    count(*) FILTER (WHERE event_type = 'remove_from_cart') AS removes, count(*) AS update_frequency,
+    round(arg_max(cart_value, (ts, event_id)), 6) AS cart_value
+  FROM ke GROUP BY user_id, emit_ts, window_size),
+kzero AS (
+  SELECT * FROM kfeat UNION ALL
+  SELECT a.user_id, a.emit_ts + INTERVAL 6 HOUR, a.window_size, 0, 0, 0, NULL FROM kfeat a
+  WHERE NOT EXISTS (SELECT 1 FROM kfeat b WHERE b.user_id = a.user_id AND b.window_size = a.window_size
+    AND b.emit_ts = a.emit_ts + INTERVAL 6 HOUR))"""
+
+PURCHASE_ITEMS = f"""{_emits("purchase", "ue")},
+times AS (SELECT DISTINCT user_id, emit_ts, window_size FROM ue),
+utotals AS (
+  SELECT t.user_id, t.emit_ts, t.window_size, count(o.order_id) AS n, coalesce(sum(o.order_value), 0) AS total,
+    CAST(round(coalesce(sum(o.order_value), 0) * 100) AS BIGINT) AS cents
+  FROM times t JOIN sizes s USING (window_size)
+  LEFT JOIN orders_made o ON o.user_id = t.user_id AND o.cart_ts >= t.emit_ts - s.span AND o.order_ts < t.emit_ts
+  GROUP BY t.user_id, t.emit_ts, t.window_size),
+uavg AS ({_avg_order("utotals", "user_id", "emit_ts", "window_size", "n AS orders_count", "round(total, 6) AS order_value")})"""
+
+SESSIONS = """
+srow AS (
+  SELECT *, event_type = 'page_view' AND coalesce(contains(page_url, '/search?q='), false) AS searched,
+    CASE WHEN ts - lag(ts) OVER w > INTERVAL 12 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM shop WHERE event_type IN ('page_view', 'product_view', 'add_to_cart', 'remove_from_cart')
+  WINDOW w AS (PARTITION BY session_id ORDER BY ts)),
+sev AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts) AS session_no FROM srow),
+sess AS (
+  SELECT session_id, session_no, min(ts) AS session_start, max(ts) AS last_ts, max(ts) + INTERVAL 12 HOUR AS close_ts,
+    arg_max(user_id, ts) AS user_id, count(*) FILTER (WHERE event_type = 'page_view') AS page_views,
+    count(*) FILTER (WHERE searched) AS searches, count(*) FILTER (WHERE event_type = 'product_view') AS product_views,
+    count(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_adds,
+    arg_min(campaign, ts) FILTER (WHERE has_marketing) AS campaign, arg_max(platform, ts) AS latest_platform
+  FROM sev GROUP BY session_id, session_no),
+sdev AS (
+  SELECT session_id, session_no, device, row_number() OVER (PARTITION BY session_id, session_no ORDER BY seen) - 1 AS place
+  FROM (SELECT session_id, session_no, device, min(ts) AS seen FROM sev GROUP BY ALL)),
+sfeat AS (
+  SELECT *, epoch_us(close_ts) // 1000 - epoch_us(session_start) // 1000 AS duration_ms, epoch_us(last_ts) // 1000 - epoch_us(session_start) // 1000 AS active_ms,
+    page_views < 2 AS bounce, CASE WHEN product_views = 0 THEN 0 ELSE cart_adds // product_views END AS cart_ratio,
+    CASE WHEN product_views = 0 THEN 0.0 ELSE round(cart_adds / product_views, 6) END AS cart_ratio_exact
+  FROM sess)"""
+
+
+def _metric(prefix: str, name: str, source: str, value: str, suffix: str = " || '_' || window_size") -> str:
+    ttl = "CASE window_size WHEN '1d' THEN 900 WHEN '3d' THEN 1800 ELSE 3600 END" if suffix else "3600"
+    emit = "emit_ts" if suffix else "close_ts"
+    return f"SELECT {prefix} || ':{name}'{suffix} AS name, {emit} AS emit_ts, {ttl} AS ttl_seconds, {value} FROM {source}"
+
+
+def _number(value: str) -> str:
+    return f"round(CAST({value} AS DOUBLE), 4) AS number, CAST(NULL AS VARCHAR) AS words"
+
+
+def _words(value: str) -> str:
+    return f"CAST(NULL AS DOUBLE) AS number, {value} AS words"
+
+
+_USER, _SESSION = "'user:' || user_id", "'session:' || session_id"
+_METRICS = " UNION ALL ".join(
+    [
+        _metric(_USER, "product_view_count", "pfeat", _number("unique_product_count")),
+        _metric(_USER, "avg_viewed_price", "pfeat", _number("average_price")),
+        _metric(_USER, "return_view_count", "pfeat", _words("views")),
+        _metric(_USER, "price_range_viewed", "pfeat", _words("CAST(min_price AS VARCHAR) || '-' || CAST(max_price AS VARCHAR)")),
+        _metric(_USER, "top_category", "cfeat", _words("most_viewed_category")),
+        _metric(_USER, "unique_categories", "cfeat", _number("unique_category_count")),
+        _metric(_USER, "category_view_count", "cfeat", _words("views")),
+        _metric(_USER, "cart_add_count", "kfeat", _number("adds")),
+        _metric(_USER, "cart_remove_count", "kfeat", _number("removes")),
+        _metric(_USER, "cart_update_frequency", "kfeat", _number("update_frequency")),
+        _metric(_USER, "cart_value", "kfeat", _number("cart_value")),
+        _metric(_USER, "orders_count", "uavg", _number("orders_count")),
+        _metric(_USER, "order_value", "uavg", _number("order_value")),
+        _metric(_USER, "avg_order_value", "uavg", _number("avg_order_value")),
+        _metric(_SESSION, "session_duration", "sfeat", _number("duration_ms"), ""),
+        _metric(_SESSION, "session_page_count", "sfeat", _number("page_views"), ""),
+        _metric(_SESSION, "session_bounce", "sfeat", _words("CAST(bounce AS VARCHAR)"), ""),
+        _metric(_SESSION, "session_marketing_campaign", "sfeat", _words("campaign"), "") + " WHERE campaign IS NOT NULL",
+        _metric(_SESSION, "session_cart_ratio", "sfeat", _number("cart_ratio"), ""),
+        _metric(_SESSION, "session_search_count", "sfeat", _number("searches"), ""),
+        _metric(
+            _SESSION,
+            "shopper_device_types",
+            "sfeat JOIN (SELECT session_id, session_no, '[' || string_agg(device, ', ' ORDER BY place) || ']' AS devices"
+            " FROM sdev GROUP BY ALL) USING (session_id, session_no)",
+            _words("devices"),
+            "",
+        ),
+        _metric(_SESSION, "shopper_latest_platform", "sfeat", _words("latest_platform"), ""),
+    ]
+)
+
+STORED = f"""{GRID}, {CART_ITEMS},
+rows_written AS (
+  {_metric(_USER, "cart_add_count", "kzero", "adds AS v")} UNION ALL
+  {_metric(_USER, "cart_remove_count", "kzero", "removes AS v")} UNION ALL
+  {_metric(_USER, "cart_update_frequency", "kzero", "update_frequency AS v")}),
+stored AS (
+  SELECT name, CAST(arg_max(v, emit_ts) AS VARCHAR) AS value, max(emit_ts) AS emit_ts,
+    max(emit_ts) + to_seconds(any_value(ttl_seconds)) AS expires_at
+  FROM rows_written GROUP BY name)"""
+
+_SHOP_COLUMNS = """event_id, event_type, session_id, user_id, {ts} AS ts, device, platform, campaign, product_id,
+  product_price, category, cart_total, cart_price, step, page_url"""
+
+ADDRESSED = """
+WITH addressed AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, ts, event_type, value,
+    CAST(json_extract_string(props, '$.k') AS INTEGER) % 30 AS second,
+    '10.' || second || '.' || (user_id % 256) || '.' || (event_id % 256) AS ip
+  FROM events),
+placed AS (
+  SELECT a.*, coalesce(n.n_name, CASE WHEN second < 32 THEN (SELECT r_name FROM region WHERE r_regionkey = 0) END) AS place
+  FROM addressed a LEFT JOIN nation n ON n.n_nationkey = a.second)"""
+
+
+def _parameter(name: str) -> str:
+    found = f"regexp_extract(query, '(^|&){name}=([^&]*)', 2)"
+    return f"CASE WHEN regexp_matches(query, '(^|&){name}=') THEN url_decode({found}) END"
+
+
+_QUERY_PART = "regexp_extract(url, '^[^?#]*\\?([^#]*)', 1)"
+
+ORACLE |= {
+    "event_type_filter": f"""{SHOP} SELECT event_id, event_type, user_id, ts FROM shop
+WHERE event_type IN ('page_view', 'product_view', 'add_to_cart', 'remove_from_cart')""",
+    "canonical_user_events": f"{SHOP} SELECT {_SHOP_COLUMNS.format(ts='ts')} FROM shop",
+    "product_view_projection": f"{SHOP} SELECT event_id, user_id, product_id, product_price, ts FROM product",
+    "category_view_projection": f"{SHOP} SELECT event_id, user_id, category, ts FROM category",
+    "cart_projection": f"""{SHOP} SELECT event_id, user_id, event_type, cart_total AS previous_price,
+  cart_price AS product_price, ts FROM cart""",
+    "json_path": f"{SHOP} SELECT {_SHOP_COLUMNS.format(ts=chr(39).join(['date_trunc(', 'millisecond', ', ts)']))} FROM shop",
+    "reshaped_blocks": f"""{SHOP} SELECT event_id, event_type, platform, user_id AS domain_userid, campaign AS mkt_campaign,
+  session_id AS domain_sessionid, page_url, CASE WHEN event_type = 'list_view' THEN category END AS list_name FROM shop""",
+    "bad_rows_split": f"""{SHOP} SELECT CASE WHEN k % 50 = 0 THEN 'malformed JSON' ELSE 'good' END AS outcome, count(*) AS n
+FROM shop GROUP BY 1""",
+    "field_length_limit": """SELECT page_id, CASE WHEN length(url) > 45 THEN 'url longer than 45' END AS parse_error FROM pages""",
+    "multi_size_cart": f"""{SHOP} SELECT x.user_id, x.event_id,
+  {", ".join(f"count(*) FILTER (WHERE y.event_type = 'add_to_cart' AND y.ts >= x.ts - INTERVAL {d} DAY) AS adds_{d}d" for d in (1, 3, 7))},
+  {", ".join(f"round(avg(y.cart_price) FILTER (WHERE y.ts >= x.ts - INTERVAL {d} DAY), 6) AS mean_price_{d}d" for d in (1, 3, 7))}
+FROM cart x JOIN cart y ON y.user_id = x.user_id AND y.ts >= x.ts - INTERVAL 7 DAY AND y.ts <= x.ts
+GROUP BY x.user_id, x.event_id""",
+    "product_views_map_long": f"{PRODUCT_ITEMS} SELECT user_id, emit_ts, window_size, product_id, n FROM pitems",
+    "grid_product": f"""{PRODUCT_ITEMS},
+full_grid AS (
+  SELECT user_id, emit_ts, window_size, unique_product_count, round(average_price, 6) AS average_price, min_price, max_price,
+    viewed, view_count FROM pfeat)
+SELECT * FROM full_grid UNION ALL
+SELECT a.user_id, a.emit_ts + INTERVAL 6 HOUR, a.window_size, 0, 0.0, 0.0, 0.0, 0, 0 FROM full_grid a
+WHERE NOT EXISTS (SELECT 1 FROM full_grid b WHERE b.user_id = a.user_id AND b.window_size = a.window_size
+  AND b.emit_ts = a.emit_ts + INTERVAL 6 HOUR)""",
+    "category_view_count": f"{GRID}, {CATEGORY_ITEMS} SELECT * FROM citems",
+    "rolling_top_category": f"""{GRID}, {CATEGORY_ITEMS}
+SELECT user_id, emit_ts, window_size, unique_category_count, most_viewed_category FROM cfeat""",
+    "grid_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kfeat",
+    "grid_cart_zero_rows": f"{GRID}, {CART_ITEMS} SELECT * FROM kzero",
+    "grid_purchase": f"{GRID}, {PURCHASE_ITEMS} SELECT * FROM uavg",
+    "session_bounds": f"""{SHOP}, {SESSIONS}
+SELECT session_id, session_start, last_ts, close_ts, duration_ms, active_ms FROM sfeat""",
+    "session_features": f"""{SHOP}, {SESSIONS}
+SELECT session_id, session_start, user_id, page_views, searches, product_views, cart_adds, latest_platform, bounce,
+  cart_ratio, cart_ratio_exact FROM sfeat""",
+    "session_first_campaign": f"{SHOP}, {SESSIONS} SELECT session_id, session_start, campaign FROM sfeat",
+    "session_device_types": f"""{SHOP}, {SESSIONS}
+SELECT session_id, session_start, place, device FROM sdev JOIN sess USING (session_id, session_no)""",
+    "session_running": f"""{SHOP}, {SESSIONS}
+SELECT session_id, min(ts) OVER w AS session_start, event_id, ts AS last_ts,
+  count(*) FILTER (WHERE event_type = 'page_view') OVER w AS page_views, count(*) FILTER (WHERE searched) OVER w AS searches,
+  count(*) FILTER (WHERE event_type = 'product_view') OVER w AS product_views,
+  count(*) FILTER (WHERE event_type = 'add_to_cart') OVER w AS cart_adds,
+  arg_min(campaign, ts) FILTER (WHERE has_marketing) OVER w AS campaign, platform AS latest_platform,
+  epoch_us(ts) // 1000 - epoch_us(min(ts) OVER w) // 1000 AS duration_ms
+FROM sev WINDOW w AS (PARTITION BY session_id, session_no ORDER BY ts)""",
+    "session_custom": f"""{SHOP},
+kopen AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 12 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM cart WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+kno AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM kopen)
+SELECT user_id, min(ts) AS session_start, max(ts) AS last_ts, max(ts) + INTERVAL 12 HOUR AS close_ts, count(*) AS carts,
+  max(cart_price) AS dearest
+FROM kno GROUP BY user_id, session_no""",
+    "metric_long": f"""{PRODUCT_ITEMS}, {CATEGORY_ITEMS}, {CART_ITEMS}, {PURCHASE_ITEMS}, {SESSIONS}
+{_METRICS}""",
+    "feature_store_latest": f"{STORED} SELECT name, value, emit_ts, expires_at FROM stored",
+    "feature_store_lookup": f"""{STORED} SELECT s.name, s.value, s.emit_ts, s.expires_at FROM stored s JOIN (
+  SELECT 'user:' || c_custkey || ':' || m AS name FROM customer
+  CROSS JOIN (VALUES ('cart_add_count_7d'), ('cart_remove_count_1d')) AS t(m)) USING (name)
+WHERE s.expires_at > TIMESTAMP '2024-01-30 00:20:00'""",
+    "campaign_from_url": f"""SELECT page_id, {", ".join(f"{_parameter('utm_' + n)} AS mkt_{n}" for n in ("medium", "source", "term", "content", "campaign"))}
+FROM (SELECT page_id, {_QUERY_PART} AS query FROM pages)""",
+    "event_fingerprint": f"""SELECT page_id, CASE WHEN contains(split_part(url, '#', 1), '?') THEN sha1(array_to_string(list_sort(list_filter(
+  string_split({_QUERY_PART}, '&'), lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ('cv', 'eid', 'nuid', 'stm'))), '&')) END
+  AS fingerprint FROM pages""",
+    "lookup_left_join": """SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""",
+    "referer_parser": """SELECT page_id, CASE WHEN host LIKE 'blog.%' THEN 'social' WHEN host LIKE 'm.%' THEN 'search' END AS refr_medium,
+  CASE WHEN host LIKE 'blog.%' OR host LIKE 'm.%' THEN host END AS refr_source
+FROM (SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS host FROM pages)""",
+    "ip_lookup": f"{ADDRESSED} SELECT event_id, ip, place FROM placed",
+    "shopper_regions": f"""{ADDRESSED},
+moves AS (SELECT user_id, place, lag(place) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM placed WHERE place IS NOT NULL)
+SELECT user_id, string_agg(DISTINCT place, ',' ORDER BY place) AS shopper_locations,
+  count(*) FILTER (WHERE before <> place) AS shopper_region_changes
+FROM moves GROUP BY user_id""",
+    "robot_filter": f"""{ADDRESSED} SELECT event_id, user_id FROM addressed
+WHERE second > 4 AND event_type IN ('click', 'view')""",
+    "currency_conversion": """
+WITH rates AS (
+  SELECT * FROM (SELECT event_type, CAST(ts AS DATE) AS rate_date, max(value) AS rate FROM events GROUP BY ALL)
+  WHERE day(rate_date) % 3 <> 0)
+SELECT CAST(e.event_id AS VARCHAR) AS event_id, round(e.value * CASE WHEN e.event_type = 'signup' THEN 1.0 ELSE (
+  SELECT arg_max(r.rate, r.rate_date) FROM rates r
+  WHERE r.event_type = e.event_type AND r.rate_date < CAST(e.ts AS DATE)) END, 4) AS amount_base
+FROM events e""",
+    "pii_pseudonym": "SELECT c_custkey, sha1(c_name || 'salty') AS pseudonym FROM customer",
+    "ip_anonymous": f"{ADDRESSED} SELECT event_id, '10.' || second || '.' || split_part(ip, '.', 3) || '.x' AS ip FROM addressed",
+}
