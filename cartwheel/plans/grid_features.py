@@ -17,7 +17,7 @@ from cartwheel import schema
 from cartwheel.config import RollingWindow
 from cartwheel.functions.timeline import common_step, default_block, micros, position
 from cartwheel.operators.branches import updated_total
-from cartwheel.operators.rolling import MONEY, grid_times, pane_end, rolling_stats
+from cartwheel.operators.rolling import MONEY, grid_times, last_time, pane_end, rolling_stats
 from cartwheel.plans.event_features import average_order, pair_orders
 
 USER = ("user_id",)
@@ -35,6 +35,26 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _by_emit(windows: Sequence[RollingWindow]) -> list[list[RollingWindow]]:
+    """Windows with the same emit interval go through one shuffle together."""
+    emits = dict.fromkeys(w.emit_seconds for w in windows)
+    return [[w for w in windows if w.emit_seconds == e] for e in emits]
+
+
+def _in_reach(df: DataFrame, windows: Sequence[RollingWindow], pane: int, empty_rows: bool) -> DataFrame:
+    """Of the times asked for the largest window, those that matter to the row's own window."""
+    emit = micros(windows[0].emit_seconds)
+    duration = F.element_at(
+        F.create_map(*[F.lit(x) for w in windows for x in (w.label, micros(w.duration_seconds))]), F.col("window_size")
+    )
+    last = last_time(F.col("stamp"), pane, duration, emit)
+    return (
+        df.withColumn("empty", F.col("pos") > last)
+        .where(F.col("pos") <= last + (emit if empty_rows else 0))
+        .withColumn("emit_ts", F.timestamp_micros("pos"))
+    )
+
+
 def _answers(
     counted: DataFrame,
     panes: DataFrame,
@@ -45,34 +65,32 @@ def _answers(
     **measures: Sequence[str],
 ) -> DataFrame:
     """Rolling answers over ``counted`` (with ``pos``) at the emit times that ``panes`` calls for."""
-    width = pane_width(windows)
+    pane = pane_width(windows)
     parts = []
-    for w in windows:
-        size, emit = micros(w.duration_seconds), micros(w.emit_seconds)
-        asks = grid_times(panes, keys, size, emit, carry, empty_rows, width)
+    for group in _by_emit(windows):
+        sizes = {w.label: w.duration_seconds for w in group}
+        largest, emit = micros(max(sizes.values())), micros(group[0].emit_seconds)
+        asks = grid_times(panes, keys, largest, emit, pane, carry, empty_rows)
         rows = counted.select("*", F.lit(True).alias("counted"), F.lit(False).alias("asked")).unionByName(
             asks.select("*", F.lit(False).alias("counted"), F.lit(True).alias("asked")), allowMissingColumns=True
         )
         if "upto" in counted.columns:
             rows = rows.withColumn("upto", F.coalesce("upto", "pos"))
-        parts.append(
-            rolling_stats(
-                rows, keys, {w.label: w.duration_seconds}, carry=[*carry, "empty"], block=default_block([size]), **measures
-            )
-        )
-    return _union(parts).withColumn("emit_ts", F.timestamp_micros("pos"))
+        stats = rolling_stats(rows, keys, sizes, carry=[*carry, "stamp"], **measures)
+        parts.append(_in_reach(stats, group, pane, empty_rows))
+    return _union(parts)
 
 
 def _empty_times(panes: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
     users = panes.select("user_id", "stamp").distinct()
-    width = pane_width(windows)
-    parts = [
-        grid_times(users, USER, micros(w.duration_seconds), micros(w.emit_seconds), (), True, width)
-        .where("empty")
-        .select("user_id", F.timestamp_micros("pos").alias("emit_ts"), F.lit(w.label).alias("window_size"))
-        for w in windows
-    ]
-    return _union(parts)
+    pane = pane_width(windows)
+    parts = []
+    for group in _by_emit(windows):
+        largest = micros(max(w.duration_seconds for w in group))
+        times = grid_times(users, USER, largest, micros(group[0].emit_seconds), pane, (), True)
+        labels = F.explode(F.array(*[F.lit(w.label) for w in group])).alias("window_size")
+        parts.append(_in_reach(times.select("*", labels), group, pane, True).where("empty"))
+    return _union(parts).select("user_id", "emit_ts", "window_size")
 
 
 def _views(item: str) -> Column:
