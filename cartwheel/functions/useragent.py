@@ -64,3 +64,6 @@ def os_name(agent: Column) -> Column:
 
 def user_agent(agent: Column) -> Column:
     return F.struct(device_class(agent).alias("platform"), os_name(agent).alias("type"))
+
+
+DEVICE_CLASSES = ("Desktop", "Phone", "Tablet", "Robot", UNKNOWN)

@@ -358,3 +358,37 @@ FROM events e""",
     "pii_pseudonym": "SELECT c_custkey, sha1(c_name || 'salty') AS pseudonym FROM customer",
     "ip_anonymous": f"{ADDRESSED} SELECT event_id, '10.' || second || '.' || split_part(ip, '.', 3) || '.x' AS ip FROM addressed",
 }
+
+# Streams end five seconds before the newest event kept by each query.
+_PASSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM {source})"
+
+
+def _passed(column: str, source: str, strictly: bool = False) -> str:
+    return f"{column} {'<' if strictly else '<='} {_PASSED.format(source=source)} AND window_size = '1d'"
+
+
+ORACLE |= {
+    "stream_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kfeat WHERE {_passed('emit_ts', 'shop')}",
+    "stream_product": f"""{PRODUCT_ITEMS} SELECT user_id, emit_ts, window_size, unique_product_count,
+  round(average_price, 6) AS average_price, min_price, max_price FROM pfeat WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_category": f"""{GRID}, {CATEGORY_ITEMS} SELECT user_id, emit_ts, window_size, unique_category_count,
+  most_viewed_category FROM cfeat WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_purchase": f"{GRID}, {PURCHASE_ITEMS} SELECT * FROM uavg WHERE {_passed('emit_ts', 'shop')}",
+    "stream_sessions": f"""{SHOP}, {SESSIONS} SELECT session_id, session_start, last_ts, page_views, searches, product_views,
+  cart_adds, campaign, latest_platform FROM sfeat WHERE close_ts <= {_PASSED.format(source='shop')}""",
+    "stream_cart_exact": f"""{GRID}, {CART_ITEMS} SELECT user_id, emit_ts, window_size, adds, removes FROM kzero
+WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_sessions_running": f"""{SHOP}, {SESSIONS},
+bounds AS (SELECT *, {_PASSED.format(source='shop')} AS passed,
+    time_bucket(INTERVAL 6 HOUR, session_start) + INTERVAL 6 HOUR AS first_emit FROM sess),
+open_at AS (
+  SELECT session_id, session_no, false AS closed, unnest(generate_series(first_emit, least(passed, close_ts), INTERVAL 6 HOUR)) AS as_of
+  FROM bounds WHERE first_emit <= least(passed, close_ts)
+  UNION ALL SELECT session_id, session_no, true, date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR FROM bounds
+  WHERE date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR < passed)
+SELECT o.session_id, o.as_of, o.closed, count(*) FILTER (WHERE v.event_type = 'page_view') AS page_views,
+  count(*) FILTER (WHERE v.event_type = 'product_view') AS product_views,
+  count(*) FILTER (WHERE v.event_type = 'add_to_cart') AS cart_adds
+FROM open_at o JOIN sev v ON v.session_id = o.session_id AND v.session_no = o.session_no AND (o.closed OR v.ts < o.as_of)
+GROUP BY o.session_id, o.session_no, o.as_of, o.closed""",
+}

@@ -42,21 +42,24 @@ class FeatureStore:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("name"), F.lit(self.buckets)).cast("int").alias("bucket")
 
-    def _save(self, rows: DataFrame, directory: str) -> None:
-        rows.repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(directory)
+    def _save(self, rows: DataFrame, part: str) -> None:
+        place = f"{self.path}/part={part}"
+        rows.repartition(self.buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(place)
 
     def _finished(self, kind: str) -> list[int]:
+        """Ids of the completely written parts of a kind."""
         jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(root):
             return []
-        done = [
-            s.getPath().getName()
-            for s in fs.listStatus(root)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        ]
-        return sorted(int(name) for name in done if name.isdigit())
+        start = f"part={kind}-"
+        return sorted(
+            int(status.getPath().getName()[len(start) :])
+            for status in fs.listStatus(root)
+            if status.getPath().getName().startswith(start)
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+        )
 
     def upsert(self, metrics: DataFrame, batch_id: int) -> None:
         """Usable as a ``foreachBatch`` function."""
@@ -68,21 +71,17 @@ class FeatureStore:
             expiry(self.default_ttl).alias("expires_at"),
             F.lit(batch_id).cast("long").alias("batch"),
         )
-        self._save(newest(rows), f"{self.path}/batches/{batch_id}")
+        self._save(newest(rows), f"batch-{batch_id}")
 
     def rows(self) -> DataFrame:
         """Newest snapshot and the batches after it."""
-        snapshots = self._finished("snapshots")
+        snapshots = self._finished("snapshot")
         seen = snapshots[-1] if snapshots else -1
-        places = [f"{self.path}/snapshots/{seen}"] if snapshots else []
-        places += [f"{self.path}/batches/{b}" for b in self._finished("batches") if b > seen]
+        places = [f"{self.path}/part=snapshot-{seen}"] if snapshots else []
+        places += [f"{self.path}/part=batch-{b}" for b in self._finished("batch") if b > seen]
         if not places:
             return self.spark.createDataFrame([], ROW)
-        parts = [self.spark.read.schema(ROW).parquet(p) for p in places]
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        return self.spark.read.schema(ROW).option("basePath", self.path).parquet(*places)
 
     def latest(self, as_of: Column | None = None) -> DataFrame:
         table = newest(self.rows())
@@ -100,6 +99,6 @@ class FeatureStore:
 
     def compact(self, as_of: Column | None = None) -> None:
         """Fold all finished batches into a snapshot; rows expired by ``as_of`` are left out."""
-        batches = self._finished("batches")
+        batches = self._finished("batch")
         if batches:
-            self._save(self.latest(as_of), f"{self.path}/snapshots/{batches[-1]}")
+            self._save(self.latest(as_of), f"snapshot-{batches[-1]}")
