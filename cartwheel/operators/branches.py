@@ -16,8 +16,20 @@ BRANCH_TYPES = {
 }
 
 
+def keep(events: DataFrame, condition: Column, ts: str = "ts") -> DataFrame:
+    """Rows that meet a condition.
+
+    On a stream the watermark must see every event, of whatever branch. The optimizer moves a filter below
+    it unless the filter reads the event time, so there the condition is tied to it.
+    """
+    if events.isStreaming:
+        time = F.unix_micros(ts)
+        condition = time == time + F.when(condition, 0).otherwise(1)
+    return events.where(condition)
+
+
 def keep_types(events: DataFrame, *types: str) -> DataFrame:
-    return events.where(F.col("event_type").isin(*types))
+    return keep(events, F.col("event_type").isin(*types))
 
 
 def branch(events: DataFrame, name: str) -> DataFrame:

@@ -21,12 +21,17 @@ def _of_type(name: str) -> Column:
     return F.col("event_type") == name
 
 
-COUNTS = {
-    "page_views": _of_type(schema.PAGE_VIEW),
-    "searches": F.col("searched"),
-    "product_views": _of_type(schema.PRODUCT_VIEW),
-    "cart_adds": _of_type(schema.ADD),
-}
+COUNTS = ("page_views", "searches", "product_views", "cart_adds")
+
+
+def count_conditions() -> dict[str, Column]:
+    conditions = (
+        _of_type(schema.PAGE_VIEW),
+        F.col("searched"),
+        _of_type(schema.PRODUCT_VIEW),
+        _of_type(schema.ADD),
+    )
+    return dict(zip(COUNTS, conditions))
 
 
 def _first_marketing() -> Column:
@@ -35,7 +40,7 @@ def _first_marketing() -> Column:
 
 def shop_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     """``events`` as given by ``branches.session_events``."""
-    measures = {n: _count(c) for n, c in COUNTS.items()}
+    measures = {n: _count(c) for n, c in count_conditions().items()}
     measures["newest"] = "max", F.struct("ts", "event_id", "user_id", "platform")
     measures["marketed"] = "min", _first_marketing()
     measures["seen"] = "min", F.struct("ts", "event_id")
@@ -85,13 +90,13 @@ def running_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
         "platform",
         F.when(F.col("marketed.ts") <= F.col("ts"), F.col("marketed.campaign")).alias("campaign"),
         position("ts").alias("pos"),
-        *[_count(c)[1].alias(n) for n, c in COUNTS.items()],
+        *[_count(c)[1].alias(n) for n, c in count_conditions().items()],
     )
     stats = rolling_stats(
         rows,
         [KEY, "session_start"],
         {"session": None},
-        sums=list(COUNTS),
+        sums=COUNTS,
         carry=["event_id", "user_id", "platform", "campaign"],
         block=micros(gap_seconds),
     )

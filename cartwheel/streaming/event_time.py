@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cartwheel.operators.branches import keep
 from cartwheel.sources.events import with_event_time
 
 IDLE_SECONDS = 3
@@ -29,8 +30,7 @@ def with_idle_advance(events: DataFrame, delay: str = "5 seconds", idle_seconds:
     joined = with_event_time(events, delay=delay).unionByName(
         beats.withWatermark("ts", f"{idle_seconds} seconds")
     )
-    # the condition names ts, which keeps the beats from being filtered out before they move the watermark
-    return joined.where(F.when(F.col("ts").isNull(), F.lit(False)).otherwise(F.col("event_type").isNotNull()))
+    return keep(joined, F.col("event_type").isNotNull())
 
 
 def rows_dropped_as_late(query: StreamingQuery) -> int:

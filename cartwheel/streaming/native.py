@@ -22,7 +22,7 @@ from cartwheel.operators.branches import updated_total
 from cartwheel.operators.rolling import MONEY
 from cartwheel.plans.event_features import average_order
 from cartwheel.plans.grid_features import summarise_categories, summarise_products
-from cartwheel.plans.session_features import COUNTS, derive
+from cartwheel.plans.session_features import COUNTS, count_conditions, derive
 from cartwheel.streaming.stateful import pair_orders_stream
 
 
@@ -92,7 +92,7 @@ def product_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataF
 
 
 def category_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
-    views = branches.category_views(events).where(F.col("category").isNotNull())
+    views = branches.keep(branches.category_views(events), F.col("category").isNotNull())
 
     def one(w: RollingWindow) -> DataFrame:
         panes = views.groupBy("user_id", "category", _panes("ts", w)).agg(F.count("*").alias("n"))
@@ -136,7 +136,7 @@ def session_stream(events: DataFrame, gap_seconds: int) -> DataFrame:
     seen = {f"_seen_{i}": name for i, name in enumerate(DEVICE_CLASSES)}
     grouped = rows.groupBy("session_id", F.session_window("ts", f"{gap_seconds} seconds").alias("w")).agg(
         F.max("ts").alias("last_ts"),
-        *[F.count_if(c).alias(n) for n, c in COUNTS.items()],
+        *[F.count_if(c).alias(n) for n, c in count_conditions().items()],
         F.max(F.struct("ts", "event_id", "user_id", "platform")).alias("newest"),
         F.min(F.when(F.col("has_marketing"), F.struct("ts", "event_id", "campaign"))).alias("marketed"),
         *[
