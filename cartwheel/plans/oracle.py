@@ -385,7 +385,7 @@ open_at AS (
   SELECT session_id, session_no, false AS closed, unnest(generate_series(first_emit, least(passed, close_ts), INTERVAL 6 HOUR)) AS as_of
   FROM bounds WHERE first_emit <= least(passed, close_ts)
   UNION ALL SELECT session_id, session_no, true, date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR FROM bounds
-  WHERE date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR < passed)
+  WHERE date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR <= passed)
 SELECT o.session_id, o.as_of, o.closed, count(*) FILTER (WHERE v.event_type = 'page_view') AS page_views,
   count(*) FILTER (WHERE v.event_type = 'product_view') AS product_views,
   count(*) FILTER (WHERE v.event_type = 'add_to_cart') AS cart_adds

@@ -1,17 +1,18 @@
 """The whole job: events in, feature table out, as one batch run or as streaming queries.
 
 A batch run parses once into a canonical table; the branches then read narrow columns of it. A stream runs
-one query per branch, each with its own checkpoint.
+one query per job, each with its own checkpoint.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cartwheel.config import CHECKPOINT_INTERVAL, WATERMARK_DELAY, FeatureConfig
+from cartwheel.config import CHECKPOINT_INTERVAL, WATERMARK_DELAY, FeatureConfig, RollingWindow
 from cartwheel.operators import branches, canonical
 from cartwheel.operators.reshape import reshape
 from cartwheel.plans import grid_features, session_features
@@ -41,16 +42,28 @@ def parse(raw: DataFrame, reshaped: bool = True) -> DataFrame:
     return canonical.parse_events(raw if reshaped else reshape(raw, full=False))
 
 
-def _ttl(config: FeatureConfig, branch: str) -> dict[str, int]:
-    return {w.label: w.ttl_seconds for w in config.windows(branch)}
+def jobs(config: FeatureConfig) -> dict[str, tuple[str, tuple[RollingWindow, ...]]]:
+    """Name of each rolling job to its branch and windows; purchases take one job per window."""
+    out = {}
+    for branch in BATCH_FEATURES:
+        windows = config.windows(branch)
+        if branch == "purchase":
+            out |= {f"purchase-{w.label}": (branch, (w,)) for w in windows}
+        elif windows:
+            out[branch] = (branch, windows)
+    return out
+
+
+def _metrics(features: DataFrame, branch: str, windows: tuple[RollingWindow, ...]) -> DataFrame:
+    return user_metrics(features, branch, {w.label: w.ttl_seconds for w in windows})
 
 
 def batch_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
-    """Metric rows per branch, for the branches with windows and for sessions."""
+    """Metric rows per job, sessions included."""
     out = {}
-    for name, (project, features) in BATCH_FEATURES.items():
-        if config.windows(name):
-            out[name] = user_metrics(features(project(events), config.windows(name)), name, _ttl(config, name))
+    for name, (branch, windows) in jobs(config).items():
+        project, features = BATCH_FEATURES[branch]
+        out[name] = _metrics(features(project(events), windows), branch, windows)
     sessions = session_features.shop_sessions(branches.session_events(events), config.session.gap_seconds)
     out["session"] = session_metrics(sessions, config.session.ttl_seconds)
     return out
@@ -58,17 +71,22 @@ def batch_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFra
 
 def stream_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
     out = {}
-    for name, features in STREAM_FEATURES.items():
-        if config.windows(name):
-            out[name] = user_metrics(features(events, config.windows(name)), name, _ttl(config, name))
+    for name, (branch, windows) in jobs(config).items():
+        out[name] = _metrics(STREAM_FEATURES[branch](events, windows), branch, windows)
     sessions = native.session_stream(events, config.session.gap_seconds)
     out["session"] = session_metrics(sessions, config.session.ttl_seconds)
     return out
 
 
-def stores(spark: SparkSession, path: str, buckets: int = 64) -> dict[str, FeatureStore]:
-    names = [*BATCH_FEATURES, "session"]
-    return {name: FeatureStore(spark, f"{path}/{name}", buckets) for name in names}
+def stores(spark: SparkSession, path: str, config: FeatureConfig, buckets: int = 64) -> dict[str, FeatureStore]:
+    """One feature table per job, as each numbers its batches by itself."""
+    return {name: FeatureStore(spark, f"{path}/{name}", buckets) for name in [*jobs(config), "session"]}
+
+
+def lookup(kept: dict[str, FeatureStore], names: Sequence[str] | DataFrame, as_of: Column) -> DataFrame:
+    """Live values of metric names, whichever job wrote them."""
+    parts = [store.lookup(names, as_of) for store in kept.values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_batch(
@@ -83,7 +101,7 @@ def run_batch(
     parsed = materialise(parse(raw, reshaped), "canonical")
     if bad_path:
         canonical.bad_rows(parsed).write.mode("append").json(bad_path)
-    kept = stores(spark, store_path)
+    kept = stores(spark, store_path, config)
     for name, metrics in batch_metrics(canonical.good_rows(parsed), config).items():
         kept[name].upsert(metrics, batch_id)
     return kept
@@ -104,7 +122,7 @@ def run_stream(
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_INTERVAL}
     parsed = parse(raw, reshaped)
     events = with_event_time(canonical.good_rows(parsed), delay=delay)
-    kept = stores(spark, store_path)
+    kept = stores(spark, store_path, config)
     queries = [
         metrics.writeStream.queryName(f"{name}-metrics")
         .foreachBatch(kept[name].upsert)

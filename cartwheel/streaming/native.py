@@ -104,30 +104,30 @@ def category_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> Data
 
 
 def purchase_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
-    """Pairing needs a user's events in order, so it runs as a stateful operator before the windows."""
-    steps = pair_orders_stream(branches.purchase_events(events))
-
-    def one(w: RollingWindow) -> DataFrame:
-        width = micros(_pane(w))
-        cart_pane = floor_to(position("cart_ts"), width).alias("cart_pane")
-        panes = steps.groupBy("user_id", cart_pane, _panes("ts", w)).agg(
-            F.count("order_value").alias("n"), F.sum(F.col("order_value").cast(MONEY)).alias("total")
-        )
-        inside = F.col("cart_pane") >= F.unix_micros(F.window_time("w")) + 1 - w.duration_seconds * MICROS
-        kept = panes.withColumn("w", _sliding(w)).withColumn("inside", F.coalesce(inside, F.lit(False)))
-        rolled = kept.groupBy("user_id", "w").agg(
-            F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("orders_count"),
-            F.coalesce(F.sum(F.when(F.col("inside"), F.col("total"))), F.lit(0).cast(MONEY)).alias("order_total"),
-        )
-        return _named(
-            rolled,
-            w,
-            "orders_count",
-            F.col("order_total").cast("double").alias("order_value"),
-            average_order(F.col("order_total"), F.col("orders_count")).alias("avg_order_value"),
-        )
-
-    return _union([one(w) for w in windows])
+    """Pairing needs a user's events in order, so it runs as a stateful operator before the windows.
+
+    One window per query: a second operator of this kind in the same query yields nothing (tried on 4.1).
+    """
+    (w,) = windows
+    width = micros(_pane(w))
+    panes = (
+        pair_orders_stream(branches.purchase_events(events))
+        .groupBy("user_id", floor_to(position("cart_ts"), width).alias("cart_pane"), _panes("ts", w))
+        .agg(F.count("order_value").alias("n"), F.sum(F.col("order_value").cast(MONEY)).alias("total"))
+    )
+    inside = F.col("cart_pane") >= F.unix_micros(F.window_time("w")) + 1 - w.duration_seconds * MICROS
+    kept = panes.withColumn("w", _sliding(w)).withColumn("inside", F.coalesce(inside, F.lit(False)))
+    rolled = kept.groupBy("user_id", "w").agg(
+        F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("orders_count"),
+        F.coalesce(F.sum(F.when(F.col("inside"), F.col("total"))), F.lit(0).cast(MONEY)).alias("order_total"),
+    )
+    return _named(
+        rolled,
+        w,
+        "orders_count",
+        F.col("order_total").cast("double").alias("order_value"),
+        average_order(F.col("order_total"), F.col("orders_count")).alias("avg_order_value"),
+    )
 
 
 def session_stream(events: DataFrame, gap_seconds: int) -> DataFrame:

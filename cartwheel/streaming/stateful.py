@@ -78,7 +78,11 @@ class _Buffered(StatefulProcessor):
             self.events.clear()
 
     def _set_timer(self, when: int | None) -> None:
-        """One live timer per key."""
+        """One live timer per key, to act as soon as the watermark has reached ``when``.
+
+        Timers fire when the watermark is past them, hence the millisecond less.
+        """
+        when = None if when is None else when - 1
         if self.timer.exists():
             old = self.timer.get()[0]
             if old == when:
@@ -115,7 +119,9 @@ class RollingProcessor(_Buffered):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         fresh = self._add(rows)
         first = min(self._time(e) for e in fresh)
-        nexts = [after(first, emit) if n is None else n for n, (_, _, emit) in zip(self._nexts(), self.windows)]
+        nexts = [
+            min(n or after(first, emit), after(first, emit)) for n, (_, _, emit) in zip(self._nexts(), self.windows)
+        ]
         self.next.put([(n,) for n in nexts])
         self._set_timer(min(nexts))
         return iter(())
@@ -164,7 +170,7 @@ class SessionProcessor(_Buffered):
             return None
         done = self.emitted.get()[0] if self.emitted.exists() else None
         first = self._time(events[0])
-        return min(after(first if done is None else max(done, first), self.emit), self._end(events)[1] + 1)
+        return min(after(first if done is None else max(done, first), self.emit), self._end(events)[1])
 
     def _end(self, events: Sequence) -> tuple[int, int]:
         """Length of the leading session, and the time it closes unless more arrives."""
@@ -193,7 +199,7 @@ class SessionProcessor(_Buffered):
                 out.append(self._row(key, seen, start, at, False))
                 self.emitted.update((at,))
                 at += self.emit
-            if watermark <= closing:
+            if watermark < closing:
                 break
             out.append(self._row(key, session, start, closing, True))
             self.emitted.clear()
@@ -216,9 +222,9 @@ class OrderPairing(_Buffered):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         fresh = self._add(rows)
-        due = min(self._time(e) for e in fresh) + 1
+        due = min(self._time(e) for e in fresh)
         if self.timer.exists():
-            due = min(due, self.timer.get()[0])
+            due = min(due, self.timer.get()[0] + 1)
         self._set_timer(due)
         return iter(())
 
@@ -226,7 +232,7 @@ class OrderPairing(_Buffered):
         self.timer.clear()
         watermark = timerValues.getCurrentWatermarkInMs()
         events = self._load()
-        ready = [e for e in events if self._time(e) < watermark]
+        ready = [e for e in events if self._time(e) <= watermark]
         rest = events[len(ready) :]
         cart = self.cart.get() if self.cart.exists() else None
         out = []
@@ -247,7 +253,7 @@ class OrderPairing(_Buffered):
         else:
             self.cart.update(tuple(cart))
         self._keep(rest)
-        self._set_timer(self._time(rest[0]) + 1 if rest else None)
+        self._set_timer(self._time(rest[0]) if rest else None)
         return iter(out)
 
 
