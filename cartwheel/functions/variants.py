@@ -51,10 +51,10 @@ def present(v: Column) -> Column:
 
 
 def truthy(v: Column) -> Column:
-    """Neither missing, null, false, zero nor the empty string."""
+    """Neither missing, null, false, zero nor the empty string. The type matters to few texts only."""
     as_text = text(v)
-    empty = F.when(is_text(v), as_text == "").otherwise(as_text.isin("false", "0", "-0", "0.0", "-0.0"))
-    return present(v) & ~F.coalesce(empty, F.lit(False))
+    doubtful = F.coalesce(as_text.isin("", "false", "0", "-0", "0.0", "-0.0"), F.lit(False))
+    return present(v) & F.when(doubtful, is_text(v) & (as_text != "")).otherwise(True)
 
 
 def if_truthy(v: Column) -> Column:

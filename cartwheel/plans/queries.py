@@ -18,7 +18,7 @@ from cartwheel.plans import grid_features as by_grid
 from cartwheel.plans import session_features as by_session
 from cartwheel.plans.metrics import session_metrics, user_metrics
 from cartwheel.sources.table_events import shop_events_from_table
-from cartwheel.sources.workspace import new_folder
+from cartwheel.sources.workspace import materialise, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -377,7 +377,7 @@ def _store(spark, sf):
     from cartwheel.sources.store import FeatureStore
 
     store = FeatureStore(spark, new_folder(spark, "store"), buckets=8)
-    metrics = _cart_metrics(spark, sf)
+    metrics = materialise(_cart_metrics(spark, sf), "metrics")
     part = F.dayofmonth("emit_ts")
     for batch, chosen in enumerate([part <= 10, (part > 10) & (part <= 20), part > 20]):
         store.upsert(metrics.where(chosen), batch)
