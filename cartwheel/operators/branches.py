@@ -36,10 +36,15 @@ def branch(events: DataFrame, name: str) -> DataFrame:
     return keep_types(events, *BRANCH_TYPES[name])
 
 
+def _key(name: str) -> Column:
+    """Keys are never null; the parser gives empty text."""
+    return F.coalesce(name, F.lit("")).alias(name)
+
+
 def product_views(events: DataFrame) -> DataFrame:
     return branch(events, "product").select(
         "event_id",
-        "user_id",
+        _key("user_id"),
         F.coalesce("product_id", F.lit("")).alias("product_id"),
         F.coalesce("product_price", F.lit(0.0)).alias("product_price"),
         "ts",
@@ -47,13 +52,13 @@ def product_views(events: DataFrame) -> DataFrame:
 
 
 def category_views(events: DataFrame) -> DataFrame:
-    return branch(events, "category").select("event_id", "user_id", "category", "ts")
+    return branch(events, "category").select("event_id", _key("user_id"), "category", "ts")
 
 
 def cart_events(events: DataFrame) -> DataFrame:
     return branch(events, "cart").select(
         "event_id",
-        "user_id",
+        _key("user_id"),
         "event_type",
         F.col("cart_total").alias("previous_price"),
         F.col("cart_price").alias("product_price"),
@@ -76,7 +81,7 @@ def is_completed_checkout() -> Column:
 def purchase_events(events: DataFrame) -> DataFrame:
     return branch(events, "purchase").select(
         "event_id",
-        "user_id",
+        _key("user_id"),
         "event_type",
         F.coalesce("cart_total", F.lit(0.0)).alias("cart_total"),
         F.coalesce("cart_price", F.lit(0.0)).alias("cart_price"),
@@ -94,8 +99,8 @@ def is_search() -> Column:
 def session_events(events: DataFrame) -> DataFrame:
     return branch(events, "session").select(
         "event_id",
-        "session_id",
-        "user_id",
+        _key("session_id"),
+        _key("user_id"),
         "event_type",
         is_search().alias("searched"),
         F.col("user_agent.platform").alias("device"),

@@ -23,9 +23,10 @@ def with_previous(
 
     Rows are ordered inside blocks of ``block`` microseconds, so a hot key spreads over as many tasks
     as it has blocks. Only the last row of each block travels on to the next non-empty block. Both uses
-    read the same exchange when ``rows`` holds no columns beyond keys, pos, tie and fields.
+    read one exchange, so ``rows`` are computed once, when ``fields`` with the keys are all its columns and
+    no key is nullable (else a null filter sets the two uses apart).
     """
-    blocked = rows.withColumn(BLOCK, block_of(F.col(pos), block))
+    blocked = rows.withColumn(BLOCK, block_of(F.col(pos), block)).repartition(*keys, BLOCK)
     here = Window.partitionBy(*keys, BLOCK).orderBy(pos, tie)
     value = F.struct(*fields)
     marked = blocked.select(

@@ -92,6 +92,7 @@ def rolling_stats(
         rows.withColumn("_mark", F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())))
         .select(*keys, "pos", *carry, *measures, "asked", "counted", "since", "upto", "_mark.*")
         .withColumn(BLOCK, block_of(at, width))
+        .repartition(*keys, BLOCK)
     )
 
     own = (role == 0) & counted
@@ -111,9 +112,11 @@ def rolling_stats(
     if len(pick) < len(extremes):
         raise ValueError("a measure is either a lowest or a highest value")
 
-    # Per block: totals, then what the blocks before it leave behind.
+    # Per block: totals, then what the blocks before it leave behind. Reading all columns of the points,
+    # the totals share the exchange of the points themselves: rows are computed and shuffled once.
+    asked = F.when((role == 0) & F.col("asked"), F.xxhash64("pos", at, *carry))
     per_block = points.groupBy(*keys, BLOCK).agg(
-        F.max("asked").alias("_asked"),
+        F.max(asked).isNotNull().alias("_asked"),
         *[(F.sum(c)).alias(f"_in_{m}_{i}") for (m, i), c in enter.items()],
         *[(F.sum(c)).alias(f"_out_{m}_{i}") for (m, i), c in leave.items()],
         *[pick[m](c).alias(f"_ext_{m}") for m, c in extreme.items()],

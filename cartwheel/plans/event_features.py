@@ -68,8 +68,9 @@ def product_stats(views: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
 def category_stats(views: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
     """Unique categories; rows without a category ask but do not count."""
     block = _block(sizes)
-    rows = views.select("user_id", "category", "event_id", position("ts").alias("pos"))
-    rows = with_previous(rows, ["user_id", "category"], ["pos", "event_id"], block)
+    named = F.concat(F.lit("="), "category")
+    rows = views.select("user_id", F.coalesce(named, F.lit("")).alias("item"), "event_id", position("ts").alias("pos"))
+    rows = with_previous(rows, ["user_id", "item"], ["pos", "event_id"], block)
     one = F.lit(1).cast("long")
     stats = rolling_stats(
         rows.select(
@@ -77,7 +78,7 @@ def category_stats(views: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
             "pos",
             "event_id",
             F.col("prev.pos").alias("since"),
-            F.col("category").isNotNull().alias("counted"),
+            (F.col("item") != "").alias("counted"),
             one.alias("view_count"),
             one.alias("unique_category_count"),
         ),

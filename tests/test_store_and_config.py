@@ -206,3 +206,13 @@ def test_panes_are_combined_before_the_shuffle(spark):
     views = branches.product_views(queries.shop(spark, str(DATA / "sf0.001")))
     plan = physical(grid_features.product_item_views(views, queries.WINDOWS))
     assert "partial_count(1)" in plan and "partial_min(product_price" in plan
+
+
+def test_rows_are_computed_once(spark):
+    """Totals per block and running values inside blocks read the same exchange; so do row and carried row."""
+    sf = str(DATA / "sf0.001")
+    for name, reused in (("rolling_cart", 1), ("rolling_category_unique", 2), ("rolling_product_unique", 2), ("grid_cart", 1)):
+        df = queries.BATCH[name](spark, sf)
+        df.collect()
+        final = physical(df).split("== Initial Plan ==")[0]
+        assert final.count("ReusedExchange") >= reused, name
