@@ -23,6 +23,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def prepare_streaming(spark: SparkSession) -> SparkSession:
-    """State beyond memory goes to local disk and the checkpoint folder."""
+    """State beyond memory goes to local disk and the checkpoint folder; sessions merge before the shuffle too."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return prepare(spark)

@@ -177,3 +177,29 @@ def test_console_and_file_sinks(spark, folder, tmp_path):
     query = file_sink(as_json_rows(events), str(tmp_path / "out"), str(tmp_path / "c2"), "text").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.json(str(tmp_path / "out")).select("event_id").distinct().count() == 240
+
+
+def test_idle_source_still_closes_windows(spark, tmp_path):
+    """One event, then silence: the clock moves the watermark on and the window comes out."""
+    from datetime import timezone
+    from time import monotonic, sleep
+
+    from cartwheel.streaming.event_time import POLICY, with_idle_advance
+
+    before = spark.conf.get(POLICY)
+    fields = "event_type string, ts timestamp"
+    spark.createDataFrame([("view", datetime.now(timezone.utc))], fields).write.parquet(str(tmp_path / "in"))
+    try:
+        events = with_idle_advance(spark.readStream.schema(fields).parquet(str(tmp_path / "in")))
+        counts = events.groupBy(F.window("ts", "2 seconds"), "event_type").count()
+        query = (
+            counts.writeStream.format("memory").queryName("idle").outputMode("append")
+            .option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+        )
+        end = monotonic() + 60
+        while monotonic() < end and spark.table("idle").count() == 0 and query.exception() is None:
+            sleep(1)
+        query.stop()
+        assert [(r.event_type, r["count"]) for r in spark.table("idle").collect()] == [("view", 1)]
+    finally:
+        spark.conf.set(POLICY, before)
