@@ -34,8 +34,6 @@ SHOP_EVENT = _struct(
     page_url=S,
 )
 
-METRIC = _struct(name=S, value=S, ttl_seconds=T.LongType(), emit_ts=T.TimestampType())
-
 PRODUCT_VIEW = "product_view"
 LIST_VIEW = "list_view"
 ADD = "add_to_cart"
