@@ -13,6 +13,8 @@ from cartwheel.sources.workspace import materialise, shared_root
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 # rows that go to a Python worker at once: texts can be very long
 BATCH_ROWS = 256
+# rows of a few numbers each that may be sent to every executor
+BROADCAST_ROWS = 500_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,6 +37,11 @@ def parallelism(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A written table with a broadcast hint if its rows are counted to be few; else a join deals both sides out."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``edges(a, b)``: columns ``node``, ``root``.
 

@@ -31,7 +31,15 @@ WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 # lower case first, so that A-Z are no separators
 NORMAL = LOWER.translate(bytes.maketrans(SEPARATORS, b" " * len(SEPARATORS)))
-MATCH = T.StructType.fromDDL("n_words long, hits array<int>, items array<string>, spans array<struct<start:int,end:int>>")
+SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+MATCH = T.StructType(
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("hits", T.ArrayType(T.IntegerType())),
+        T.StructField("items", T.ArrayType(T.StringType())),
+        T.StructField("spans", T.ArrayType(SPAN)),
+    ]
+)
 
 
 def normalise(text: str) -> tuple[str, int]:

@@ -5,23 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import byte_bpe, decontamination
+from cartwheel.llm import byte_bpe, decontamination, jaccard_join, toxicity
 from cartwheel.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     return byte_bpe.digests(documents, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.drop("spans")
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_decontamination": op8_decontamination,
 }
