@@ -320,8 +320,9 @@ def cluster_links(open_sets: DataFrame, documents: DataFrame, words: int, thresh
     held = open_sets.join(sized, ["cluster", "root"]).withColumn("_owner", owner)
     blocks = sized.groupBy("cluster", owner.alias("_owner")).agg(F.sum("_size").alias("_total"))
     blocks = blocks.withColumn("_blocks", F.ceil(F.col("_total") / BLOCK))
-    held = held.join(blocks, (held.cluster == blocks.cluster) & held._owner.eqNullSafe(blocks._owner)).select(
-        held.cluster, held._owner, "hash", "_row", "root", F.pmod(F.xxhash64("hash"), F.col("_blocks")).alias("_block")
+    named = blocks.select(F.col("cluster").alias("_c"), F.col("_owner").alias("_o"), "_blocks")
+    held = held.join(named, (F.col("cluster") == F.col("_c")) & F.col("_owner").eqNullSafe(F.col("_o"))).select(
+        "cluster", "_owner", "hash", "_row", "root", F.pmod(F.xxhash64("hash"), F.col("_blocks")).alias("_block")
     )
     every = materialise(blocks.select("cluster", "_owner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block")), "blocks")
     block = F.struct(F.coalesce("_owner", F.lit(0)).alias("owner"), F.col("_owner").isNull().alias("mixed"), "_block")
@@ -369,14 +370,16 @@ def similar_groups(documents: DataFrame, words: int = WORDS, threshold: Fraction
     links = materialise(linked_pairs(star, documents, classes, words, threshold), "links")
     roots = components(links)
 
-    def with_root(hashes: DataFrame, roots: DataFrame) -> DataFrame:
-        return hashes.join(roots.withColumnRenamed("node", "hash"), "hash", "left").withColumn("root", F.coalesce("root", "hash"))
+    def with_root(hashes: DataFrame, roots: DataFrame, name: str = "root") -> DataFrame:
+        """The smallest of a component is no node of an edge: its root is itself."""
+        known = roots.select(F.col("node").alias("hash"), F.col("root").alias(name))
+        return hashes.join(known, "hash", "left").withColumn(name, F.coalesce(name, "hash"))
 
     rooted = with_root(tiled, roots)
     still_open = rooted.groupBy("tile").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low != _high")
     of_open = materialise(rooted.join(still_open.select("tile"), "tile", "left_semi").select("hash", "middle", "root").distinct(), "open")
     clusters = components(of_open.select(F.col("middle").alias("a"), F.col("hash").alias("b")))
-    open_sets = of_open.select("hash", "root").distinct().join(clusters.select(F.col("node").alias("hash"), F.col("root").alias("cluster")), "hash")
+    open_sets = with_root(of_open.select("hash", "root").distinct(), clusters, "cluster")
     more = cluster_links(materialise(open_sets.join(classes, "hash"), "open"), documents, words, threshold)
     roots = components(links.unionByName(more))
 
