@@ -51,10 +51,12 @@ def anonymous_ip(ip: Column, octets: int = 1) -> Column:
 
 
 def ip_number(ip: Column) -> Column:
-    """IPv4 text as a number, null for anything else."""
+    """IPv4 text as a number, null for anything else, octets above 255 included."""
     parts = F.split(ip, r"\.")
+    octets = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i in range(4)]
     good = ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
     number = F.lit(0).cast("long")
-    for i in range(4):
-        number = number * 256 + F.try_element_at(parts, F.lit(i + 1)).try_cast("long")
+    for octet in octets:
+        good = good & (octet <= 255)
+        number = number * 256 + octet
     return F.when(good, number)

@@ -15,8 +15,6 @@ from cartwheel.functions.enrich import ip_number
 from cartwheel.functions.timeline import micros, position
 from cartwheel.operators.previous import with_previous
 
-PATTERN_LIMIT = 5_000
-
 
 def at_most_one(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the smallest in column order, so that a lookup never multiplies events."""
@@ -44,37 +42,40 @@ def referer(events: DataFrame, url: str, table: DataFrame, internal: Sequence[st
 
 
 def ip_ranges(table: DataFrame, cidr: str = "cidr") -> DataFrame:
-    """``a.b.c.d/n`` to first and last address."""
+    """``a.b.c.d/n`` to first and last address and length; null for what is no range (n is 0 to 32, 32 if left out)."""
     parts = F.split(F.col(cidr), "/")
-    length = F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("int"), F.lit(32))
+    said = F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(2)).try_cast("int")).otherwise(F.lit(32))
+    length = F.when(said.between(0, 32) & (F.size(parts) <= 2), said)
     size = F.pow(F.lit(2.0), 32 - length).cast("long")
-    start = ip_number(parts[0])
-    start = start - F.pmod(start, size)
-    return table.select("*", start.alias("ip_from"), (start + size - 1).alias("ip_to"), length.alias("ip_length"))
+    address = ip_number(parts[0])
+    start = address - F.pmod(address, size)
+    known = start.isNotNull()
+    return table.select("*", start.alias("ip_from"), (start + size - 1).alias("ip_to"), F.when(known, length).alias("ip_length"))
 
 
 def ip_lookup(events: DataFrame, ip: str, table: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Fields of the narrowest range holding the event's address.
+    """Fields of the narrowest range holding the event's address; what is no address or no range matches nothing.
 
-    Addresses are looked up once each. Ranges are cut at /16 borders, which makes the search an equality
-    join on the upper half of the address; one bucket meets the ranges of a single /16 only.
+    Addresses are looked up once each. A range is its length and its leading bits, so an address has one
+    candidate per length that occurs (33 at most), and the search is an equality join.
     """
     ranges = ip_ranges(table).where(F.col("ip_from").isNotNull())
-    upper = F.sequence(F.shiftright("ip_from", 16), F.shiftright("ip_to", 16))
-    cut = ranges.select(*fields, "ip_from", "ip_to", "ip_length", F.explode(upper).alias("_upper"))
-    addresses = (
-        events.select(ip).distinct().withColumn("_n", ip_number(F.col(ip))).where(F.col("_n").isNotNull())
-    ).withColumn("_upper", F.shiftright("_n", 16))
-    hits = addresses.join(cut, "_upper").where(F.col("_n").between(F.col("ip_from"), F.col("ip_to")))
-    best = hits.groupBy(ip).agg(F.max(F.struct("ip_length", *fields)).alias("_best"))
-    return events.join(best.select(ip, *[F.col(f"_best.{f}").alias(f) for f in fields]), ip, "left")
+    lengths = sorted(r["ip_length"] for r in ranges.select("ip_length").distinct().collect())
+    bits = F.call_function("shiftright", F.col("ip_from"), 32 - F.col("ip_length"))
+    ranges = ranges.select(*fields, "ip_length", bits.alias("_bits"))
+    ranges = ranges.groupBy("ip_length", "_bits").agg(F.max(F.struct(*fields)).alias("_best"))
+    addresses = events.select(ip).distinct().withColumn("_n", ip_number(F.col(ip))).where(F.col("_n").isNotNull())
+    candidates = F.array(*[F.struct(F.lit(n).alias("l"), F.shiftright("_n", 32 - n).alias("b")) for n in lengths])
+    if not lengths:
+        return events.select("*", *[F.lit(None).cast(table.schema[f].dataType).alias(f) for f in fields])
+    asked = addresses.select(ip, F.explode(candidates).alias("_c")).select(ip, F.col("_c.l").alias("ip_length"), F.col("_c.b").alias("_bits"))
+    best = asked.join(ranges, ["ip_length", "_bits"]).groupBy(ip).agg(F.max(F.struct("ip_length", "_best")).alias("_m"))
+    return events.join(best.select(ip, *[F.col(f"_m._best.{f}").alias(f) for f in fields]), ip, "left")
 
 
 def _has_any(agent: Column, patterns: Sequence[str]) -> Column:
-    if len(patterns) > PATTERN_LIMIT:
-        raise ValueError(f"more than {PATTERN_LIMIT} user-agent patterns")
     low = F.lower(agent)
-    listed = F.array(*[F.lit(p.lower()) for p in patterns])
+    listed = F.lit([p.lower() for p in patterns])
     return F.coalesce(F.exists(listed, lambda p: F.contains(low, p)), F.lit(False))
 
 
@@ -90,8 +91,11 @@ def mark_robots(
     listed = ip_lookup(events, ip, ip_table.withColumn("_listed", F.lit(True)), ["_listed"])
     browser = _has_any(F.col(agent), include) if include else F.lit(True)
     robot = _has_any(F.col(agent), exclude) if exclude else F.lit(False)
+    # pattern lists of any length are held against each agent once, however many events it has
+    agents = events.select(agent).distinct().select(F.col(agent).alias("_agent"), (~browser | robot).alias("_robot"))
+    known = listed.join(agents, F.col(agent).eqNullSafe(F.col("_agent")), "left")
     by_ip = F.coalesce("_listed", F.lit(False))
-    return listed.withColumn("is_robot", by_ip | ~browser | robot).drop("_listed")
+    return known.withColumn("is_robot", by_ip | F.col("_robot")).drop("_listed", "_agent", "_robot")
 
 
 def without_robots(events: DataFrame, **lists) -> DataFrame:

@@ -184,6 +184,24 @@ sfeat AS (
   FROM sess)"""
 
 
+def _zero_rows(name: str, source: str, columns: str, values: str) -> str:
+    """The rows of ``source``, and one row of ``values`` at the emit time after a window's last."""
+    return f"""{name} AS (
+  SELECT user_id, emit_ts, window_size, {columns} FROM {source} UNION ALL
+  SELECT a.user_id, a.emit_ts + INTERVAL 6 HOUR, a.window_size, {values} FROM {source} a
+  WHERE NOT EXISTS (SELECT 1 FROM {source} b WHERE b.user_id = a.user_id AND b.window_size = a.window_size
+    AND b.emit_ts = a.emit_ts + INTERVAL 6 HOUR))"""
+
+
+PRODUCT_ZERO = _zero_rows(
+    "pzero", "pfeat", "unique_product_count, average_price, min_price, max_price, views", "0, 0.0, 0.0, 0.0, '{}'"
+)
+CATEGORY_ZERO = _zero_rows(
+    "czero", "cfeat", "unique_category_count, most_viewed_category, views", "0, NULL, '{}'"
+)
+PURCHASE_ZERO = _zero_rows("uzero", "uavg", "orders_count, order_value, avg_order_value", "0, 0.0, 0.0")
+
+
 def _metric(prefix: str, name: str, source: str, value: str, suffix: str = " || '_' || window_size") -> str:
     ttl = "CASE window_size WHEN '1d' THEN 900 WHEN '3d' THEN 1800 ELSE 3600 END" if suffix else "3600"
     emit = "emit_ts" if suffix else "close_ts"
@@ -201,20 +219,20 @@ def _words(value: str) -> str:
 _USER, _SESSION = "'user:' || user_id", "'session:' || session_id"
 _METRICS = " UNION ALL ".join(
     [
-        _metric(_USER, "product_view_count", "pfeat", _number("unique_product_count")),
-        _metric(_USER, "avg_viewed_price", "pfeat", _number("average_price")),
-        _metric(_USER, "return_view_count", "pfeat", _words("views")),
-        _metric(_USER, "price_range_viewed", "pfeat", _words("CAST(min_price AS VARCHAR) || '-' || CAST(max_price AS VARCHAR)")),
-        _metric(_USER, "top_category", "cfeat", _words("most_viewed_category")),
-        _metric(_USER, "unique_categories", "cfeat", _number("unique_category_count")),
-        _metric(_USER, "category_view_count", "cfeat", _words("views")),
-        _metric(_USER, "cart_add_count", "kfeat", _number("adds")),
-        _metric(_USER, "cart_remove_count", "kfeat", _number("removes")),
-        _metric(_USER, "cart_update_frequency", "kfeat", _number("update_frequency")),
-        _metric(_USER, "cart_value", "kfeat", _number("cart_value")),
-        _metric(_USER, "orders_count", "uavg", _number("orders_count")),
-        _metric(_USER, "order_value", "uavg", _number("order_value")),
-        _metric(_USER, "avg_order_value", "uavg", _number("avg_order_value")),
+        _metric(_USER, "product_view_count", "pzero", _number("unique_product_count")),
+        _metric(_USER, "avg_viewed_price", "pzero", _number("average_price")),
+        _metric(_USER, "return_view_count", "pzero", _words("views")),
+        _metric(_USER, "price_range_viewed", "pzero", _words("CAST(min_price AS VARCHAR) || '-' || CAST(max_price AS VARCHAR)")),
+        _metric(_USER, "top_category", "czero", _words("most_viewed_category")) + " WHERE most_viewed_category IS NOT NULL",
+        _metric(_USER, "unique_categories", "czero", _number("unique_category_count")),
+        _metric(_USER, "category_view_count", "czero", _words("views")),
+        _metric(_USER, "cart_add_count", "kzero", _number("adds")),
+        _metric(_USER, "cart_remove_count", "kzero", _number("removes")),
+        _metric(_USER, "cart_update_frequency", "kzero", _number("update_frequency")),
+        _metric(_USER, "cart_value", "kzero", _number("cart_value")) + " WHERE cart_value IS NOT NULL",
+        _metric(_USER, "orders_count", "uzero", _number("orders_count")),
+        _metric(_USER, "order_value", "uzero", _number("order_value")),
+        _metric(_USER, "avg_order_value", "uzero", _number("avg_order_value")),
         _metric(_SESSION, "session_duration", "sfeat", _number("duration_ms"), ""),
         _metric(_SESSION, "session_page_count", "sfeat", _number("page_views"), ""),
         _metric(_SESSION, "session_bounce", "sfeat", _words("CAST(bounce AS VARCHAR)"), ""),
@@ -237,9 +255,10 @@ STORED = f"""{GRID}, {CART_ITEMS},
 rows_written AS (
   {_metric(_USER, "cart_add_count", "kzero", "adds AS v")} UNION ALL
   {_metric(_USER, "cart_remove_count", "kzero", "removes AS v")} UNION ALL
-  {_metric(_USER, "cart_update_frequency", "kzero", "update_frequency AS v")}),
+  {_metric(_USER, "cart_update_frequency", "kzero", "update_frequency AS v")} UNION ALL
+  {_metric(_USER, "cart_value", "kzero", "cart_value AS v")} WHERE cart_value IS NOT NULL),
 stored AS (
-  SELECT name, CAST(arg_max(v, emit_ts) AS VARCHAR) AS value, max(emit_ts) AS emit_ts,
+  SELECT name, round(CAST(arg_max(v, emit_ts) AS DOUBLE), 4) AS number, max(emit_ts) AS emit_ts,
     max(emit_ts) + to_seconds(any_value(ttl_seconds)) AS expires_at
   FROM rows_written GROUP BY name)"""
 
@@ -253,8 +272,8 @@ WITH addressed AS (
     '10.' || second || '.' || (user_id % 256) || '.' || (event_id % 256) AS ip
   FROM events),
 placed AS (
-  SELECT a.*, coalesce(n.n_name, CASE WHEN second < 32 THEN (SELECT r_name FROM region WHERE r_regionkey = 0) END) AS place
-  FROM addressed a LEFT JOIN nation n ON n.n_nationkey = a.second)"""
+  SELECT a.*, coalesce(n.n_name, r.r_name) AS place
+  FROM addressed a LEFT JOIN nation n ON n.n_nationkey = a.second LEFT JOIN region r ON r.r_regionkey = a.second // 8)"""
 
 
 def _parameter(name: str) -> str:
@@ -293,10 +312,13 @@ SELECT a.user_id, a.emit_ts + INTERVAL 6 HOUR, a.window_size, 0, 0.0, 0.0, 0.0,
 WHERE NOT EXISTS (SELECT 1 FROM full_grid b WHERE b.user_id = a.user_id AND b.window_size = a.window_size
   AND b.emit_ts = a.emit_ts + INTERVAL 6 HOUR)""",
     "category_view_count": f"{GRID}, {CATEGORY_ITEMS} SELECT * FROM citems",
+    "grid_category_zero_rows": f"""{GRID}, {CATEGORY_ITEMS}, {CATEGORY_ZERO} SELECT user_id, emit_ts, window_size, unique_category_count,
+  most_viewed_category, CASE WHEN views = '{{}}' THEN 0 ELSE unique_category_count END AS viewed FROM czero""",
     "rolling_top_category": f"""{GRID}, {CATEGORY_ITEMS}
 SELECT user_id, emit_ts, window_size, unique_category_count, most_viewed_category FROM cfeat""",
     "grid_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kfeat",
     "grid_cart_zero_rows": f"{GRID}, {CART_ITEMS} SELECT * FROM kzero",
+    "grid_purchase_zero_rows": f"{GRID}, {PURCHASE_ITEMS}, {PURCHASE_ZERO} SELECT * FROM uzero",
     "grid_purchase": f"{GRID}, {PURCHASE_ITEMS} SELECT * FROM uavg",
     "session_bounds": f"""{SHOP}, {SESSIONS}
 SELECT session_id, session_start, last_ts, close_ts, duration_ms, active_ms FROM sfeat""",
@@ -322,10 +344,10 @@ kno AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session_
 SELECT user_id, min(ts) AS session_start, max(ts) AS last_ts, max(ts) + INTERVAL 12 HOUR AS close_ts, count(*) AS carts,
   max(cart_price) AS dearest
 FROM kno GROUP BY user_id, session_no""",
-    "metric_long": f"""{PRODUCT_ITEMS}, {CATEGORY_ITEMS}, {CART_ITEMS}, {PURCHASE_ITEMS}, {SESSIONS}
+    "metric_long": f"""{PRODUCT_ITEMS}, {PRODUCT_ZERO}, {CATEGORY_ITEMS}, {CATEGORY_ZERO}, {CART_ITEMS}, {PURCHASE_ITEMS}, {PURCHASE_ZERO}, {SESSIONS}
 {_METRICS}""",
-    "feature_store_latest": f"{STORED} SELECT name, value, emit_ts, expires_at FROM stored",
-    "feature_store_lookup": f"""{STORED} SELECT s.name, s.value, s.emit_ts, s.expires_at FROM stored s JOIN (
+    "feature_store_latest": f"{STORED} SELECT name, number, emit_ts, expires_at FROM stored",
+    "feature_store_lookup": f"""{STORED} SELECT s.name, s.number, s.emit_ts, s.expires_at FROM stored s JOIN (
   SELECT 'user:' || c_custkey || ':' || m AS name FROM customer
   CROSS JOIN (VALUES ('cart_add_count_7d'), ('cart_remove_count_1d')) AS t(m)) USING (name)
 WHERE s.expires_at > TIMESTAMP '2024-01-30 00:20:00'""",
@@ -346,11 +368,10 @@ SELECT user_id, string_agg(DISTINCT place, ',' ORDER BY place) AS shopper_locati
   count(*) FILTER (WHERE before <> place) AS shopper_region_changes
 FROM moves GROUP BY user_id""",
     "robot_filter": f"""{ADDRESSED} SELECT event_id, user_id FROM addressed
-WHERE second > 4 AND event_type IN ('click', 'view')""",
+WHERE second NOT IN (SELECT n_nationkey FROM nation) AND event_type IN ('click', 'view')""",
     "currency_conversion": """
 WITH rates AS (
-  SELECT * FROM (SELECT event_type, CAST(ts AS DATE) AS rate_date, max(value) AS rate FROM events GROUP BY ALL)
-  WHERE day(rate_date) % 3 <> 0)
+  SELECT event_type, CAST(ts AS DATE) AS rate_date, max(value) AS rate FROM events GROUP BY ALL)
 SELECT CAST(e.event_id AS VARCHAR) AS event_id, round(e.value * CASE WHEN e.event_type = 'signup' THEN 1.0 ELSE (
   SELECT arg_max(r.rate, r.rate_date) FROM rates r
   WHERE r.event_type = e.event_type AND r.rate_date < CAST(e.ts AS DATE)) END, 4) AS amount_base

@@ -6,6 +6,8 @@ one query per job, each with its own checkpoint.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -94,19 +96,30 @@ def run_batch(
     config: FeatureConfig,
     store_path: str,
     bad_path: str | None = None,
-    batch_id: int = 0,
+    run: str | None = None,
     reshaped: bool = True,
 ) -> dict[str, FeatureStore]:
+    """``run`` names this run: repeated under the same name it supersedes itself, any other run adds."""
     spark = prepare(raw.sparkSession)
+    run = run or uuid.uuid4().hex
     parsed = materialise(parse(raw, reshaped), "canonical")
     if bad_path:
         canonical.bad_rows(parsed).write.mode("append").json(bad_path)
     kept = stores(spark, store_path, config)
     for name, metrics in batch_metrics(canonical.good_rows(parsed), config).items():
-        kept[name].upsert(metrics, batch_id)
+        kept[name].upsert(metrics, 0, run)
     return kept
 
 
+def stream_run(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of a checkpoint: the same after a restart, another for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+
+
+def _upserting(store: FeatureStore, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    return lambda metrics, batch_id: store.upsert(metrics, batch_id, stream_run(store.spark, checkpoint))
+
+
 def run_stream(
     raw: DataFrame,
     config: FeatureConfig,
@@ -125,7 +138,7 @@ def run_stream(
     kept = stores(spark, store_path, config)
     queries = [
         metrics.writeStream.queryName(f"{name}-metrics")
-        .foreachBatch(kept[name].upsert)
+        .foreachBatch(_upserting(kept[name], f"{checkpoint}/{name}"))
         .option("checkpointLocation", f"{checkpoint}/{name}")
         .outputMode("append")
         .trigger(**trigger)

@@ -267,6 +267,11 @@ def category_view_count(spark, sf):
     return by_grid.category_item_views(branches.category_views(shop(spark, sf)), WINDOWS)
 
 
+def grid_category_zero_rows(spark, sf):
+    out = by_grid.category_grid(branches.category_views(shop(spark, sf)), WINDOWS)
+    return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category", F.size("views").alias("viewed"))
+
+
 def rolling_top_category(spark, sf):
     out = by_grid.category_grid(branches.category_views(shop(spark, sf)), WINDOWS, empty_rows=False)
     return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category")
@@ -287,6 +292,11 @@ def grid_purchase(spark, sf):
     return out.select(*GRID_KEYS, "orders_count", _r("order_value"), "avg_order_value")
 
 
+def grid_purchase_zero_rows(spark, sf):
+    out = by_grid.purchase_grid(branches.purchase_events(shop(spark, sf)), WINDOWS)
+    return out.select(*GRID_KEYS, "orders_count", _r("order_value"), "avg_order_value")
+
+
 # -- sessions ---------------------------------------------------------------------------------------
 
 
@@ -342,10 +352,10 @@ def session_custom(spark, sf):
 def _all_metrics(spark, sf):
     events = shop(spark, sf)
     grids = {
-        "product": by_grid.product_grid(branches.product_views(events), WINDOWS, empty_rows=False),
-        "category": by_grid.category_grid(branches.category_views(events), WINDOWS, empty_rows=False),
-        "cart": by_grid.cart_grid(branches.cart_events(events), WINDOWS, empty_rows=False),
-        "purchase": by_grid.purchase_grid(branches.purchase_events(events), WINDOWS, empty_rows=False),
+        "product": by_grid.product_grid(branches.product_views(events), WINDOWS),
+        "category": by_grid.category_grid(branches.category_views(events), WINDOWS),
+        "cart": by_grid.cart_grid(branches.cart_events(events), WINDOWS),
+        "purchase": by_grid.purchase_grid(branches.purchase_events(events), WINDOWS),
     }
     parts = [user_metrics(df, name, TTLS) for name, df in grids.items()]
     parts.append(session_metrics(by_session.shop_sessions(branches.session_events(events), GAP), SESSION_TTL))
@@ -369,7 +379,7 @@ def metric_long(spark, sf):
 
 def _cart_metrics(spark, sf):
     carts = by_grid.cart_grid(branches.cart_events(shop(spark, sf)), WINDOWS)
-    return user_metrics(carts, "cart", TTLS).where(~F.col("name").contains("cart_value"))
+    return user_metrics(carts, "cart", TTLS)
 
 
 def _store(spark, sf):
@@ -382,19 +392,24 @@ def _store(spark, sf):
     for batch, chosen in enumerate([part <= 10, (part > 10) & (part <= 20), part > 20]):
         store.upsert(metrics.where(chosen), batch)
         if batch == 1:
-            store.compact()
+            # nothing is old enough to be left out
+            store.compact(F.lit("1970-01-01").cast("timestamp"))
     return store
 
 
+def _stored_numbers(rows: DataFrame) -> DataFrame:
+    return rows.select("name", F.round(F.col("value").cast("double"), 4).alias("number"), "emit_ts", "expires_at")
+
+
 def feature_store_latest(spark, sf):
-    return _store(spark, sf).latest().select("name", "value", "emit_ts", "expires_at")
+    return _stored_numbers(_store(spark, sf).latest())
 
 
 def feature_store_lookup(spark, sf):
     """Two metrics of every customer key that occurs as a user, as of a fixed moment."""
     users = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("u"))
     names = users.select(F.explode(F.array(*[F.concat(F.lit("user:"), "u", F.lit(f":{m}")) for m in ("cart_add_count_7d", "cart_remove_count_1d")])).alias("name"))
-    return _store(spark, sf).lookup(names, F.lit("2024-01-30 00:20:00").cast("timestamp"))
+    return _stored_numbers(_store(spark, sf).lookup(names, F.lit("2024-01-30 00:20:00").cast("timestamp")))
 
 
 # -- enrichments ------------------------------------------------------------------------------------
@@ -436,7 +451,8 @@ def with_address(events: DataFrame) -> DataFrame:
 def address_ranges(spark, sf):
     nation = table(spark, sf, "nation")
     narrow = nation.select(F.concat(F.lit("10."), F.col("n_nationkey").cast("string"), F.lit(".0.0/16")).alias("cidr"), F.col("n_name").alias("place"))
-    wide = table(spark, sf, "region").where("r_regionkey = 0").select(F.lit("10.0.0.0/11").alias("cidr"), F.col("r_name").alias("place"))
+    second = (F.col("r_regionkey") * 8).cast("string")
+    wide = table(spark, sf, "region").select(F.concat(F.lit("10."), second, F.lit(".0.0/13")).alias("cidr"), F.col("r_name").alias("place"))
     return narrow.unionByName(wide)
 
 
@@ -452,8 +468,8 @@ def shopper_regions(spark, sf):
 
 
 def robot_filter(spark, sf):
-    """Addresses of the first nations count as listed; event types play the user agents."""
-    ranges = address_ranges(spark, sf).where(F.col("cidr").endswith("/16") & F.col("cidr").rlike(r"^10\.[0-4]\."))
+    """Addresses of nations count as listed; event types play the user agents."""
+    ranges = address_ranges(spark, sf).where(F.col("cidr").endswith("/16"))
     events = with_address(table(spark, sf, "events"))
     kept = lookups.without_robots(events, ip="ip", agent="event_type", ip_table=ranges, include=["CLICK", "view", "err"], exclude=["err"])
     return kept.select("event_id", "user_id")
@@ -464,7 +480,7 @@ def currency_conversion(spark, sf):
     events = with_address(table(spark, sf, "events"))
     day = F.to_date("ts")
     rates = events.groupBy(F.col("event_type").alias("currency"), day.alias("rate_date")).agg(F.max("value").alias("rate"))
-    out = lookups.convert_currency(events, "value", "event_type", "ts", rates.where(F.dayofmonth("rate_date") % 3 != 0), base="signup")
+    out = lookups.convert_currency(events, "value", "event_type", "ts", rates, base="signup")
     return out.select("event_id", F.round("amount_base", 4).alias("amount_base"))
 
 
@@ -501,10 +517,12 @@ BATCH: dict[str, Query] = {
         product_views_map_long,
         grid_product,
         category_view_count,
+        grid_category_zero_rows,
         rolling_top_category,
         grid_cart,
         grid_cart_zero_rows,
         grid_purchase,
+        grid_purchase_zero_rows,
         session_bounds,
         session_features,
         session_first_campaign,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,14 +16,27 @@ IDLE_SECONDS = 3
 POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
 
 
+@contextmanager
+def larger_watermark(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside take the larger of their watermarks; those started later are as before.
+
+    A query reads the policy once, at its start, and keeps it in its checkpoint.
+    """
+    before = spark.conf.get(POLICY)
+    spark.conf.set(POLICY, "max")
+    try:
+        yield
+    finally:
+        spark.conf.set(POLICY, before)
+
+
 def with_idle_advance(events: DataFrame, delay: str = "5 seconds", idle_seconds: int = IDLE_SECONDS) -> DataFrame:
     """Events whose watermark follows the clock when nothing arrives, so that open windows still close.
 
-    A once-a-second beat carries a second watermark, ``idle_seconds`` behind the clock, and the query takes
-    the larger of the two. Only for live sources: replayed history would count as late.
+    A once-a-second beat carries a second watermark, ``idle_seconds`` behind the clock; start the query inside
+    ``larger_watermark``. Only for live sources: replayed history would count as late.
     """
     spark = events.sparkSession
-    spark.conf.set(POLICY, "max")
     beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(
         *[
             (F.col("timestamp") if f.name == "ts" else F.lit(None).cast(f.dataType)).alias(f.name)

@@ -74,6 +74,41 @@ def test_compaction_keeps_the_table(spark, tmp_path):
     assert values(store.latest()) == {"a": "3", "b": "4"}
 
 
+def test_no_write_hides_another(spark, tmp_path):
+    """Runs with the same batch numbers, and numbers that were folded before, add to the table."""
+    path = str(tmp_path / "s")
+    for i in range(3):
+        FeatureStore(spark, path, buckets=4).upsert(metrics(spark, (f"n{i}", str(i), 60, 0)), 0)
+    store = FeatureStore(spark, path, buckets=4)
+    store.compact()
+    store.upsert(metrics(spark, ("late", "x", 60, 0)), 0)
+    store.compact()
+    store.upsert(metrics(spark, ("late", "y", 60, 1)), 0)
+    assert values(store.latest()) == {"n0": "0", "n1": "1", "n2": "2", "late": "y"}
+
+
+def test_upserts_compact_and_clean_up(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"), buckets=2, compact_after=3)
+    for i in range(10):
+        store.upsert(metrics(spark, (f"n{i}", str(i), 10**9, i), ("a", str(i), 60, i)), i)
+    assert values(store.latest()) == {"a": "9", **{f"n{i}": str(i) for i in range(10)}}
+    assert len(list((tmp_path / "s").glob("part=*"))) <= 6
+    store.upsert(metrics(spark, ("z", "1", 60, 60 * 48)), 10)
+    store.upsert(metrics(spark, ("z", "2", 60, 60 * 48)), 11)
+    store.compact()
+    assert "a" not in values(store.latest()) and len(values(store.latest())) == 11
+
+
+def test_lookup_by_list_reads_its_buckets(spark, tmp_path):
+    store = FeatureStore(spark, str(tmp_path / "s"), buckets=8)
+    store.upsert(metrics(spark, *[(f"n{i}", "1", 60, 0) for i in range(200)]), 0)
+    found = store.lookup(["n7"], F.lit(at(0.5)))
+    assert values(found) == {"n7": "1"}
+    assert "PartitionFilters: [" in physical(found) and "bucket#" in physical(found).split("PartitionFilters: [", 1)[1].split("]")[0]
+    many = [f"n{i}" for i in range(12_000)]
+    assert store.lookup(many, F.lit(at(0.5))).count() == 200
+
+
 class Flaky:
     """Fails the first calls, then writes lines to a file."""
 
@@ -180,11 +215,28 @@ def test_lookup_never_multiplies_events(spark):
     assert {(r.id, r.label) for r in lookups.lookup(events, table, ["key"]).collect()} == {(1, "a"), (2, None)}
 
 
-def test_large_pattern_lists_are_refused(spark):
-    events = spark.createDataFrame([("1.2.3.4", "ua")], "ip string, agent string")
+def test_pattern_lists_of_any_length(spark):
+    events = spark.createDataFrame([("1.2.3.4", "some Robot17 agent"), ("1.2.3.4", "browser"), ("9.1.1.1", "browser"), (None, None)], "ip string, agent string")
     ranges = spark.createDataFrame([("9.0.0.0/8",)], "cidr string")
-    with pytest.raises(ValueError):
-        lookups.mark_robots(events, "ip", "agent", ranges, [], ["x"] * 5001)
+    rows = lookups.mark_robots(events, "ip", "agent", ranges, ["agent", "BROWSER"], [f"robot{i}" for i in range(6000)]).collect()
+    assert {(r.ip, r.agent): r.is_robot for r in rows} == {
+        ("1.2.3.4", "some Robot17 agent"): True,
+        ("1.2.3.4", "browser"): False,
+        ("9.1.1.1", "browser"): True,
+        (None, None): True,
+    }
+
+
+def test_addresses_and_ranges_that_are_none(spark):
+    cidrs = ["10.0.0.0/8", "10.1.0.0/16", "10.1.44.5", "10.1.44.0/33", "10.1.44.0/-1", "300.0.0.0/8", "x/8", "10.1.44.0/", "10.1.2.3/24/5", None]
+    table = spark.createDataFrame([(c, c) for c in cidrs], "cidr string, place string")
+    ips = ["10.0.300.5", "10.1.44.5", "10.1.44.6", "10.255.255.255", "11.0.0.0", "", None, "10.1.44"]
+    events = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "id long, ip string")
+    found = {r.id: r.place for r in lookups.ip_lookup(events, "ip", table, ["place"]).collect()}
+    assert [found[i] for i in range(8)] == [None, "10.1.44.5", "10.1.0.0/16", "10.0.0.0/8", None, None, None, None]
+    everything = spark.createDataFrame([("0.0.0.0/0", "all")], "cidr string, place string")
+    assert lookups.ip_lookup(events, "ip", everything, ["place"]).where("place = 'all'").count() == 4
+    assert lookups.ip_lookup(events, "ip", table.limit(0), ["place"]).where("place IS NULL").count() == 8
 
 
 def physical(df):

@@ -12,6 +12,7 @@ from cartwheel.plans import grid_features, pipeline, session_features
 from cartwheel.plans.queries import tracker_json
 from cartwheel.sources.events import file_events, with_event_time
 from cartwheel.sources.table_events import shop_events_from_table
+from cartwheel.sources.store import FeatureStore
 from cartwheel.sources.sinks import as_json_rows, file_sink, print_sink
 from cartwheel.streaming import native, stateful
 from cartwheel.streaming.event_time import rows_dropped_as_late
@@ -184,22 +185,36 @@ def test_idle_source_still_closes_windows(spark, tmp_path):
     from datetime import timezone
     from time import monotonic, sleep
 
-    from cartwheel.streaming.event_time import POLICY, with_idle_advance
+    from cartwheel.streaming.event_time import POLICY, larger_watermark, with_idle_advance
 
     before = spark.conf.get(POLICY)
     fields = "event_type string, ts timestamp"
     spark.createDataFrame([("view", datetime.now(timezone.utc))], fields).write.parquet(str(tmp_path / "in"))
-    try:
-        events = with_idle_advance(spark.readStream.schema(fields).parquet(str(tmp_path / "in")))
-        counts = events.groupBy(F.window("ts", "2 seconds"), "event_type").count()
-        query = (
-            counts.writeStream.format("memory").queryName("idle").outputMode("append")
-            .option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
-        )
-        end = monotonic() + 60
-        while monotonic() < end and spark.table("idle").count() == 0 and query.exception() is None:
-            sleep(1)
-        query.stop()
-        assert [(r.event_type, r["count"]) for r in spark.table("idle").collect()] == [("view", 1)]
-    finally:
-        spark.conf.set(POLICY, before)
+    events = with_idle_advance(spark.readStream.schema(fields).parquet(str(tmp_path / "in")))
+    counts = events.groupBy(F.window("ts", "2 seconds"), "event_type").count()
+    writer = counts.writeStream.format("memory").queryName("idle").outputMode("append").option("checkpointLocation", str(tmp_path / "c"))
+    with larger_watermark(spark):
+        query = writer.trigger(processingTime="1 second").start()
+    assert spark.conf.get(POLICY) == before
+    end = monotonic() + 60
+    while monotonic() < end and spark.table("idle").count() == 0 and query.exception() is None:
+        sleep(1)
+    query.stop()
+    assert [(r.event_type, r["count"]) for r in spark.table("idle").collect()] == [("view", 1)]
+
+
+def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_path):
+    """Two runs on one checkpoint lose and repeat nothing; a new checkpoint adds to the same table."""
+    raw = str(tmp_path / "raw")
+    events = spark.createDataFrame([(f"u{i}", str(i), 60, datetime(2024, 1, 1, 0, i)) for i in range(4)], "name string, value string, ttl_seconds long, emit_ts timestamp")
+    for i in range(2):
+        events.where(f"name IN ('u{2 * i}', 'u{2 * i + 1}')").write.mode("append").parquet(raw)
+        for checkpoint in ("one", "two"):
+            store = FeatureStore(spark, str(tmp_path / "store"), buckets=2, compact_after=3)
+            query = (
+                spark.readStream.schema(events.schema).parquet(raw).writeStream
+                .foreachBatch(pipeline._upserting(store, str(tmp_path / checkpoint)))
+                .option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+            )
+            query.awaitTermination()
+    assert {r.name: r.value for r in store.latest().collect()} == {f"u{i}": str(i) for i in range(4)}
