@@ -4,8 +4,9 @@ Shingles of ``WORDS`` words are hashed once. The upper bits of a hash name its b
 hash. An empty bin takes the value of the first filled bin in its own fixed pseudo-random sequence of bins
 (two texts with the same filled bins choose alike). The sequence has 2^ROUNDS places and is walked by
 doubling: in round r a bin still empty looks at one other bin as filled after round r - 1. Of every bin
-``BITS`` low-order bits are stored. Two unrelated bins agree with probability 2^-BITS, which ``likeness``
-takes out.
+``BITS`` low-order bits are stored, after its value is hashed with the bin's number: else a short text, whose
+few values fill all bins, would agree with another by chance in many bins at once. Two unrelated bins agree
+with probability 2^-BITS, which ``likeness`` takes out.
 
 All steps are DataFrame expressions on one row: sorting a text's hashes puts its bins next to each other.
 
@@ -56,10 +57,11 @@ def with_fingerprint(rows: DataFrame, text: str, into: str) -> DataFrame:
         return F.transform(known, lambda v, i: F.coalesce(v, F.get(known, F.pmod(F.xxhash64(i, r), F.lit(BINS)).cast("int"))))
 
     filled = F.when(F.size("_lowest") == BINS, F.col("_bins")).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.col("_bins"), round_))
-    low = lambda v: F.coalesce(v, F.get("_lowest", F.lit(0))).bitwiseAND(F.lit((1 << BITS) - 1))
+    mask = F.lit((1 << BITS) - 1)
+    low = F.transform("_filled", lambda v, i: F.xxhash64(F.coalesce(v, F.get("_lowest", F.lit(0))), i).bitwiseAND(mask))
     packed = F.transform(
         F.sequence(F.lit(0), F.lit(BINS // PER_LONG - 1)),
-        lambda g: F.aggregate(F.slice("_filled", g * PER_LONG + 1, F.lit(PER_LONG)), F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, BITS).bitwiseOR(low(v))),
+        lambda g: F.aggregate(F.slice("_low", g * PER_LONG + 1, F.lit(PER_LONG)), F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, BITS).bitwiseOR(v)),
     )
     bare = F.btrim(F.lower(text_of(text)), F.lit(SPACE))
     return (
@@ -69,8 +71,9 @@ def with_fingerprint(rows: DataFrame, text: str, into: str) -> DataFrame:
         .withColumn("_lowest", lowest)
         .withColumn("_bins", spread)
         .withColumn("_filled", filled)
-        .withColumn(into, packed)
-        .drop("_words", "_hashes", "_sorted", "_lowest", "_bins", "_filled")
+        .withColumn("_low", low)
+        .withColumn(into, F.when(F.col("_low").isNotNull(), packed))
+        .drop("_words", "_hashes", "_sorted", "_lowest", "_bins", "_filled", "_low")
     )
 
 

@@ -23,4 +23,32 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLE = {"op8_decontamination": OP8}
+OP4 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest
+"""
+
+OP7 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') AS shingle
+  FROM w, unnest(range(1, greatest(2, len(w) - 1))) AS u(i) WHERE len(w) > 0),
+n AS (SELECT w.doc_id, count(shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 90 * (nx.n + ny.n - i)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.y, r.root FROM r JOIN e ON r.doc_id = e.x)
+SELECT n.doc_id, n.n AS n_shingles, c.root AS component_id
+FROM n JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c ON c.doc_id = n.doc_id
+"""
+
+ORACLE = {"op4_warc": OP4, "op7_jaccard_join": OP7, "op8_decontamination": OP8}
