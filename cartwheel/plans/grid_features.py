@@ -94,7 +94,7 @@ def _empty_times(panes: DataFrame, windows: Sequence[RollingWindow]) -> DataFram
 
 
 def _views(item: str) -> Column:
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(item, "n"))))
+    return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct(item, "n")))))
 
 
 def product_item_views(views: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
@@ -143,12 +143,14 @@ def product_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows:
 
 
 def summarise_products(items: DataFrame, time: str) -> DataFrame:
-    """Product rows of one window to the window's feature row."""
+    """Product rows of one window to the window's feature row; items with a null count only keep the window open."""
+    zero = F.lit(0.0)
+    mean = F.sum("first_price").cast("double") / F.nullif(F.count("n"), F.lit(0))
     return items.groupBy("user_id", time, "window_size").agg(
-        F.count("*").alias("unique_product_count"),
-        (F.sum("first_price").cast("double") / F.count("*")).alias("average_price"),
-        F.min("low").alias("min_price"),
-        F.max("high").alias("max_price"),
+        F.count("n").alias("unique_product_count"),
+        F.when(F.count("n") == 0, zero).otherwise(mean).alias("average_price"),
+        F.when(F.count("n") == 0, zero).otherwise(F.min("low")).alias("min_price"),
+        F.when(F.count("n") == 0, zero).otherwise(F.max("high")).alias("max_price"),
         _views("product_id").alias("views"),
     )
 
@@ -181,10 +183,11 @@ def category_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows
 
 
 def summarise_categories(items: DataFrame, time: str) -> DataFrame:
-    """Most views win; among equals the alphabetically smallest."""
+    """Most views win; among equals the alphabetically smallest. Items with a null count only keep the window open."""
+    most = F.min(F.when(F.col("n").isNotNull(), F.struct((-F.col("n")).alias("n"), "category")))
     return items.groupBy("user_id", time, "window_size").agg(
-        F.count("*").alias("unique_category_count"),
-        F.min(F.struct((-F.col("n")).alias("n"), "category"))["category"].alias("most_viewed_category"),
+        F.count("n").alias("unique_category_count"),
+        most["category"].alias("most_viewed_category"),
         _views("category").alias("views"),
     )
 

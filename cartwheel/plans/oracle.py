@@ -385,18 +385,20 @@ _PASSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 5 SECOND FROM {
 
 
 def _passed(column: str, source: str, strictly: bool = False) -> str:
-    return f"{column} {'<' if strictly else '<='} {_PASSED.format(source=source)} AND window_size = '1d'"
+    return f"{column} {'<' if strictly else '<='} {_PASSED.format(source=source)}"
 
 
 ORACLE |= {
-    "stream_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kfeat WHERE {_passed('emit_ts', 'shop')}",
-    "stream_product": f"""{PRODUCT_ITEMS} SELECT user_id, emit_ts, window_size, unique_product_count,
-  round(average_price, 6) AS average_price, min_price, max_price FROM pfeat WHERE {_passed('emit_ts', 'shop')}""",
-    "stream_category": f"""{GRID}, {CATEGORY_ITEMS} SELECT user_id, emit_ts, window_size, unique_category_count,
-  most_viewed_category FROM cfeat WHERE {_passed('emit_ts', 'shop')}""",
-    "stream_purchase": f"{GRID}, {PURCHASE_ITEMS} SELECT * FROM uavg WHERE {_passed('emit_ts', 'shop')}",
-    "stream_sessions": f"""{SHOP}, {SESSIONS} SELECT session_id, session_start, last_ts, page_views, searches, product_views,
-  cart_adds, campaign, latest_platform FROM sfeat WHERE close_ts <= {_PASSED.format(source='shop')}""",
+    "stream_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kzero WHERE {_passed('emit_ts', 'shop')}",
+    "stream_product": f"""{PRODUCT_ITEMS}, {PRODUCT_ZERO} SELECT user_id, emit_ts, window_size, unique_product_count,
+  round(average_price, 6) AS average_price, min_price, max_price FROM pzero WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_category": f"""{GRID}, {CATEGORY_ITEMS}, {CATEGORY_ZERO} SELECT user_id, emit_ts, window_size, unique_category_count,
+  most_viewed_category FROM czero WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_purchase": f"{GRID}, {PURCHASE_ITEMS}, {PURCHASE_ZERO} SELECT * FROM uzero WHERE {_passed('emit_ts', 'shop')}",
+    "stream_sessions": f"""{SHOP}, {SESSIONS} SELECT session_id, session_start, last_ts, user_id, page_views, searches, product_views,
+  cart_adds, campaign, devices, latest_platform, bounce, cart_ratio
+FROM sfeat JOIN (SELECT session_id, session_no, string_agg(device, ',' ORDER BY place) AS devices FROM sdev GROUP BY ALL) USING (session_id, session_no)
+WHERE close_ts <= {_PASSED.format(source='shop')}""",
     "stream_cart_exact": f"""{GRID}, {CART_ITEMS} SELECT user_id, emit_ts, window_size, adds, removes FROM kzero
 WHERE {_passed('emit_ts', 'shop')}""",
     "stream_sessions_running": f"""{SHOP}, {SESSIONS},

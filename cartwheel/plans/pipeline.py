@@ -74,7 +74,7 @@ def batch_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFra
 def stream_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
     out = {}
     for name, (branch, windows) in jobs(config).items():
-        out[name] = _metrics(STREAM_FEATURES[branch](events, windows), branch, windows)
+        out[name] = _metrics(STREAM_FEATURES[branch](events, windows, empty_rows=True), branch, windows)
     sessions = native.session_stream(events, config.session.gap_seconds)
     out["session"] = session_metrics(sessions, config.session.ttl_seconds)
     return out

@@ -6,6 +6,7 @@ Results are what the watermark had passed when the input ended.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,6 @@ from cartwheel.sources.table_events import shop_events_from_table
 from cartwheel.sources.workspace import new_folder
 from cartwheel.streaming import native, stateful
 
-DAY_WINDOW = WINDOWS[:1]
-
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
@@ -46,34 +45,39 @@ def finish(df: DataFrame, name: str) -> DataFrame:
 
 
 def stream_cart(spark, sf):
-    out = finish(native.cart_stream(events_stream(spark, sf), DAY_WINDOW), "stream_cart")
+    out = finish(native.cart_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_cart")
     return out.withColumn("cart_value", F.round("cart_value", 6))
 
 
 def stream_product(spark, sf):
-    out = finish(native.product_stream(events_stream(spark, sf), DAY_WINDOW), "stream_product")
+    out = finish(native.product_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_product")
     return out.select(*GRID_KEYS, "unique_product_count", F.round("average_price", 6).alias("average_price"), "min_price", "max_price")
 
 
 def stream_category(spark, sf):
-    out = finish(native.category_stream(events_stream(spark, sf), DAY_WINDOW), "stream_category")
+    out = finish(native.category_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_category")
     return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category")
 
 
 def stream_purchase(spark, sf):
-    out = finish(native.purchase_stream(events_stream(spark, sf), DAY_WINDOW), "stream_purchase")
+    """One query per window."""
+    parts = [finish(native.purchase_stream(events_stream(spark, sf), [w], empty_rows=True), "stream_purchase") for w in WINDOWS]
+    out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("order_value", F.round("order_value", 6))
 
 
 def stream_sessions(spark, sf):
     out = finish(native.session_stream(events_stream(spark, sf), GAP), "stream_sessions")
-    return out.select("session_id", "session_start", "last_ts", "page_views", "searches", "product_views", "cart_adds", "campaign", "latest_platform")
+    devices = F.array_join("device_types", ",").alias("devices")
+    return out.select(
+        "session_id", "session_start", "last_ts", "user_id", "page_views", "searches", "product_views", "cart_adds", "campaign", devices, "latest_platform", "bounce", "cart_ratio"
+    )
 
 
 def stream_cart_exact(spark, sf):
     """With the zero row after each stretch, from the timer-driven operator."""
     carts = branches.cart_events(events_stream(spark, sf))
-    out = stateful.rolling_stream(carts, "user_id", DAY_WINDOW, stateful.cart_counts, stateful.CART_COUNTS_DDL)
+    out = stateful.rolling_stream(carts, "user_id", WINDOWS, stateful.cart_counts, stateful.CART_COUNTS_DDL)
     return finish(out, "stream_cart_exact")
 
 

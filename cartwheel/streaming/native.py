@@ -34,8 +34,20 @@ def _panes(ts: str, w: RollingWindow) -> Column:
     return F.window(ts, f"{_pane(w)} seconds").alias("pane")
 
 
-def _sliding(w: RollingWindow) -> Column:
-    return F.window(F.window_time("pane"), f"{w.duration_seconds} seconds", f"{w.emit_seconds} seconds").alias("w")
+def _in_windows(panes: DataFrame, w: RollingWindow, empty_rows: bool) -> DataFrame:
+    """Each pane in the windows ``w`` that ask for it, and whether it is ``inside``.
+
+    With ``empty_rows`` windows reach one emit interval further back: where all panes are in that part, the
+    rolling window has just emptied, and gets one row of zeros.
+    """
+    reach = w.duration_seconds + (w.emit_seconds if empty_rows else 0)
+    kept = panes.withColumn("w", F.window(F.window_time("pane"), f"{reach} seconds", f"{w.emit_seconds} seconds"))
+    start = F.unix_micros(F.window_time("w")) + 1 - w.duration_seconds * MICROS
+    return kept.withColumn("inside", F.unix_micros(F.window_time("pane")) >= start)
+
+
+def _inside(column: str) -> Column:
+    return F.when(F.col("inside"), F.col(column))
 
 
 def _named(df: DataFrame, w: RollingWindow, *columns: str | Column) -> DataFrame:
@@ -49,7 +61,7 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def cart_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def cart_stream(events: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     carts = branches.cart_events(events)
     value = updated_total("event_type", "previous_price", "product_price").alias("cart_value")
 
@@ -59,8 +71,10 @@ def cart_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFram
             F.count_if(F.col("event_type") == schema.REMOVE).alias("removes"),
             F.max(F.struct("ts", "event_id", value)).alias("newest"),
         )
-        rolled = panes.groupBy("user_id", _sliding(w)).agg(
-            F.sum("adds").alias("adds"), F.sum("removes").alias("removes"), F.max("newest").alias("newest")
+        rolled = _in_windows(panes, w, empty_rows).groupBy("user_id", "w").agg(
+            F.coalesce(F.sum(_inside("adds")), F.lit(0)).alias("adds"),
+            F.coalesce(F.sum(_inside("removes")), F.lit(0)).alias("removes"),
+            F.max(_inside("newest")).alias("newest"),
         )
         total = (F.col("adds") + F.col("removes")).alias("update_frequency")
         return _named(rolled, w, "adds", "removes", total, F.col("newest.cart_value").alias("cart_value"))
@@ -68,7 +82,7 @@ def cart_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFram
     return _union([one(w) for w in windows])
 
 
-def product_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def product_stream(events: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     views = branches.product_views(events)
     price = F.col("product_price")
 
@@ -79,11 +93,11 @@ def product_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataF
             F.min(price).alias("low"),
             F.max(price).alias("high"),
         )
-        items = panes.groupBy("user_id", "product_id", _sliding(w)).agg(
-            F.sum("n").alias("n"),
-            F.min("first")["product_price"].cast(MONEY).alias("first_price"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
+        items = _in_windows(panes, w, empty_rows).groupBy("user_id", "product_id", "w").agg(
+            F.sum(_inside("n")).alias("n"),
+            F.min(_inside("first"))["product_price"].cast(MONEY).alias("first_price"),
+            F.min(_inside("low")).alias("low"),
+            F.max(_inside("high")).alias("high"),
         )
         features = summarise_products(items.withColumn("window_size", F.lit(w.label)), "w")
         return features.select("user_id", F.col("w.end").alias("emit_ts"), *[c for c in features.columns if c not in ("user_id", "w")])
@@ -91,19 +105,19 @@ def product_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataF
     return _union([one(w) for w in windows])
 
 
-def category_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def category_stream(events: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     views = branches.keep(branches.category_views(events), F.col("category").isNotNull())
 
     def one(w: RollingWindow) -> DataFrame:
         panes = views.groupBy("user_id", "category", _panes("ts", w)).agg(F.count("*").alias("n"))
-        items = panes.groupBy("user_id", "category", _sliding(w)).agg(F.sum("n").alias("n"))
+        items = _in_windows(panes, w, empty_rows).groupBy("user_id", "category", "w").agg(F.sum(_inside("n")).alias("n"))
         features = summarise_categories(items.withColumn("window_size", F.lit(w.label)), "w")
         return features.select("user_id", F.col("w.end").alias("emit_ts"), *[c for c in features.columns if c not in ("user_id", "w")])
 
     return _union([one(w) for w in windows])
 
 
-def purchase_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def purchase_stream(events: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     """Pairing needs a user's events in order, so it runs as a stateful operator before the windows.
 
     One window per query: a second operator of this kind in the same query yields nothing (tried on 4.1).
@@ -115,8 +129,9 @@ def purchase_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> Data
         .groupBy("user_id", floor_to(position("cart_ts"), width).alias("cart_pane"), _panes("ts", w))
         .agg(F.count("order_value").alias("n"), F.sum(F.col("order_value").cast(MONEY)).alias("total"))
     )
+    # an order counts while its cart is inside
     inside = F.col("cart_pane") >= F.unix_micros(F.window_time("w")) + 1 - w.duration_seconds * MICROS
-    kept = panes.withColumn("w", _sliding(w)).withColumn("inside", F.coalesce(inside, F.lit(False)))
+    kept = _in_windows(panes, w, empty_rows).withColumn("inside", F.coalesce(inside, F.lit(False)))
     rolled = kept.groupBy("user_id", "w").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("orders_count"),
         F.coalesce(F.sum(F.when(F.col("inside"), F.col("total"))), F.lit(0).cast(MONEY)).alias("order_total"),
@@ -131,7 +146,8 @@ def purchase_stream(events: DataFrame, windows: Sequence[RollingWindow]) -> Data
 
 
 def session_stream(events: DataFrame, gap_seconds: int) -> DataFrame:
-    """Closed sessions. Device classes are a fixed small set, so their first sightings are plain minima."""
+    """Closed sessions. First sightings of the known device classes are plain minima; of any other device all
+    sightings in the session are kept, as its name is not known beforehand."""
     rows = branches.session_events(events)
     seen = {f"_seen_{i}": name for i, name in enumerate(DEVICE_CLASSES)}
     grouped = rows.groupBy("session_id", F.session_window("ts", f"{gap_seconds} seconds").alias("w")).agg(
@@ -143,8 +159,9 @@ def session_stream(events: DataFrame, gap_seconds: int) -> DataFrame:
             F.min(F.when(F.col("device") == name, F.struct("ts", "event_id", "device"))).alias(n)
             for n, name in seen.items()
         ],
+        F.collect_set(F.when(F.coalesce(~F.col("device").isin(*seen.values()), F.lit(True)), F.struct("ts", "event_id", "device"))).alias("others"),
     )
-    sightings = F.array_sort(F.filter(F.array(*seen), lambda s: s.isNotNull()))
+    sightings = F.array_sort(F.concat(F.filter(F.array(*seen), lambda s: s.isNotNull()), "others"))
     out = grouped.select(
         "session_id",
         F.col("w.start").alias("session_start"),
@@ -153,7 +170,7 @@ def session_stream(events: DataFrame, gap_seconds: int) -> DataFrame:
         F.col("newest.user_id").alias("user_id"),
         *COUNTS,
         F.col("marketed.campaign").alias("campaign"),
-        F.transform(sightings, lambda s: s["device"]).alias("device_types"),
+        F.array_distinct(F.transform(sightings, lambda s: s["device"])).alias("device_types"),
         F.col("newest.platform").alias("latest_platform"),
     )
     return derive(out, F.col("close_ts"))

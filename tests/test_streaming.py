@@ -80,13 +80,15 @@ CASES = {
 }
 
 
+@pytest.mark.parametrize("empty_rows", [False, True])
 @pytest.mark.parametrize("name", list(CASES))
-def test_rolling_stream_equals_batch(spark, folder, tmp_path, name):
+def test_rolling_stream_equals_batch(spark, folder, tmp_path, name, empty_rows):
     streamed, project, grid, columns = CASES[name]
     got = set()
     for i, windows in enumerate([[w] for w in WINDOWS] if name == "purchase" else [WINDOWS]):
-        got |= rows_of(run(streamed(stream(spark, folder), windows), tmp_path, f"native_{name}_{i}"), *KEYS, *columns)
-    want = grid(project(batch(spark, folder)), WINDOWS, False).where(F.col("emit_ts") <= passed(spark, folder))
+        out = streamed(stream(spark, folder), windows, empty_rows)
+        got |= rows_of(run(out, tmp_path, f"native_{name}_{i}_{empty_rows}"), *KEYS, *columns)
+    want = grid(project(batch(spark, folder)), WINDOWS, empty_rows).where(F.col("emit_ts") <= passed(spark, folder))
     want = rows_of(want, *KEYS, *columns)
     assert len(want) > 100
     assert got == want
