@@ -45,7 +45,7 @@ SPARE = 3
 # points in a leaf of a tree, boxes in a box
 LEAF = 24
 # sets of a cluster that one task holds at most twice
-BLOCK = 2_000
+BLOCK = 500
 # words a worker remembers the hash of
 REMEMBERED = 500_000
 # entries that one task takes at a time
@@ -199,18 +199,19 @@ def tiles(documents: DataFrame, words: int, threshold: Fraction, decks: int) ->
 def whole_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``wanted`` (with ``hash`` and an id of such a row, ``_row``) and the set itself as ``elements``."""
 
-    @F.arrow_udf("struct<hash:long,elements:binary>")
-    def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in parts:
-            every = [shingle_set(t, words) for t in texts.to_pylist()]
-            hashes = pa.array([set_hash(x) for x in every], pa.int64())
-            yield pa.StructArray.from_arrays([hashes, pa.array([x.tobytes() for x in every], pa.binary())], ["hash", "elements"])
+    @F.arrow_udf("binary")
+    def found(texts: pa.Array, hashes: pa.Array) -> pa.Array:
+        every = [shingle_set(t, words) for t in texts.to_pylist()]
+        # an id can have several texts
+        own = zip(every, hashes.to_pylist(), strict=True)
+        return pa.array([x.tobytes() if set_hash(x) == h else None for x, h in own], pa.binary())
 
     ids = wanted.select(F.col("_row").alias("_id"), *[c for c in wanted.columns if c != "_row"])
     held = documents.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")))
-    held = held.select(*[c for c in wanted.columns if c != "_row"], found(text_of("text")).alias("_set"))
-    # an id can have several texts; repeated rows give a set several times, which does no harm
-    return held.where("_set.hash = hash").select("*", "_set.elements").drop("_set")
+    # the wanted hash is an argument, else the sets of all documents would be computed below the join;
+    # repeated rows give a set several times, which does no harm
+    held = held.select(*[c for c in wanted.columns if c != "_row"], found(text_of("text"), F.col("hash")).alias("elements"))
+    return held.where("elements IS NOT NULL")
 
 
 def linked_pairs(pairs: DataFrame, documents: DataFrame, classes: DataFrame, words: int, threshold: Fraction) -> DataFrame:
