@@ -4,20 +4,19 @@ A word scores count(pair) / count(first word) if its pair with the word before o
 BACKOFF * count(word) / all words. The word before the first one is a mark that occurs once per document. A
 document's score is the sum of the logarithms; counts are of all documents.
 
-* Every word is an entry, dealt out by the hash of the word itself: its group holds all its occurrences,
-  so both count(pair) and count(word) are there, and no count table is written.
-* Pairs that are frequent enough ask the group of their first word for its count; the answers are sums
-  per document as well.
-* Words and pairs with a share of HEAVY or more are hot keys. At most 2 / HEAVY of each can be, so their
-  exact counts are sent to all tasks. Heavy pairs are scored where they are read. Words that are heavy are
-  dealt out by the hash of the pair, as their count is known.
-* What a group finds is summed per document before it is dealt out by document.
+* Documents are dealt into blocks. A block asks about each of its distinct pairs once, and the pairs are dealt out
+  by the hash of their second word: that group holds all its occurrences, so count(pair) and count(word) are both
+  known there. The answers go back to the block in the order of its questions, without keys, and the block
+  scores its documents with them: every first word of a pair is the second word of the pair before it.
+* Words with a share of HEAVY or more are hot keys. At most 2 / HEAVY of them can be, so their exact counts are
+  sent to all tasks, and pairs that end in one are dealt out by the hash of the pair. A frequent pair is no hot
+  key, as each block asks about it once.
 
 Words are taken as runs of non-space characters, A-Z in lower case. They are known by 40 bits of their hash,
-within a group by the lower 32 and the group itself; groups grow in number with the corpus.
+within a group by the lower 32 and the group itself; groups and blocks grow in number with the corpus.
 
 Defined results: null, empty and blank texts have no words, score 0 and no mean. Rows that repeat an id and its
-text have the same score each. Null ids are kept.
+text have the same score each. Null ids are kept, and so is every row.
 """
 
 from __future__ import annotations
@@ -34,9 +33,9 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import LOWER, materialise, parallelism, text_of
 
 CUTOFF, BACKOFF = 2, 0.4
-HEAVY = 1 / 4096
-# entries of a group, which one task holds
-GROUP_ENTRIES = 3_000_000
+HEAVY = 1 / 16384
+# words of a block and pairs of a group, each of which one task holds
+BLOCK_WORDS, GROUP_PAIRS = 1_000_000, 1_500_000
 REMEMBERED = 500_000
 MARK = 0
 _U = np.uint64
@@ -56,13 +55,8 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
-def key_of(doc_id: int | None, text: str) -> int:
-    """Names a document and its text."""
-    return xxhash.xxh3_64_intdigest(f"{doc_id}\n{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-def hashed(ids: list, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a batch, the words before them, the place of their document, and the documents' keys."""
+def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of some texts, the words before them, and the place of their text."""
     if len(_HASHES) > REMEMBERED:
         _HASHES.clear()
     tokens = [words(t) for t in texts]
@@ -71,8 +65,7 @@ def hashed(ids: list, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
     before = np.r_[_U(MARK), flat[:-1]] if len(flat) else flat
     starts = np.cumsum(sizes) - sizes
     before[starts[sizes > 0]] = MARK
-    keys = np.array([key_of(i, t) for i, t in zip(ids, texts, strict=True)], np.int64)
-    return flat, before, np.repeat(np.arange(len(texts)), sizes), keys
+    return flat, before, np.repeat(np.arange(len(texts)), sizes)
 
 
 def pair_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -81,28 +74,21 @@ def pair_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _counts(documents: DataFrame, candidates: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
-    """Per kind (0: words, 1: pairs, 2: totals) hash and count: of the batch's frequent ones, or of all candidates."""
+def _counts(documents: DataFrame, candidates: np.ndarray | None) -> DataFrame:
+    """Per kind (0: words, 1: all words, 2: texts with words) hash and count: of a batch's frequent words, or of the candidates."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, before, _, _ = hashed(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            kinds, hashes, counts = [np.array([2, 2])], [np.array([0, 1], np.int64)], [np.array([len(flat), int((before == MARK).sum())])]
-            for kind, values in ((0, flat), (1, pair_of(before, flat))):
-                if candidates is not None:
-                    values = values[_among(values, candidates[kind])]
-                own, n = np.unique(values, return_counts=True)
-                if candidates is None:
-                    often = n >= max(2, HEAVY / 2 * len(flat))
-                    own, n = own[often], n[often]
-                kinds.append(np.full(len(own), kind))
-                hashes.append(own.view(np.int64))
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kinds).astype(np.int32)), pa.array(np.concatenate(hashes)), pa.array(np.concatenate(counts).astype(np.int64))], ["kind", "hash", "n"]
-            )
-
-    return documents.select("doc_id", text_of("text").alias("text")).mapInArrow(count, "kind int, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n"))
+            flat, before, _ = hashed(batch.column(0).to_pylist())
+            own, n = np.unique(flat if candidates is None else flat[_among(flat, candidates)], return_counts=True)
+            if candidates is None:
+                often = n >= max(2, HEAVY / 2 * len(flat))
+                own, n = own[often], n[often]
+            kinds = np.r_[1, 2, np.zeros(len(own), int)].astype(np.int32)
+            hashes, counts = np.r_[0, 0, own.view(np.int64)], np.r_[len(flat), (before == MARK).sum(), n].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(hashes), pa.array(counts)], ["kind", "hash", "n"])
+
+    return documents.select(text_of("text").alias("text")).mapInArrow(count, "kind int, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n"))
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -111,208 +97,144 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _table(rows: list, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    own = sorted((r.hash % (1 << 64), r.n) for r in rows if r.kind == kind)
-    return np.array([h for h, _ in own], _U), np.array([n for _, n in own], np.int64)
-
-
 def heavy_counts(documents: DataFrame) -> SimpleNamespace:
-    """Exact counts of the hot words and pairs (``words``, ``pairs``: ordered hashes), and of all words (``all``).
+    """Exact counts of the hot words (``words``: ordered hashes), of all words and of texts with words.
 
-    What has a share of HEAVY in the corpus has half of that at least in the batches that hold half of its
-    occurrences, and sums that reach half of HEAVY there are few.
+    A word with a share of HEAVY has half of that at least in the batches that hold half of its occurrences;
+    sums that reach half of HEAVY there are few.
     """
     first = materialise(_counts(documents, None), "counts")
-    totals = {r.hash: r.n for r in first.where("kind = 2").collect()}
-    every, marks = totals.get(0, 0), totals.get(1, 0)
-    frequent = first.where((F.col("kind") < 2) & (F.col("n") >= HEAVY / 2 * every)).collect()
-    names = tuple(np.sort(np.array([r.hash for r in frequent if r.kind == k], np.int64).view(_U)) for k in (0, 1))
-    found = _counts(documents, names).where("kind < 2").collect() if every else []
-    words_, counts = _table(found, 0)
-    pairs, pair_counts = _table(found, 1)
-    # the mark is a word that all documents share; no word has its number, so it comes first
-    return SimpleNamespace(all=every, words=np.r_[_U(MARK), words_], word_counts=np.r_[marks, counts], pairs=pairs, pair_counts=pair_counts)
-
-
-def _count_of(values: np.ndarray, names: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts[np.searchsorted(names, values)]
-
-
-PACKED = "group long, kind int, documents binary, entries binary"
-# what a packed row holds: entries per document, sums per document, counts of words
-ENTRIES, SUMS, COUNTS = 0, 1, 2
-
-
-def _row(groups: list | np.ndarray, kind: int, documents: list[bytes], entries: list[bytes]) -> pa.RecordBatch:
-    kinds = pa.array([kind] * len(groups), pa.int32())
-    columns = [pa.array(np.array(groups, np.int64)), kinds, pa.array(documents, pa.binary()), pa.array(entries, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["group", "kind", "documents", "entries"])
-
+    totals = {r.kind: r.n for r in first.where("kind > 0").collect()}
+    every = totals.get(1, 0)
+    frequent = first.where((F.col("kind") == 0) & (F.col("n") >= HEAVY / 2 * every)).collect()
+    names = np.sort(np.array([r.hash for r in frequent], np.int64).view(_U))
+    found = _counts(documents, names).where("kind = 0").collect() if len(names) else []
+    own = sorted((r.hash % (1 << 64), r.n) for r in found)
+    return SimpleNamespace(all=every, marks=totals.get(2, 0), words=np.array([h for h, _ in own], _U), counts=np.array([n for _, n in own], np.int64))
 
-def _grouped_blobs(group: np.ndarray, place: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    """Rows by group: per document its key and number of entries, and the entries, ordered by document."""
-    order = np.lexsort((place, group))
-    group, place = group[order], place[order]
-    cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
-    data = np.concatenate([c[order] for c in columns], 1)
-    documents, entries = [], []
-    for start, end in zip(cuts, cuts[1:]):
-        docs, n = np.unique(place[start:end], return_counts=True)
-        documents.append(keys[docs].tobytes() + n.astype("<u4").tobytes())
-        entries.append(data[start:end].tobytes())
-    return _row(group[cuts[:-1]], ENTRIES, documents, entries)
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, most of them small: a byte each, and eight more from 255 on."""
+    large = values >= 255
+    return np.where(large, 255, values).astype(np.uint8).tobytes() + values[large].astype("<i8").tobytes()
 
-def _sum_rows(keys: np.ndarray, sums: np.ndarray, groups: int) -> pa.RecordBatch:
-    """Sums per document, in groups below 0 by document."""
-    group = keys % groups
-    order = np.argsort(group, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0, True])
-    parts = [order[i:j] for i, j in zip(cuts, cuts[1:])]
-    return _row(-1 - group[order][cuts[:-1]], SUMS, [keys[x].astype("<i8").tobytes() for x in parts], [sums[x].astype("<f8").tobytes() for x in parts])
 
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    values = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    values[values == 255] = np.frombuffer(data, "<i8", offset=n)
+    return values
 
-def _opened(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and entries (rows of bytes) of one group."""
-    keys, entries = [np.empty(0, np.int64)], [np.empty((0, width), np.uint8)]
-    for kind, head, body in zip(rows["kind"].to_pylist(), rows["documents"].to_pylist(), rows["entries"].to_pylist(), strict=True):
-        if kind == ENTRIES:
-            docs = len(head) // 12
-            keys.append(np.repeat(np.frombuffer(head, "<i8", docs), np.frombuffer(head, "<u4", docs, 8 * docs)))
-            entries.append(np.frombuffer(body, np.uint8).reshape(-1, width))
-    return np.concatenate(keys), np.concatenate(entries)
 
+class Question:
+    """The distinct pairs of a block in the order of their groups: group, second word's name, first word, number."""
 
-def _known_sums(rows: pa.Table, groups: int) -> Iterator[pa.RecordBatch]:
-    """The sums of a group below 0, added up."""
-    if rows["kind"][0].as_py() == SUMS:
-        keys = np.concatenate([np.frombuffer(x, "<i8") for x in rows["documents"].to_pylist()])
-        sums = np.concatenate([np.frombuffer(x, "<f8") for x in rows["entries"].to_pylist()])
-        yield _sum_rows(*_sums(keys, sums), groups)
+    def __init__(self, texts: list[str], heavy: SimpleNamespace, groups: int) -> None:
+        flat, before, self.place = hashed(texts)
+        self.first = before == MARK
+        often = _among(flat, heavy.words)
+        pair = pair_of(before, flat)
+        # heavy words are in groups of their own, named by their place among the heavy ones
+        group = np.where(often, ((pair >> _U(32)) * _U(groups) >> _U(32)) + _U(groups), (((flat & _40) >> _U(8)) * _U(groups)) >> _U(32))
+        name = np.where(often, np.searchsorted(heavy.words, flat).astype(_U), flat & _U(0xFFFFFFFF))
+        key = name << _U(32) | before & _U(0xFFFFFFFF)
+        order = np.lexsort((key, group))
+        key, group = key[order], group[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (group[1:] != group[:-1])][: len(key)]
+        self.at = np.empty(len(order), np.int64)
+        self.at[order] = np.cumsum(new) - 1
+        self.key, self.group = key[new], group[new].astype(np.int64)
+        self.n = np.diff(np.r_[np.flatnonzero(new), len(key)])
+        self.cuts = np.flatnonzero(np.r_[True, self.group[1:] != self.group[:-1], True]) if len(self.key) else np.zeros(1, int)
 
+    def segments(self) -> Iterator[tuple[int, slice]]:
+        for start, end in zip(self.cuts, self.cuts[1:]):
+            yield int(self.group[start]), slice(start, end)
 
-def _bytes(values: np.ndarray, width: int) -> np.ndarray:
-    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
 
+def _runs(names: np.ndarray) -> np.ndarray:
+    """Where runs of the same second word begin, and the end."""
+    return np.flatnonzero(np.r_[True, names[1:] != names[:-1], True])
 
-def _number(columns: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(columns), 8), np.uint8)
-    wide[:, : columns.shape[1]] = columns
-    return wide.view("<u8").ravel()
 
+ASKED = "group long, block long, names binary, runs binary, firsts binary, numbers binary"
+TOLD = "block long, group long, pairs binary, words binary"
 
-def _group_of(values: np.ndarray, groups: int) -> np.ndarray:
-    """By the upper of 40 bits."""
-    return (((values & _40) >> _U(8)) * _U(groups)) >> _U(32)
 
-
-def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own, place = np.unique(keys, return_inverse=True)
-    return own, np.bincount(place, values, len(own))
-
-
-def entries(documents: DataFrame, heavy: SimpleNamespace, groups: int) -> DataFrame:
-    """All words but those of heavy pairs, as (group, documents, entries of word and word before); heavy pairs
-    are sums already. Heavy words are in groups of their own, by their place among the heavy ones."""
-    sent = documents.sparkSession.sparkContext.broadcast(heavy)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        for batch in batches:
-            flat, before, place, keys = hashed(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            pair = pair_of(before, flat)
-            done = _among(pair, known.pairs)
-            if done.any():
-                value = np.log(_count_of(pair[done], known.pairs, known.pair_counts) / _count_of(before[done], known.words, known.word_counts))
-                docs, at = np.unique(place[done], return_inverse=True)
-                yield _sum_rows(keys[docs], np.bincount(at, value, len(docs)), groups)
-            if not done.all():
-                flat, before, pair, place = (x[~done] for x in (flat, before, pair, place))
-                often = _among(flat, known.words)
-                group = np.where(often, _group_of(pair, groups) + _U(groups), _group_of(flat, groups)).astype(np.int64)
-                name = np.where(often, np.searchsorted(known.words, flat).astype(_U), flat)
-                yield _grouped_blobs(group, place, keys, _bytes(name, 4), _bytes(before, 5))
-
-    return documents.select("doc_id", text_of("text").alias("text")).mapInArrow(emit, PACKED)
-
-
-def first_round(dealt: DataFrame, heavy: SimpleNamespace, groups: int) -> DataFrame:
-    """Sums of backed-off words and of frequent pairs; the words before whose counts other groups know; those counts."""
+def asked(dealt: DataFrame, heavy: SimpleNamespace, groups: int) -> DataFrame:
     sent = dealt.sparkSession.sparkContext.broadcast(heavy)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        rows = pa.Table.from_batches(list(batches))
-        yield from _known_sums(rows, groups)
-        group = rows["group"][0].as_py()
-        if group < 0:
-            return
-        keys, data = _opened(rows, 9)
-        word, before = _number(data[:, :4]), _number(data[:, 4:])
-        pairs = _repeats(pair_of(before, word))
-        if group >= groups:
-            singles = known.word_counts[word.astype(np.int64)]
-        else:
-            own, at, n = np.unique(word, return_inverse=True, return_counts=True)
-            singles, frequent = n[at], n >= CUTOFF
-            yield _row([group], COUNTS, [own[frequent].astype("<u4").tobytes()], [n[frequent].astype("<i8").tobytes()])
-        often = pairs >= CUTOFF
-        value = np.where(often, np.log(pairs), np.log(BACKOFF * singles / known.all))
-        told = often & _among(before, known.words)
-        value[told] -= np.log(_count_of(before[told], known.words, known.word_counts))
-        yield _sum_rows(*_sums(keys, value), groups)
-        asks = often & ~told
-        if asks.any():
-            docs, place = np.unique(keys[asks], return_inverse=True)
-            yield _grouped_blobs(_group_of(before[asks], groups).astype(np.int64), place, docs, _bytes(before[asks], 4))
-
-    return dealt.groupBy("group").applyInArrow(score, PACKED)
-
-
-def second_round(scored: DataFrame, groups: int) -> DataFrame:
-    """``key`` and ``_sum`` of all documents with words: the first round's sums, less the logarithms asked for."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        block, question = table["block"][0].as_py(), Question(table["text"].to_pylist(), sent.value, groups)
+        rows = []
+        for group, own in question.segments():
+            names = (question.key[own] >> _U(32)).astype("<u4")
+            cuts = _runs(names)
+            firsts = (question.key[own] & _U(0xFFFFFFFF)).astype("<u4")
+            rows.append((group, block, names[cuts[:-1]].tobytes(), _packed(np.diff(cuts)), firsts.tobytes(), _packed(question.n[own])))
+        if rows:
+            names = ["group", "block", "names", "runs", "firsts", "numbers"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows, strict=True)], names)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
-        yield from _known_sums(rows, groups)
-        keys, data = _opened(rows, 4) if rows["group"][0].as_py() >= 0 else ([], [])
-        if len(keys):
-            names, counts = [], []
-            for kind, head, body in zip(rows["kind"].to_pylist(), rows["documents"].to_pylist(), rows["entries"].to_pylist(), strict=True):
-                if kind == COUNTS:
-                    names.append(np.frombuffer(head, "<u4").astype(_U))
-                    counts.append(np.frombuffer(body, "<i8"))
-            value = -np.log(_count_of(_number(data), np.concatenate(names), np.concatenate(counts)))
-            yield _sum_rows(*_sums(keys, value), groups)
-
-    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for head, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(head, "<i8")), pa.array(np.frombuffer(body, "<f8"))], ["key", "part"])
+    return dealt.groupBy("block").applyInArrow(ask, ASKED)
 
-    sums = scored.groupBy("group").applyInArrow(answer, PACKED).select("documents", "entries").mapInArrow(opened, "key long, part double")
-    return sums.groupBy("key").agg(F.sum("part").alias("_sum"))
 
+def told(questions: DataFrame) -> DataFrame:
+    """Per question the counts of its pairs and of its second words, over all blocks."""
 
-def _repeats(values: np.ndarray) -> np.ndarray:
-    """How often each value occurs among all."""
-    _, at, n = np.unique(values, return_inverse=True, return_counts=True)
-    return n[at]
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        names, keys, numbers, sizes = [], [], [], []
+        for own, runs, firsts, n in zip(*(table[c].to_pylist() for c in ("names", "runs", "firsts", "numbers")), strict=True):
+            own, firsts = np.frombuffer(own, "<u4").astype(_U), np.frombuffer(firsts, "<u4").astype(_U)
+            every = np.repeat(own, _unpacked(runs, len(own)))
+            names.append(own)
+            keys.append(every << _U(32) | firsts)
+            numbers.append(_unpacked(n, len(firsts)))
+            sizes.append((len(firsts), len(own)))
+        weight = np.concatenate(numbers)
+        key = np.concatenate(keys)
+        pairs, at = np.unique(key, return_inverse=True)
+        totals = np.bincount(at, weight, len(pairs)).astype(np.int64)
+        # pairs are in the order of their second word
+        seconds = pairs >> _U(32)
+        cuts = _runs(seconds)
+        words_, of_word = seconds[cuts[:-1]], np.add.reduceat(totals, cuts[:-1])
+        pair_counts = np.split(totals[at], np.cumsum([m for m, _ in sizes])[:-1])
+        word_counts = [of_word[np.searchsorted(words_, own)] for own in names]
+        columns = [table["block"], table["group"], pa.array([_packed(x) for x in pair_counts]), pa.array([_packed(x) for x in word_counts])]
+        yield from pa.Table.from_arrays(columns, names=["block", "group", "pairs", "words"]).to_batches()
+
+    return questions.groupBy("group").applyInArrow(answer, TOLD)
 
 
 def scores(documents: DataFrame) -> DataFrame:
     """Per document: number of words, score (sum of natural logarithms), mean score per word."""
-    documents = documents.select("doc_id", "text")
+    documents = documents.select("doc_id", text_of("text").alias("text"))
     heavy = heavy_counts(documents)
-    groups = max(4, parallelism(documents) // 2, heavy.all // (2 * GROUP_ENTRIES))
-    sums = second_round(first_round(entries(documents, heavy, groups), heavy, groups), groups)
-
-    @F.arrow_udf("struct<key:long,n_words:long>")
-    def described(ids: pa.Array, texts: pa.Array) -> pa.Array:
-        rows = [(key_of(i, t), len(words(t))) for i, t in zip(ids.to_pylist(), texts.to_pylist(), strict=True)]
-        return pa.StructArray.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([n for _, n in rows], pa.int64())], ["key", "n_words"])
-
-    rows = documents.select("doc_id", described("doc_id", text_of("text")).alias("_d")).select("doc_id", "_d.*")
-    copies = rows.groupBy("key").agg(F.count("*").alias("_copies")).join(sums, "key", "left")
-    every = rows.join(copies, "key").withColumn("score", F.coalesce(F.col("_sum") / F.col("_copies"), F.lit(0.0)))
-    return every.select("doc_id", "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean_score"))
+    blocks = max(parallelism(documents), heavy.all // BLOCK_WORDS)
+    groups = max(4, heavy.all // (2 * GROUP_PAIRS))
+    dealt = documents.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
+    answers = told(asked(dealt, heavy, groups))
+    sent = documents.sparkSession.sparkContext.broadcast(heavy)
+
+    def score(docs: pa.Table, told_: pa.Table) -> pa.Table:
+        known, question = sent.value, Question(docs["text"].to_pylist(), sent.value, groups)
+        pairs, singles = np.zeros(len(question.key), np.int64), np.zeros(len(question.key), np.int64)
+        found = dict(zip(told_["group"].to_pylist(), zip(told_["pairs"].to_pylist(), told_["words"].to_pylist(), strict=True), strict=True))
+        for group, own in question.segments():
+            names = question.key[own] >> _U(32)
+            cuts = _runs(names)
+            of_pairs, of_words = found[group]
+            pairs[own] = _unpacked(of_pairs, len(names))
+            counts = known.counts[names[cuts[:-1]].astype(np.int64)] if group >= groups else _unpacked(of_words, len(cuts) - 1)
+            singles[own] = np.repeat(counts, np.diff(cuts))
+        pair, single = pairs[question.at], singles[question.at]
+        before = np.where(question.first, known.marks, np.r_[0, single[:-1]][: len(single)])
+        value = np.log(np.where(pair >= CUTOFF, pair / np.maximum(before, 1), BACKOFF * single / max(1, known.all)))
+        n = np.bincount(question.place, minlength=len(docs))
+        total = np.bincount(question.place, value, len(docs))
+        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+        return pa.table({"doc_id": docs["doc_id"], "n_words": pa.array(n.astype(np.int64)), "score": pa.array(total), "mean_score": mean})
+
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, "doc_id long, n_words long, score double, mean_score double")
