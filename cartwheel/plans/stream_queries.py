@@ -44,25 +44,29 @@ def finish(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
+def by_window(spark: SparkSession, sf: str, features: Callable[..., DataFrame], name: str) -> DataFrame:
+    """One query per window: of several in one query, an input of a single batch leaves rows waiting."""
+    parts = [finish(features(events_stream(spark, sf), [w], empty_rows=True), name) for w in WINDOWS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stream_cart(spark, sf):
-    out = finish(native.cart_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_cart")
+    out = by_window(spark, sf, native.cart_stream, "stream_cart")
     return out.withColumn("cart_value", F.round("cart_value", 6))
 
 
 def stream_product(spark, sf):
-    out = finish(native.product_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_product")
+    out = by_window(spark, sf, native.product_stream, "stream_product")
     return out.select(*GRID_KEYS, "unique_product_count", F.round("average_price", 6).alias("average_price"), "min_price", "max_price")
 
 
 def stream_category(spark, sf):
-    out = finish(native.category_stream(events_stream(spark, sf), WINDOWS, empty_rows=True), "stream_category")
+    out = by_window(spark, sf, native.category_stream, "stream_category")
     return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category")
 
 
 def stream_purchase(spark, sf):
-    """One query per window."""
-    parts = [finish(native.purchase_stream(events_stream(spark, sf), [w], empty_rows=True), "stream_purchase") for w in WINDOWS]
-    out = reduce(DataFrame.unionByName, parts)
+    out = by_window(spark, sf, native.purchase_stream, "stream_purchase")
     return out.withColumn("order_value", F.round("order_value", 6))
 
 
