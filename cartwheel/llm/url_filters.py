@@ -3,8 +3,9 @@
 Templates form a tree per host, built level by level (a segment of the path each). A segment stays literal
 if enough of its parent's URLs have it; any other is a wildcard of its shape: number, hexadecimal, word,
 other. What follows the deepest level is one wildcard. Sibling branches whose share of blocked labels does
-not differ significantly are merged. A template's purity is the share of blocked labels of its branch,
-smoothed towards the same template on all hosts, that towards all labels. From ``REJECT`` on it is rejected.
+not differ significantly are merged; a template without labels is a branch of its own. A template's purity is
+the share of blocked labels of its branch, smoothed towards the same template on all hosts, that towards all
+labels. From ``REJECT`` on it is rejected.
 
 Labels are the verdicts of the rules themselves: URLs that a rule judges teach the templates of the rest.
 
@@ -15,9 +16,11 @@ is the prior (``PRIOR``), which allows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import materialise
@@ -91,12 +94,44 @@ def with_templates(urls: DataFrame) -> DataFrame:
     return rows.withColumn("template", F.when(more, F.concat("template", F.lit("/{rest}"))).otherwise(F.col("template"))).drop("_segments")
 
 
+def branched(known: DataFrame) -> DataFrame:
+    """Adds ``branch``, counted within ``_family``. Siblings come in order, and a task holds one branch's sums only.
+
+    Templates without labels have nothing that could differ: they come last, each in a branch of its own.
+    """
+    schema = f"{', '.join(f'`{n}` {t}' for n, t in known.dtypes)}, branch int"
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, branch, labels, share = None, 0, 0, 0.0
+        for batch in batches:
+            found = []
+            columns = (batch.column(c).to_pylist() for c in ("_family", "n", "_share"))
+            for own, n, p in zip(*columns, strict=True):
+                if own != family:
+                    family, branch, labels, share = own, 0, n, p
+                elif not n or significant(labels, share, n, p):
+                    branch, labels, share = branch + 1, n, p
+                else:
+                    labels, share = labels + n, (share * labels + p * n) / (labels + n)
+                found.append(branch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], [*batch.schema.names, "branch"])
+
+    ordered = known.repartition("_family").sortWithinPartitions("_family", F.col("n") == 0, "_share", "template")
+    return ordered.mapInArrow(numbered, schema)
+
+
+def significant(n: int, low: float, m: int, high: float) -> bool:
+    """Whether the share ``high`` of m labels is significantly above the share ``low`` of n."""
+    pooled = (low * n + high * m) / (n + m)
+    return high - low > SIGNIFICANT * math.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
+
+
 def purities(rows: DataFrame) -> DataFrame:
     """``host``, ``template``, ``branch`` (number among merged siblings), ``purity``. ``rows``: host, template, label.
 
     Siblings are the templates of a host that differ in one segment only by its literal: they have the same
-    parent and the same shapes below. Ordered by their share of blocked labels, each is held against its
-    neighbour, and a significant difference begins a new branch.
+    parent and the same shapes below. Ordered by their share of blocked labels, each is held against the labels
+    of the branch so far, and a significant difference begins a new branch.
     """
     blocked = F.sum(F.when(F.col("label") == "block", 1).otherwise(0))
     counts = rows.groupBy("host", "template").agg(F.count("label").alias("n"), blocked.alias("bad"))
@@ -106,16 +141,9 @@ def purities(rows: DataFrame) -> DataFrame:
     anywhere = counts.groupBy("template").agg(((F.sum("bad") + WEIGHT * overall) / (F.sum("n") + WEIGHT)).alias("_prior"))
 
     depth = F.size(F.split("template", "/"))
-    family = F.struct("host", depth.alias("d"), F.regexp_replace("template", r"/[^/{}]+", "/*").alias("f"))
+    family = F.concat_ws("\n", "host", depth.cast("string"), F.regexp_replace("template", r"/[^/{}]+", "/*"))
     known = counts.join(anywhere, "template").withColumn("_share", (F.col("bad") + WEIGHT * F.col("_prior")) / (F.col("n") + WEIGHT)).withColumn("_family", family)
-    order = Window.partitionBy("_family").orderBy("_share", "template")
-    before, many = F.lag("_share").over(order), F.lag("n").over(order)
-    pooled = (F.col("_share") * F.col("n") + before * many) / F.greatest(F.col("n") + many, F.lit(1))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(F.col("n"), F.lit(1)) + 1 / F.greatest(many, F.lit(1))))
-    # a template without labels has nothing that could differ
-    differs = (F.col("n") > 0) & (many > 0) & (F.col("_share") - before > SIGNIFICANT * error)
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = known.withColumn("_new", F.when(F.coalesce(differs, F.lit(False)), 1).otherwise(0)).withColumn("branch", F.sum("_new").over(running).cast("int"))
+    known = materialise(branched(known), "templates")
     merged = known.groupBy("_family", "branch").agg(F.sum("n").alias("_n"), F.sum("bad").alias("_bad"))
     purity = ((F.col("_bad") + WEIGHT * F.col("_prior")) / (F.col("_n") + WEIGHT)).alias("purity")
     return known.join(merged, ["_family", "branch"]).select("host", "template", "branch", purity)

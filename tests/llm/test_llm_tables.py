@@ -137,6 +137,29 @@ def test_templates_learn_from_rules(spark):
     assert len({r.branch for r in rows if r.host == "s.com"}) == 2
 
 
+def test_siblings_without_labels_do_not_join_branches(spark):
+    """On s.com /fr/ is allowed, /de/ blocked, /en/ and /es/ have no label and lie between them."""
+    urls = [f"http://s.com/{lang}/{i}.html" for lang, n in (("fr", 21), ("en", 9), ("es", 9), ("de", 29)) for i in range(n)]
+    urls += [f"http://a.org/{lang}/{i}.html" for lang in ("en", "es") for i in range(30)]
+    pages = prepare(spark).createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = [r for r in url_filters.verdicts(pages).collect() if r.host == "s.com"]
+    by = {r.template.split("/")[1]: r for r in rows}
+    assert len({r.branch for r in by.values()}) == 4 and len(rows) == 68
+    assert {lang for lang, r in by.items() if r.verdict == "block"} == {"de"}
+    # 29 of 29 blocked, smoothed with five labels of the same template elsewhere; nothing else is smoothed in
+    assert by["de"].purity > 0.95 and by["fr"].purity < 0.1 and by["en"].purity < 0.3
+
+
+def test_a_branch_ends_where_it_differs_from_all_before(spark):
+    """Shares that rise in small steps: each neighbour is near, the ends are not."""
+    rules = [("h", f"/s{k:02d}/{i}-", "block" if i < k else "allow") for k in range(0, 21, 2) for i in range(20)]
+    urls = [f"http://h{r[1]}x.html" if r[0] == "h" else "" for r in rules]
+    pages = prepare(spark).createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = url_filters.verdicts(pages, rules=rules).collect()
+    branch = {r.template.split("/")[1]: r.branch for r in rows}
+    assert branch["s00"] == branch["s02"] == 0 and branch["s20"] >= 2
+
+
 # --- WARC --------------------------------------------------------------------------------------------------
 
 
