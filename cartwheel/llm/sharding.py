@@ -1,15 +1,18 @@
 """K-d tree sharding: leaves of nearly equal bytes, cut at weighted medians of metadata dimensions.
 
 The points are groups of equal texts, so that copies are never separated; a point weighs the bytes of all its
-rows. Dimensions are the text's size (logarithm), the smallest id, language and source of the group. A node
-is cut along its widest dimension, at the weighted median of (coordinate, hash): the hash decides among equal
-coordinates, as in a source that holds a third of all rows. Medians are found digit by digit from counts that
-combine before the shuffle; per digit the driver sees ``DIGIT`` sums per node, whatever the number of rows. The tree
-itself (one cut per inner node) becomes one expression.
+rows. Dimensions are the text's size (logarithm), the smallest id, language and source of the group. A point
+that is larger than an equal share of what is left is a leaf of its own; the tree shares out the others. A node
+is cut along its widest dimension, at the weighted quantile of (coordinate, hash) that leaves each side as many
+bytes as its number of leaves asks: the hash decides among equal coordinates, as in a source that holds a third
+of all rows. Where a large point lies on the quantile, the numbers of leaves follow the bytes on either side.
+Quantiles are found digit by digit from counts that combine before the shuffle; per digit the driver sees
+``DIGIT`` sums per node, whatever the number of rows. The tree itself (one cut per inner node) becomes one expression.
 
 Defined results: a null text has no bytes, size 1, and is grouped with the empty text. Null ids, languages
 and sources have the lowest coordinate. Repeated rows each get a slot. A group larger than a leaf stays whole,
-so that its leaf is larger than the others. An empty table gives no rows.
+so that its leaf is larger than the others, which are equal among themselves. A leaf is empty only if there are
+fewer points than leaves. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import materialise
@@ -27,7 +30,7 @@ COORDINATE_BITS, HASH_BITS = 16, 40
 # bits found in one pass
 DIGIT_BITS = 12
 DIGIT = 1 << DIGIT_BITS
-# a median is near enough if what is left undecided is this share of the node
+# a quantile is near enough if what is left undecided is this share of the node
 TOLERANCE = 1 / 4096
 # slots are counted in so many blocks per shard
 BLOCKS = 1024
@@ -36,13 +39,14 @@ DIMENSIONS = ("size", "id", "lang", "source")
 
 @dataclass
 class Node:
-    """Inner node: the dimension and the first key of the upper side. Leaf: its number."""
+    """Inner node: the dimension and the first key of the upper side. Leaf: its number, and the leaves it is to be cut into."""
 
     dimension: str | None = None
     cut: int = 0
     lower: Node | None = None
     upper: Node | None = None
     leaf: int = 0
+    leaves: int = 1
 
     def expression(self) -> Column:
         if self.dimension is None:
@@ -88,16 +92,38 @@ def points(rows: DataFrame) -> DataFrame:
     )
 
 
-def medians(rows: DataFrame, widest: dict[int, str], totals: dict[int, int]) -> dict[int, int]:
-    """Per node the key from which its upper half begins. ``rows``: node, weight and coordinates."""
+@dataclass
+class Cut:
+    """The first key of the upper side, and the leaves of the lower one."""
+
+    key: int
+    leaves: int
+
+
+def split_leaves(leaves: int, below: tuple[int, int], above: tuple[int, int]) -> tuple[tuple[int, float], int]:
+    """Best number of leaves for the lower side, and how good it is: empty leaves, bytes of the largest share.
+
+    ``below``, ``above``: bytes and points of either side.
+    """
+
+    def cost(k: int) -> tuple[int, float]:
+        empty = max(0, k - below[1]) + max(0, leaves - k - above[1])
+        return empty, max(below[0] / k, above[0] / (leaves - k))
+
+    best = min(range(1, leaves), key=cost)
+    return cost(best), best
+
+
+def quantiles(rows: DataFrame, widest: dict[int, str], totals: dict[int, tuple[int, int]], leaves: dict[int, int]) -> dict[int, Cut]:
+    """Per node where it is cut. ``rows``: node, weight and coordinates; ``totals``: bytes and points."""
     bits = COORDINATE_BITS + HASH_BITS
     along = F.lit(None).cast("long")
     for node, dimension in widest.items():
         along = F.when(F.col("node") == node, key(dimension)).otherwise(along)
     keyed = rows.select("node", "weight", along.alias("key")).where("key IS NOT NULL")
     prefix = dict.fromkeys(widest, 0)
-    below = dict.fromkeys(widest, 0)
-    cuts: dict[int, int] = {}
+    below = dict.fromkeys(widest, (0, 0))
+    cuts: dict[int, Cut] = {}
     left = bits
     while len(cuts) < len(widest):
         step = min(DIGIT_BITS, left)
@@ -106,45 +132,66 @@ def medians(rows: DataFrame, widest: dict[int, str], totals: dict[int, int]) ->
         for node in set(widest) - set(cuts):
             inside = inside | ((F.col("node") == node) & (F.shiftright("key", left + step) == prefix[node]))
         digit = F.shiftright("key", left).bitwiseAND(F.lit((1 << step) - 1))
-        sums: dict[int, dict[int, int]] = defaultdict(dict)
-        for r in keyed.where(inside).groupBy("node", digit.alias("digit")).agg(F.sum("weight").alias("w")).collect():
-            sums[r.node][r.digit] = r.w
+        sums: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
+        for r in keyed.where(inside).groupBy("node", digit.alias("digit")).agg(F.sum("weight").alias("w"), F.count("*").alias("n")).collect():
+            sums[r.node][r.digit] = (r.w, r.n)
         for node, own in sums.items():
-            half, reached = totals[node] / 2, below[node]
+            total, points_ = totals[node]
+            wanted, (reached, n) = total * (leaves[node] // 2) / leaves[node], below[node]
             for d in sorted(own):
-                if reached + own[d] >= half:
+                if reached + own[d][0] >= wanted:
                     break
-                reached += own[d]
-            below[node], prefix[node] = reached, (prefix[node] << step) | d
-            if own[d] <= TOLERANCE * totals[node] or not left:
-                nearer = half - reached > reached + own[d] - half
-                cuts[node] = (prefix[node] + int(nearer)) << left
+                reached, n = reached + own[d][0], n + own[d][1]
+            below[node], prefix[node] = (reached, n), (prefix[node] << step) | d
+            w, m = own[d]
+            if w <= TOLERANCE * total or not left:
+                places = (((reached, n), 0), ((reached + w, n + m), 1))
+                found = [(*split_leaves(leaves[node], x, (total - x[0], points_ - x[1])), after) for x, after in places]
+                _, lower, after = min(found)
+                cuts[node] = Cut((prefix[node] + after) << left, lower)
     return cuts
 
 
 def tree(rows: DataFrame, leaves: int = SHARDS) -> Node:
-    """Cut every leaf in two until there are as many as wanted (a power of two)."""
-    root = Node()
-    level = [root]
-    while len(level) < leaves:
-        for i, node in enumerate(level):
+    """Cut nodes in two until each is one leaf."""
+    root = Node(leaves=leaves)
+    ends = [root]
+    while any(x.leaves > 1 for x in ends):
+        for i, node in enumerate(ends):
             node.leaf = i
-        at = rows.withColumn("node", root.expression())
-        ends = [f(f"x_{d}").alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("low", F.min), ("high", F.max))]
-        found = {r.node: r for r in at.groupBy("node").agg(F.sum("weight").alias("total"), *ends).collect()}
+        wanted = {i: x.leaves for i, x in enumerate(ends) if x.leaves > 1}
+        at = rows.withColumn("node", root.expression()).where(F.col("node").isin(list(wanted)))
+        sides = [f(f"x_{d}").alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("low", F.min), ("high", F.max))]
+        found = {r.node: r for r in at.groupBy("node").agg(F.sum("weight").alias("total"), F.count("*").alias("points"), *sides).collect()}
         widest = {n: max(DIMENSIONS, key=lambda d: (r[f"high_{d}"] - r[f"low_{d}"], d)) for n, r in found.items()}
-        cuts = medians(at, widest, {n: r.total for n, r in found.items()})
+        cuts = quantiles(at, widest, {n: (r.total, r.points) for n, r in found.items()}, wanted)
         below = []
-        for i, node in enumerate(level):
-            node.dimension, node.cut = widest.get(i, DIMENSIONS[0]), cuts.get(i, 0)
-            node.lower, node.upper = Node(), Node()
+        for i, node in enumerate(ends):
+            if i not in wanted:
+                below.append(node)
+                continue
+            cut = cuts.get(i, Cut(0, node.leaves // 2))
+            node.dimension, node.cut = widest.get(i, DIMENSIONS[0]), cut.key
+            node.lower, node.upper = Node(leaves=cut.leaves), Node(leaves=node.leaves - cut.leaves)
             below += [node.lower, node.upper]
-        level = below
-    for i, node in enumerate(level):
+        ends = below
+    for i, node in enumerate(ends):
         node.leaf = i
     return root
 
 
+def large_points(groups: DataFrame, leaves: int) -> list[Row]:
+    """The largest points, as long as one has an equal share of the bytes and leaves that are left."""
+    total = groups.agg(F.sum("weight")).first()[0] or 0
+    found = []
+    for r in groups.select("hash", "text_crc32", "size", "weight").orderBy(F.desc("weight"), "hash", "text_crc32", "size").limit(leaves).collect():
+        if r.weight * (leaves - len(found)) < total:
+            break
+        found.append(r)
+        total -= r.weight
+    return found
+
+
 def leaves_for(total: int, target_bytes: int) -> int:
     """Smallest power of two of leaves that do not exceed the target on average."""
     return 1 << max(0, (-(-total // max(1, target_bytes)) - 1).bit_length())
@@ -152,7 +199,15 @@ def leaves_for(total: int, target_bytes: int) -> int:
 
 def with_shards(rows: DataFrame, leaves: int) -> DataFrame:
     groups = materialise(points(rows), "points")
-    placed = groups.select("hash", "text_crc32", "size", tree(groups, leaves).expression().cast("int").alias("shard"))
+    large = large_points(groups, leaves)
+    shard = F.lit(None).cast("int")
+    for i, r in enumerate(large, leaves - len(large)):
+        own = (F.col("hash") == r.hash) & (F.col("text_crc32") == r.text_crc32) & (F.col("size") == r["size"])
+        shard = F.when(own, i).otherwise(shard)
+    others = groups.where(shard.isNull())
+    if len(large) < leaves:
+        shard = F.coalesce(shard, tree(others, leaves - len(large)).expression())
+    placed = groups.select("hash", "text_crc32", "size", shard.cast("int").alias("shard"))
     return rows.join(placed, ["hash", "text_crc32", "size"])
 
 

@@ -252,6 +252,23 @@ def test_a_group_larger_than_a_leaf_stays_whole(spark):
     assert len(out) == 300 and len({r.shard for r in out if r.doc_id % 3 == 0}) == 1
 
 
+def test_other_leaves_share_what_a_large_group_leaves(spark):
+    rows = [(i, "x" * 99 if i % 3 == 0 else f"{i:099d}", "en", f"s{i % 5}") for i in range(3000)]
+    out = sharding.shards(prepare(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string"), leaves=16).collect()
+    counts = Counter(r.shard for r in out)
+    assert sorted(counts) == list(range(16))
+    *others, hot = sorted(counts.values())
+    assert hot == 1000 and others[0] >= 125 and others[-1] <= 142
+    # groups of a little less than a leaf: no leaf is empty
+    rows = [(i, f"group {i % 20:02d}" if i % 2 else f"single {i}", "en", "a") for i in range(1600)]
+    out = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), leaves=16).collect()
+    assert len({r.shard for r in out}) == 16
+    # as many points as leaves, of very different sizes
+    rows = [(i, "y" * (i * i), "en", "a") for i in range(6)]
+    out = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), leaves=6).collect()
+    assert len({r.shard for r in out}) == 6
+
+
 def test_shards_stay_in_the_jvm(spark):
     docs = prepare(spark).createDataFrame([(1, "a", "en", "s")], "doc_id long, text string, lang string, source string")
     assert not re.search("Python|Arrow|Pandas", sharding.shards(docs, leaves=2)._jdf.queryExecution().executedPlan().toString())
