@@ -1,7 +1,8 @@
 """WARC archives: writing with revisits, and a reader that salvages what damaged archives still hold.
 
-Every record is a gzip member of its own. The reader takes members one by one and checks each: the member's
-checksum, the version line, the length, the digest. After a failed check it searches the next place where a
+Every record is written as a gzip member of its own; the reader takes members of several records too. It takes
+members one by one and checks each: the member's checksum, and of each record the version line, the length, the
+digest. Records and gaps inside one member have the member's bytes as their place. After a failed check it searches the next place where a
 whole valid record begins (a gzip member, or a version line in an archive that is not compressed), reads on
 from there, and reports the bytes between as a gap with the reason.
 
@@ -35,7 +36,6 @@ LEAST_BYTES = 100
 ARCHIVE_BYTES = 16 << 20
 LEVEL = 3
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
-HEADER_BYTES = 64 << 10
 # bytes opened at a time: what lies behind a member is copied once per read
 READ_BYTES = 16 << 10
 # fixed values of the format
@@ -130,7 +130,7 @@ def _parsed(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int, str]:
     """Headers, payload and end of the record that begins at ``at``, and why it is not valid."""
     if not raw.startswith(VERSION, at):
         return {}, b"", at, "no version line"
-    head = raw.find(b"\r\n\r\n", at, at + HEADER_BYTES)
+    head = raw.find(b"\r\n\r\n", at)
     if head < 0:
         return {}, b"", at, "headers do not end"
     headers = {}
@@ -153,50 +153,48 @@ def _parsed(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int, str]:
     return headers, payload, end + 4, ""
 
 
-def _member(data: bytes, start: int) -> tuple[Found, int]:
-    """The record in the gzip member at ``start``, and where the member ends."""
+def _member(data: bytes, start: int) -> tuple[list[Found], int]:
+    """The records and gaps in the gzip member at ``start``, and where the member ends."""
     opener, at, raw = zlib.decompressobj(31), start, []
     try:
         while not opener.eof and at < len(data):
             raw.append(opener.decompress(data[at : at + READ_BYTES]))
             at = min(len(data), at + READ_BYTES)
     except zlib.error:
-        return Found(start, start, {}, reason="member is damaged"), start
+        return [Found(start, start, {}, reason="member is damaged")], start
     if not opener.eof:
-        return Found(start, start, {}, reason="member is cut off"), start
+        return [Found(start, start, {}, reason="member is cut off")], start
     end = at - len(opener.unused_data)
     whole = b"".join(raw)
-    headers, payload, length, why = _parsed(whole)
-    if not why and length != len(whole):
-        why = "bytes after the record"
-    return Found(start, end, headers, payload, why), end
+    inside = list(salvage(whole, members=False)) or [Found(0, 0, {}, reason="no version line")]
+    return [Found(start, end, x.headers, x.payload, x.reason) for x in inside], end
 
 
-def _plain(data: bytes, start: int) -> tuple[Found, int]:
+def _plain(data: bytes, start: int) -> tuple[list[Found], int]:
     headers, payload, end, why = _parsed(data, start)
-    return Found(start, end, headers, payload, why), end
+    return [Found(start, end, headers, payload, why)], end
 
 
-def salvage(data: bytes) -> Iterator[Found]:
-    """Valid records in order, and the gaps between them."""
+def salvage(data: bytes, members: bool = True) -> Iterator[Found]:
+    """Valid records in order, and the gaps between them. Without ``members``, records that are not compressed only."""
     at, gap, why = 0, None, ""
     while at < len(data):
-        if data.startswith(MAGIC, at):
+        if members and data.startswith(MAGIC, at):
             found, end = _member(data, at)
         elif data.startswith(VERSION, at):
             found, end = _plain(data, at)
         else:
-            found, end = Found(at, at, {}, reason="neither member nor version line"), at
-        if not found.reason:
+            found, end = [Found(at, at, {}, reason="neither member nor version line")], at
+        if not all(x.reason for x in found):
             if gap is not None:
                 yield Found(gap, at, {}, reason=why)
                 gap = None
-            yield found
+            yield from found
             at = end
             continue
         if gap is None:
-            gap, why = at, found.reason
-        places = [p for p in (data.find(MAGIC, at + 1), data.find(VERSION, at + 1)) if p >= 0]
+            gap, why = at, found[0].reason
+        places = [p for p in (data.find(MAGIC, at + 1) if members else -1, data.find(VERSION, at + 1)) if p >= 0]
         at = min(places, default=len(data))
     if gap is not None:
         yield Found(gap, len(data), {}, reason=why)
@@ -265,9 +263,11 @@ def read_gaps(found: DataFrame) -> DataFrame:
     return found.mapInArrow(read, GAP)
 
 
-def resolved(records: DataFrame) -> DataFrame:
-    """Revisits get the length of the response with the same digest."""
+def resolved(records: DataFrame, expected: int | None = None) -> DataFrame:
+    """Revisits get the length of the response with the same digest. Fails if there are not as many records as expected."""
     records = materialise(records.select("page_id", "record_type", "payload_digest", "payload_bytes", "refers_to"), "records")
+    if expected is not None and (found := records.count()) != expected:
+        raise ValueError(f"{expected} records were written, {found} are read")
     referred = records.where("record_type = 'revisit'").select("payload_digest").distinct()
     known = records.where("record_type = 'response'").join(referred, "payload_digest", "left_semi")
     known = known.groupBy("payload_digest").agg(F.max("payload_bytes").alias("_bytes"))
@@ -279,6 +279,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Write all pages, read the archives back: one row per record."""
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
-    if not write_archives(planned(pages), folder).head(1):
+    written = write_archives(planned(pages), folder).agg(F.sum("records")).first()[0]
+    if not written:
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return resolved(read_records(archives(spark, folder), payloads=False))
+    return resolved(read_records(archives(spark, folder), payloads=False), written)

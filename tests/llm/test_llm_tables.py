@@ -220,6 +220,38 @@ def test_warc_round_trip(spark, monkeypatch):
     assert warc.round_trip(spark.createDataFrame([(None, None, "x" * 200, ""), (None, None, "x" * 200, "")], pages.schema)).count() == 2
 
 
+def test_member_of_several_records():
+    payloads, records = archive()
+    plain = [zlib.decompress(r, 31) for r in records]
+
+    def member(raw):
+        packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+        return packer.compress(raw) + packer.flush()
+
+    found = list(warc.salvage(records[0] + member(b"".join(plain[1:4])) + records[4]))
+    assert [x.payload for x in found] == payloads[:5] and not any(x.reason for x in found)
+    assert found[1].start == found[3].start == found[0].end and found[1].end == found[3].end == found[4].start
+    found = list(warc.salvage(member(plain[1] + b"junk" + plain[2]) + records[3]))
+    assert [x.payload for x in found if not x.reason] == payloads[1:4] and sum(1 for x in found if x.reason) == 1
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_long_headers(compressed):
+    url = "data:text/html," + "x" * 100_000
+    records = [warc.record(i, 0, url, b"p", hashlib.sha256(b"p").hexdigest(), None, False) for i in range(2)]
+    found = list(warc.salvage(b"".join(records if compressed else [zlib.decompress(r, 31) for r in records])))
+    assert [x.headers.get("warc-target-uri") for x in found] == [url, url]
+
+
+def test_round_trip_of_long_urls(spark, monkeypatch):
+    rows = [(i, "http://h/" + "u" * 100_000, "x" * 200, "d") for i in range(3)]
+    pages = prepare(spark).createDataFrame(rows, "page_id long, url string, html string, digest string")
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.round_trip(pages).collect()) == [(0, 200), (1, 200), (2, 200)]
+    monkeypatch.setattr(warc, "archives", lambda spark, folder: spark.createDataFrame([], "path string, content binary"))
+    with pytest.raises(ValueError, match="3 records were written, 0 are read"):
+        warc.round_trip(pages)
+
+
 # --- shards ------------------------------------------------------------------------------------------------
 
 
