@@ -267,9 +267,9 @@ class Roots:
 def tree_links(sets_of: list[np.ndarray], roots: np.ndarray, sides: np.ndarray | None, threshold: Fraction) -> Iterator[tuple[int, int]]:
     """Links that join components, by places. With ``sides`` only pairs of different sides count."""
     n = np.array([len(x) for x in sets_of])
-    at = np.zeros((len(n), GROUPS), np.uint16)
+    at = np.zeros((len(n), GROUPS), np.uint32)
     for row, own in zip(at, sets_of, strict=True):
-        row[:] = np.minimum(np.bincount((own & _U(GROUPS - 1)).astype(np.intp), minlength=GROUPS), 65535)
+        row[:] = np.bincount((own & _U(GROUPS - 1)).astype(np.intp), minlength=GROUPS)
     known = Roots(roots)
     if sides is None:
         root = packed_tree(at, n)

@@ -84,6 +84,14 @@ def test_no_linked_pair_is_outside_a_tile():
             assert own & other
 
 
+def test_large_coordinates_lose_no_link():
+    """All elements in one group: the coordinate is beyond 16 bits, as in sets of many million shingles."""
+    np = jaccard_join.np
+    a = np.arange(70_000, dtype="u8") * np.uint64(jaccard_join.GROUPS)
+    found = list(jaccard_join.tree_links([a, a[:-1000]], np.array([1, 2]), None, jaccard_join.THRESHOLD))
+    assert len(found) == 1
+
+
 def test_empty_table_has_no_groups(spark):
     assert jaccard_join.similar_groups(prepare(spark).createDataFrame([], "doc_id long, text string")).collect() == []
 
