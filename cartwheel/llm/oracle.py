@@ -51,4 +51,27 @@ SELECT n.doc_id, n.n AS n_shingles, c.root AS component_id
 FROM n JOIN (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id) c ON c.doc_id = n.doc_id
 """
 
-ORACLE = {"op4_warc": OP4, "op7_jaccard_join": OP7, "op8_decontamination": OP8}
+OP13 = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+q AS (SELECT item, item_id, term, count(*) AS r FROM (SELECT item, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+p AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+c AS (
+  SELECT p.row, p.doc_id, p.term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))) AS impact
+  FROM p JOIN f ON f.term = p.term CROSS JOIN s),
+t AS (
+  SELECT item, item_id, row, doc_id, CAST(sum(r * impact) AS BIGINT) AS score FROM q JOIN c ON c.term = q.term GROUP BY ALL HAVING sum(r * impact) > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, row) AS rank FROM t)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+ORACLE = {"op4_warc": OP4, "op7_jaccard_join": OP7, "op8_decontamination": OP8, "op13_nra_search": OP13}

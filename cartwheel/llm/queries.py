@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import byte_bpe, decontamination, fingerprints, jaccard_join, ngram_lm, packing, sharding, toxicity, url_filters, warc
+from cartwheel.llm import (
+    byte_bpe,
+    decontamination,
+    fingerprints,
+    jaccard_join,
+    mixing,
+    ngram_lm,
+    nra_search,
+    packing,
+    periodic_runs,
+    sharding,
+    toxicity,
+    url_filters,
+    warc,
+)
 from cartwheel.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -56,6 +70,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"), leaves=sharding.SHARDS)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mixture(read(spark, sf_dir, "documents")).taken()
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(read(spark, sf_dir, "documents"))
+
+
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra_search.top_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_lm_scoring": op2_lm_scoring,
@@ -67,4 +93,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_mixing": op11_mixing,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_nra_search": op13_nra_search,
 }
