@@ -230,7 +230,7 @@ class Mixture:
             "block",
             "turn",
             (low - F.col("_at")).alias("first_word"),
-            F.greatest(F.coalesce(high - low, F.lit(0)), F.lit(0)).alias("n_words"),
+            F.when(F.col("shard").isNull(), 0).otherwise(F.greatest(high - low, F.lit(0))).alias("n_words"),
         )
 
     def shuffled(self) -> DataFrame:
