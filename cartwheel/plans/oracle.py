@@ -196,6 +196,9 @@ def _zero_rows(name: str, source: str, columns: str, values: str) -> str:
 PRODUCT_ZERO = _zero_rows(
     "pzero", "pfeat", "unique_product_count, average_price, min_price, max_price, views", "0, 0.0, 0.0, 0.0, '{}'"
 )
+PRODUCT_ZERO_COUNTS = _zero_rows(
+    "vzero", "pfeat", "unique_product_count, average_price, min_price, max_price, viewed, view_count", "0, 0.0, 0.0, 0.0, 0, 0"
+)
 CATEGORY_ZERO = _zero_rows(
     "czero", "cfeat", "unique_category_count, most_viewed_category, views", "0, NULL, '{}'"
 )
@@ -388,12 +391,21 @@ def _passed(column: str, source: str, strictly: bool = False) -> str:
     return f"{column} {'<' if strictly else '<='} {_PASSED.format(source=source)}"
 
 
+# Emit times of sessions that the watermark has passed, and their close.
+OPEN_AT = f"""bounds AS (SELECT *, {_PASSED.format(source='shop')} AS passed,
+    time_bucket(INTERVAL 6 HOUR, session_start) + INTERVAL 6 HOUR AS first_emit FROM sess),
+open_at AS (
+  SELECT session_id, session_no, false AS closed, unnest(generate_series(first_emit, least(passed, close_ts), INTERVAL 6 HOUR)) AS as_of
+  FROM bounds WHERE first_emit <= least(passed, close_ts)
+  UNION ALL SELECT session_id, session_no, true, date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR FROM bounds
+  WHERE date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR <= passed)"""
+
 ORACLE |= {
     "stream_cart": f"{GRID}, {CART_ITEMS} SELECT * FROM kzero WHERE {_passed('emit_ts', 'shop')}",
-    "stream_product": f"""{PRODUCT_ITEMS}, {PRODUCT_ZERO} SELECT user_id, emit_ts, window_size, unique_product_count,
-  round(average_price, 6) AS average_price, min_price, max_price FROM pzero WHERE {_passed('emit_ts', 'shop')}""",
+    "stream_product": f"""{PRODUCT_ITEMS}, {PRODUCT_ZERO_COUNTS} SELECT user_id, emit_ts, window_size, unique_product_count,
+  round(average_price, 6) AS average_price, min_price, max_price, viewed, view_count FROM vzero WHERE {_passed('emit_ts', 'shop')}""",
     "stream_category": f"""{GRID}, {CATEGORY_ITEMS}, {CATEGORY_ZERO} SELECT user_id, emit_ts, window_size, unique_category_count,
-  most_viewed_category FROM czero WHERE {_passed('emit_ts', 'shop')}""",
+  most_viewed_category, CASE WHEN views = '{{}}' THEN 0 ELSE unique_category_count END AS viewed FROM czero WHERE {_passed('emit_ts', 'shop')}""",
     "stream_purchase": f"{GRID}, {PURCHASE_ITEMS}, {PURCHASE_ZERO} SELECT * FROM uzero WHERE {_passed('emit_ts', 'shop')}",
     "stream_sessions": f"""{SHOP}, {SESSIONS} SELECT session_id, session_start, last_ts, user_id, page_views, searches, product_views,
   cart_adds, campaign, devices, latest_platform, bounce, cart_ratio
@@ -401,17 +413,33 @@ FROM sfeat JOIN (SELECT session_id, session_no, string_agg(device, ',' ORDER BY
 WHERE close_ts <= {_PASSED.format(source='shop')}""",
     "stream_cart_exact": f"""{GRID}, {CART_ITEMS} SELECT user_id, emit_ts, window_size, adds, removes FROM kzero
 WHERE {_passed('emit_ts', 'shop')}""",
-    "stream_sessions_running": f"""{SHOP}, {SESSIONS},
-bounds AS (SELECT *, {_PASSED.format(source='shop')} AS passed,
-    time_bucket(INTERVAL 6 HOUR, session_start) + INTERVAL 6 HOUR AS first_emit FROM sess),
-open_at AS (
-  SELECT session_id, session_no, false AS closed, unnest(generate_series(first_emit, least(passed, close_ts), INTERVAL 6 HOUR)) AS as_of
-  FROM bounds WHERE first_emit <= least(passed, close_ts)
-  UNION ALL SELECT session_id, session_no, true, date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR FROM bounds
-  WHERE date_trunc('millisecond', last_ts) + INTERVAL 12 HOUR <= passed)
+    "stream_sessions_running": f"""{SHOP}, {SESSIONS}, {OPEN_AT}
 SELECT o.session_id, o.as_of, o.closed, count(*) FILTER (WHERE v.event_type = 'page_view') AS page_views,
   count(*) FILTER (WHERE v.event_type = 'product_view') AS product_views,
   count(*) FILTER (WHERE v.event_type = 'add_to_cart') AS cart_adds
 FROM open_at o JOIN sev v ON v.session_id = o.session_id AND v.session_no = o.session_no AND (o.closed OR v.ts < o.as_of)
 GROUP BY o.session_id, o.session_no, o.as_of, o.closed""",
+    "stream_sessions_metrics": f"""{SHOP}, {SESSIONS}, {OPEN_AT},
+seen AS (
+  SELECT o.session_id AS sid, o.session_no AS no, o.as_of, o.closed, v.* FROM open_at o
+  JOIN sev v ON v.session_id = o.session_id AND v.session_no = o.session_no AND (o.closed OR v.ts < o.as_of)),
+found AS (SELECT sid, no, as_of, closed, device, min(ts) AS first FROM seen GROUP BY ALL),
+listed AS (SELECT sid, no, as_of, closed, string_agg(device, ',' ORDER BY first) AS devices FROM found GROUP BY ALL),
+counted AS (
+  SELECT sid, no, as_of, closed, min(ts) AS session_start, arg_max(user_id, ts) AS user_id,
+    count(*) FILTER (WHERE event_type = 'page_view') AS page_views, count(*) FILTER (WHERE searched) AS searches,
+    count(*) FILTER (WHERE event_type = 'product_view') AS product_views, count(*) FILTER (WHERE event_type = 'add_to_cart') AS cart_adds,
+    arg_min(campaign, ts) FILTER (WHERE has_marketing) AS campaign, arg_max(platform, ts) AS latest_platform
+  FROM seen GROUP BY ALL)
+SELECT sid AS session_id, session_start, as_of, closed, user_id, page_views, searches, product_views, cart_adds, campaign, devices,
+  latest_platform, epoch_us(as_of) // 1000 - epoch_us(session_start) // 1000 AS duration_ms, page_views < 2 AS bounce,
+  CASE WHEN product_views = 0 THEN 0 ELSE cart_adds // product_views END AS cart_ratio
+FROM counted JOIN listed USING (sid, no, as_of, closed)""",
+    "stream_late_rows": f"""{SHOP},
+parts AS (SELECT *, CAST(event_id AS BIGINT) % 3 AS part, epoch_us(ts) // 1000 AS ms FROM shop),
+marks AS (
+  SELECT 1 AS part, max(ms) - 5000 AS mark FROM parts WHERE part = 0 UNION ALL SELECT 2, max(ms) - 5000 FROM parts WHERE part <= 1)
+SELECT event_id, event_type, user_id, session_id, make_timestamp(ms * 1000) AS ts, make_timestamp(mark * 1000) AS watermark,
+  ms < (mark // 21600000 + 1) * 21600000 - 7 * 86400000 AS missed
+FROM parts JOIN marks USING (part) WHERE ms < mark""",
 }

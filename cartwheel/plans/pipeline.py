@@ -1,7 +1,8 @@
 """The whole job: events in, feature table out, as one batch run or as streaming queries.
 
-A batch run parses once into a canonical table; the branches then read narrow columns of it. A stream runs
-one query per job, each with its own checkpoint.
+Events are parsed once into a canonical table, and the branches read narrow columns of it. In a stream that table is
+written by a query of its own and read as a stream by one query per branch, each with its own checkpoint and all
+window sizes of the branch in one state.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from cartwheel import schema
 from cartwheel.config import CHECKPOINT_INTERVAL, WATERMARK_DELAY, FeatureConfig, RollingWindow
 from cartwheel.operators import branches, canonical
 from cartwheel.operators.reshape import reshape
@@ -22,8 +25,8 @@ from cartwheel.plans.metrics import session_metrics, user_metrics
 from cartwheel.plans.session import prepare, prepare_streaming
 from cartwheel.sources.events import with_event_time
 from cartwheel.sources.store import FeatureStore
-from cartwheel.sources.workspace import materialise
-from cartwheel.streaming import native
+from cartwheel.sources.workspace import make_folder, materialise
+from cartwheel.streaming import open_sessions, panes
 
 BATCH_FEATURES: dict[str, tuple[Callable, Callable]] = {
     "product": (branches.product_views, grid_features.product_grid),
@@ -32,10 +35,10 @@ BATCH_FEATURES: dict[str, tuple[Callable, Callable]] = {
     "purchase": (branches.purchase_events, grid_features.purchase_grid),
 }
 STREAM_FEATURES: dict[str, Callable] = {
-    "product": native.product_stream,
-    "category": native.category_stream,
-    "cart": native.cart_stream,
-    "purchase": native.purchase_stream,
+    "product": panes.product_features,
+    "category": panes.category_features,
+    "cart": panes.cart_features,
+    "purchase": panes.purchase_features,
 }
 
 
@@ -44,16 +47,26 @@ def parse(raw: DataFrame, reshaped: bool = True) -> DataFrame:
     return canonical.parse_events(raw if reshaped else reshape(raw, full=False))
 
 
+# what the branches and the bad rows need of a parsed event; the raw text of bad rows only
+CANONICAL = [n for n in schema.SHOP_EVENT.names if n != "payload"]
+
+
+def canonical_table(parsed: DataFrame) -> DataFrame:
+    bad = F.col(canonical.ERROR).isNotNull()
+    return parsed.select(*CANONICAL, canonical.ERROR, F.when(bad, F.col("value")).alias("value"), bad.alias("bad"))
+
+
+def good(table: DataFrame) -> DataFrame:
+    return table.where("NOT bad").select(*CANONICAL)
+
+
+def bad(table: DataFrame) -> DataFrame:
+    return table.where("bad").select("value", canonical.ERROR)
+
+
 def jobs(config: FeatureConfig) -> dict[str, tuple[str, tuple[RollingWindow, ...]]]:
-    """Name of each rolling job to its branch and windows; purchases take one job per window."""
-    out = {}
-    for branch in BATCH_FEATURES:
-        windows = config.windows(branch)
-        if branch == "purchase":
-            out |= {f"purchase-{w.label}": (branch, (w,)) for w in windows}
-        elif windows:
-            out[branch] = (branch, windows)
-    return out
+    """Name of each rolling job to its branch and windows."""
+    return {branch: (branch, config.windows(branch)) for branch in BATCH_FEATURES if config.windows(branch)}
 
 
 def _metrics(features: DataFrame, branch: str, windows: tuple[RollingWindow, ...]) -> DataFrame:
@@ -72,11 +85,12 @@ def batch_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFra
 
 
 def stream_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
+    """Sessions are among the metrics while they are open, and once more when they close."""
     out = {}
     for name, (branch, windows) in jobs(config).items():
-        out[name] = _metrics(STREAM_FEATURES[branch](events, windows, empty_rows=True), branch, windows)
-    sessions = native.session_stream(events, config.session.gap_seconds)
-    out["session"] = session_metrics(sessions, config.session.ttl_seconds)
+        out[name] = _metrics(STREAM_FEATURES[branch](events, windows), branch, windows)
+    sessions = open_sessions.session_features(events, config.session.gap_seconds, config.session.emit_seconds)
+    out["session"] = session_metrics(sessions, config.session.ttl_seconds, "as_of")
     return out
 
 
@@ -102,11 +116,11 @@ def run_batch(
     """``run`` names this run: repeated under the same name it supersedes itself, any other run adds."""
     spark = prepare(raw.sparkSession)
     run = run or uuid.uuid4().hex
-    parsed = materialise(parse(raw, reshaped), "canonical")
+    table = materialise(canonical_table(parse(raw, reshaped)), "canonical")
     if bad_path:
-        canonical.bad_rows(parsed).write.mode("append").json(bad_path)
+        bad(table).write.mode("append").json(bad_path)
     kept = stores(spark, store_path, config)
-    for name, metrics in batch_metrics(canonical.good_rows(parsed), config).items():
+    for name, metrics in batch_metrics(good(table), config).items():
         kept[name].upsert(metrics, 0, run)
     return kept
 
@@ -129,30 +143,37 @@ def run_stream(
     reshaped: bool = True,
     delay: str = WATERMARK_DELAY,
     once: bool = False,
+    late_path: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the queries; ``once`` works off what is there and stops."""
+    """Start the queries; ``once`` works off what is there and stops.
+
+    The first query parses into the stream table ``{checkpoint}/events``, the others read that. ``late_path`` gets the
+    rows behind the watermark of any branch, with whether all windows have missed them.
+    """
     spark = prepare_streaming(raw.sparkSession)
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_INTERVAL}
-    parsed = parse(raw, reshaped)
-    events = with_event_time(canonical.good_rows(parsed), delay=delay)
+    parsed, path = canonical_table(parse(raw, reshaped)), f"{checkpoint}/events"
+    make_folder(spark, path)
+
+    def start(df: DataFrame, name: str, sink: Callable[[DataStreamWriter], DataStreamWriter]) -> StreamingQuery:
+        writer = df.writeStream.queryName(name).option("checkpointLocation", f"{checkpoint}/{name}").outputMode("append")
+        return sink(writer).trigger(**trigger).start()
+
+    def files(kind: str, folder: str, *partitions: str) -> Callable[[DataStreamWriter], DataStreamWriter]:
+        return lambda writer: writer.format(kind).option("path", folder).partitionBy(*partitions)
+
+    queries = [start(parsed, "parse", files("parquet", path, "bad"))]
+    if once:
+        queries[0].awaitTermination()
+    table = spark.readStream.schema(parsed.schema).parquet(path)
+    events = with_event_time(good(table), delay=delay)
     kept = stores(spark, store_path, config)
-    queries = [
-        metrics.writeStream.queryName(f"{name}-metrics")
-        .foreachBatch(_upserting(kept[name], f"{checkpoint}/{name}"))
-        .option("checkpointLocation", f"{checkpoint}/{name}")
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-        for name, metrics in stream_metrics(events, config).items()
-    ]
+    for name, metrics in stream_metrics(events, config).items():
+        upsert = _upserting(kept[name], f"{checkpoint}/{name}-metrics")
+        queries.append(start(metrics, f"{name}-metrics", lambda writer, upsert=upsert: writer.foreachBatch(upsert)))
     if bad_path:
-        queries.append(
-            canonical.bad_rows(parsed)
-            .writeStream.queryName("bad-rows")
-            .format("json")
-            .option("path", bad_path)
-            .option("checkpointLocation", f"{checkpoint}/bad")
-            .trigger(**trigger)
-            .start()
-        )
+        queries.append(start(bad(table), "bad-rows", files("json", bad_path)))
+    if late_path:
+        windows = [w for _, of_branch in jobs(config).values() for w in of_branch]
+        queries.append(start(panes.late_rows(events, windows), "late-rows", files("json", late_path)))
     return queries

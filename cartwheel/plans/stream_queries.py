@@ -6,7 +6,6 @@ Results are what the watermark had passed when the input ended.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from cartwheel.plans.session import prepare_streaming
 from cartwheel.sources.events import with_event_time
 from cartwheel.sources.table_events import shop_events_from_table
 from cartwheel.sources.workspace import new_folder
-from cartwheel.streaming import native, stateful
+from cartwheel.streaming import native, open_sessions, panes, stateful
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +26,10 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_time(shop_events_from_table(files), delay=WATERMARK_DELAY)
 
 
-def finish(df: DataFrame, name: str) -> DataFrame:
-    """Run to the end of the input into files, and read those."""
+def finish(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Run to the end of the input into files, and read those; again in the same folder it goes on from there."""
     spark = df.sparkSession
-    folder = new_folder(spark, name)
+    folder = folder or new_folder(spark, name)
     query = (
         df.writeStream.format("parquet")
         .queryName(folder)
@@ -44,30 +43,49 @@ def finish(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
-def by_window(spark: SparkSession, sf: str, features: Callable[..., DataFrame], name: str) -> DataFrame:
-    """One query per window: of several in one query, an input of a single batch leaves rows waiting."""
-    parts = [finish(features(events_stream(spark, sf), [w], empty_rows=True), name) for w in WINDOWS]
-    return reduce(DataFrame.unionByName, parts)
+def all_sizes(spark: SparkSession, sf: str, features: Callable[..., DataFrame], name: str) -> DataFrame:
+    """One query holds all window sizes, as in the job."""
+    return finish(features(events_stream(spark, sf), WINDOWS), name)
 
 
 def stream_cart(spark, sf):
-    out = by_window(spark, sf, native.cart_stream, "stream_cart")
-    return out.withColumn("cart_value", F.round("cart_value", 6))
+    return all_sizes(spark, sf, panes.cart_features, "stream_cart").withColumn("cart_value", F.round("cart_value", 6))
 
 
 def stream_product(spark, sf):
-    out = by_window(spark, sf, native.product_stream, "stream_product")
-    return out.select(*GRID_KEYS, "unique_product_count", F.round("average_price", 6).alias("average_price"), "min_price", "max_price")
+    out = all_sizes(spark, sf, panes.product_features, "stream_product")
+    viewed = F.coalesce(F.aggregate(F.map_values("views"), F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).alias("view_count")
+    return out.select(*GRID_KEYS, "unique_product_count", F.round("average_price", 6).alias("average_price"), "min_price", "max_price", F.size("views").alias("viewed"), viewed)
 
 
 def stream_category(spark, sf):
-    out = by_window(spark, sf, native.category_stream, "stream_category")
-    return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category")
+    out = all_sizes(spark, sf, panes.category_features, "stream_category")
+    return out.select(*GRID_KEYS, "unique_category_count", "most_viewed_category", F.size("views").alias("viewed"))
 
 
 def stream_purchase(spark, sf):
-    out = by_window(spark, sf, native.purchase_stream, "stream_purchase")
-    return out.withColumn("order_value", F.round("order_value", 6))
+    return all_sizes(spark, sf, panes.purchase_features, "stream_purchase").withColumn("order_value", F.round("order_value", 6))
+
+
+def stream_sessions_metrics(spark, sf):
+    """Sessions while they are open and at their close, with what all eight metrics need."""
+    out = finish(open_sessions.session_features(events_stream(spark, sf), GAP, EMIT), "stream_sessions_metrics")
+    devices = F.array_join("device_types", ",").alias("devices")
+    return out.select(
+        "session_id", "session_start", "as_of", "closed", "user_id", "page_views", "searches", "product_views", "cart_adds", "campaign", devices, "latest_platform", "duration_ms", "bounce", "cart_ratio"
+    )
+
+
+def stream_late_rows(spark, sf):
+    """A third of the events at a time, by their numbers: what then comes behind the watermark, and what no window takes."""
+    events = shop_events_from_table(table(spark, sf, "events"))
+    folder, work = new_folder(spark, "late_events"), new_folder(spark, "stream_late_rows")
+    third = F.pmod(F.col("event_id").cast("long"), F.lit(3))
+    for part in range(3):
+        events.where(third == part).write.mode("append").parquet(folder)
+        arriving = with_event_time(spark.readStream.schema(events.schema).parquet(folder), delay=WATERMARK_DELAY)
+        out = finish(panes.late_rows(arriving, WINDOWS), "stream_late_rows", work)
+    return out
 
 
 def stream_sessions(spark, sf):
@@ -99,6 +117,8 @@ STREAM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_category,
         stream_purchase,
         stream_sessions,
+        stream_sessions_metrics,
+        stream_late_rows,
         stream_cart_exact,
         stream_sessions_running,
     )
