@@ -18,6 +18,7 @@ Null ids stay null. Ties in length keep the order of arrival. An empty table giv
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +27,12 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwheel.llm.byte_bpe import codec
 from cartwheel.llm.common import materialise, text_of
 
 LENGTH = 2048
+# the fast tokenizer's pattern runs out of stack on long blank stretches; these texts go to the tree's encoder
+LONG_BLANK = re.compile(r"\s{4096}")
 BLOCK_TOKENS = 4 << 20
 PACKED = "matrix string, row int, width int, n_tokens int, ids binary, cu_seqlens array<int>, resets array<int>, doc_ids array<long>, numbers array<int>, offsets array<int>"
 
@@ -50,8 +54,14 @@ def token_ids(text: str | Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoding(path, pattern)
+
+        def of(text: str) -> bytes:
+            if LONG_BLANK.search(text):
+                return codec(path, pattern).encode(text)
+            return np.asarray(own.encode_ordinary(text), "<u4").tobytes()
+
         for texts in parts:
-            yield pa.array([np.asarray(own.encode_ordinary(t), "<u4").tobytes() for t in texts.to_pylist()], pa.binary())
+            yield pa.array([of(t) for t in texts.to_pylist()], pa.binary())
 
     return ids(text_of(text))
 

@@ -91,3 +91,13 @@ def test_packing_is_lossless(spark):
     back = [(-1 if r.doc_id is None else r.doc_id, np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) for r in packing.unpacked(rows).collect()]
     assert sorted(back) == sorted((-1 if i is None else i, theirs(t or "")) for i, t, _ in ROWS)
     assert packing.packed(ids.limit(0), 50_256, 50_257).collect() == []
+
+
+def test_packing_survives_long_blanks(spark):
+    """Texts of one long stretch, on which the fast tokenizer runs out of stack."""
+    texts = [" " * 2_000_000, "a" + "\n" * 60_000 + "b", "^" * 2_000_000, "\t " * 500_000, "word " * 1000 + " " * 300_000]
+    docs = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.packed(docs.select("doc_id", packing.token_ids("text", PATH, P.PATTERN).alias("ids")), 50_256, 50_257)
+    back = {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in packing.unpacked(rows).collect()}
+    for i, text in enumerate(texts):
+        assert b"".join(THEIRS.decode_single_token_bytes(t) for t in back[i]).decode() == text
