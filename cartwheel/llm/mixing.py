@@ -39,7 +39,7 @@ BLOCK_WORDS = 512
 # a draw of the tree takes fewer than 10**9 blocks together
 MOST_BLOCKS = 1 << 28
 SHARD_BLOCKS = 4096
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 256
 TREE_LEVELS = 6
 SEED = 11
 WORD = r"[^\x20\x09-\x0D]+"
