@@ -30,7 +30,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import LOWER, components, materialise, parallelism, small, text_of
@@ -142,7 +142,7 @@ def entries(shingles: np.ndarray, ends: np.ndarray, threshold: Fraction) -> np.n
 
 
 def sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id``, size and hash of the shingle set of each row."""
+    """``doc_id``, hash of the text, size and hash of the shingle set of each row."""
 
     @F.arrow_udf("struct<n:int,hash:long>")
     def described(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -151,7 +151,12 @@ def sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
             sizes = pa.array([len(x) for x in found], pa.int32())
             yield pa.StructArray.from_arrays([sizes, pa.array([set_hash(x) for x in found], pa.int64())], ["n", "hash"])
 
-    return documents.select("doc_id", described(text_of("text")).alias("_set")).select("doc_id", "_set.*")
+    rows = documents.select("doc_id", text_hash().alias("text_hash"), described(text_of("text")).alias("_set"))
+    return rows.select("doc_id", "text_hash", "_set.*")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(text_of("text"))
 
 
 def _packed_entries(documents: DataFrame, words: int, threshold: Fraction, decks: int) -> DataFrame:
@@ -357,8 +362,8 @@ def cluster_links(open_sets: DataFrame, documents: DataFrame, words: int, thresh
     return rows.withColumn("_deal", F.pmod("_task", F.lit(32 * parallelism(rows)))).groupBy("_deal").applyInArrow(searched, "a long, b long")
 
 
-def similar_groups(documents: DataFrame, words: int = WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of each row."""
+def _grouped(documents: DataFrame, words: int, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
+    """The described rows, and the component (``root``) of each set that is not empty, by its hash."""
     documents = documents.select("doc_id", "text")
     described = materialise(sets(documents, words), "classes")
     classes = described.where("n > 0").groupBy("hash").agg(F.min("doc_id").alias("_row"))
@@ -384,7 +389,12 @@ def similar_groups(documents: DataFrame, words: int = WORDS, threshold: Fraction
     more = cluster_links(materialise(open_sets.join(classes, "hash"), "open"), documents, words, threshold)
     roots = components(links.unionByName(more))
 
-    grouped = with_root(classes, roots)
+    return described, with_root(classes, roots)
+
+
+def similar_groups(documents: DataFrame, words: int = WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of each row."""
+    described, grouped = _grouped(documents, words, threshold)
     smallest = grouped.groupBy("root").agg(F.min("_row").alias("component_id"))
     of_class = grouped.join(smallest, "root").select("hash", "component_id")
     size = F.col("n").cast("long").alias("n_shingles")
@@ -393,7 +403,25 @@ def similar_groups(documents: DataFrame, words: int = WORDS, threshold: Fraction
 
 
 def one_of_each(documents: DataFrame, words: int = WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """One row of each group: those with its smallest id; rows without words, or without any id, all stay."""
-    groups = similar_groups(documents, words, threshold)
-    away = groups.where("doc_id != component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id").distinct()
-    return documents.join(away, documents["doc_id"].eqNullSafe(away["doc_id"]), "left_anti")
+    """One row of each group; rows without words all stay.
+
+    The row with the smallest id stays, one without an id only if no row of its group has one. Rows of a group that
+    share the id are told apart by their sets and texts; of rows alike in all of these one stays.
+    """
+    described, grouped = _grouped(documents, words, threshold)
+    rows = described.where("n > 0").join(grouped.select("hash", "root"), "hash")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "text_hash")
+    best = rows.groupBy("root").agg(F.min(rank).alias("_best"))
+    away = rows.join(best, "root").where(~rank.eqNullSafe(F.col("_best")))
+    away = away.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+
+    def found_in(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(keys, rows["doc_id"].eqNullSafe(keys["_id"]) & (text_hash() == keys["_hash"]), how)
+
+    kept = found_in(documents, away, "left_anti")
+    repeated = described.where("n > 0").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n"))
+    repeated = materialise(repeated.where("_n > 1").drop("_n"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = found_in(kept, repeated, "left_semi").withColumn("_of_text", text_hash()).dropDuplicates(["doc_id", "_of_text"])
+    return found_in(kept, repeated, "left_anti").unionByName(once.drop("_of_text"))

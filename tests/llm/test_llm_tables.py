@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartwheel.llm import decontamination, jaccard_join, oracle, queries, sharding, toxicity, url_filters, warc
@@ -22,15 +23,15 @@ def lower(text):
 # --- Jaccard join ------------------------------------------------------------------------------------------
 
 
-def brute_groups(rows):
+def brute_groups(rows, words=3, percent=90):
     sets = []
     for _, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
-        sets.append({tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if w else set())
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
     group = list(range(len(rows)))
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]) and group[i] != group[j]:
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]) and group[i] != group[j]:
                 old, new = group[i], group[j]
                 group = [new if g == old else g for g in group]
     ids = defaultdict(list)
@@ -67,6 +68,36 @@ def test_similar_groups(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in got})
 
 
+def test_one_of_each_tells_rows_apart(spark):
+    """Repeated and null ids: only rows of a group go, and one of each group stays."""
+    a, b, c, other = "one two three four five six", "seven eight nine ten eleven", "twelve thirteen fourteen fifteen", "ONE two three four five six"
+    rows = [(1, a, 0), (5, a, 1), (5, b, 2), (None, a, 3), (None, c, 4), (None, None, 5), (None, "", 6), (8, " ", 7), (8, " ", 8)]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, hash int")
+    assert sorted(r["hash"] for r in jaccard_join.one_of_each(docs).collect()) == [0, 2, 4, 5, 6, 7, 8]
+    rows = [(3, a, 0), (3, a, 1), (3, other, 2), (4, b, 3), (4, b, 4), (None, c, 5), (None, c, 6), (7, c + " sixteen", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash int")
+    kept = jaccard_join.one_of_each(docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text.lower()) for r in kept) == [(False, 3, a), (False, 4, b), (False, 7, c + " sixteen"), (True, None, c)]
+    assert kept[0].__fields__ == docs.columns
+    assert jaccard_join.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_pipeline_on_repeated_and_null_ids(spark):
+    docs = prepare(spark).read.parquet(f"{SF}/documents.parquet").limit(60)
+    again = docs.where("doc_id % 3 = 0").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    shifted = docs.where("doc_id % 3 = 1").withColumn("doc_id", (F.col("doc_id") + 1).cast(docs.schema["doc_id"].dataType))
+    every = docs.unionByName(again).unionByName(shifted).unionByName(docs.where("doc_id % 5 = 0"))
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, every, str(SF)).collect()
+    rows = [(r.doc_id, r.text) for r in every.collect()]
+    numbered = brute_groups([(n, t) for n, (_, t) in enumerate(rows)], 5, 80)
+    of_text = {rows[n][1]: group for n, _, group in numbered}
+    assert sorted(of_text[r.text] for r in kept) == sorted({group for _, _, group in numbered})
+    least = {}
+    for n, _, group in numbered:
+        least[group] = min(least.get(group, (True, 0)), (rows[n][0] is None, rows[n][0] or 0))
+    assert all((r.doc_id is None, r.doc_id or 0) == least[of_text[r.text]] for r in kept)
+
+
 def test_no_linked_pair_is_outside_a_tile():
     ends = jaccard_join.class_bounds(jaccard_join.THRESHOLD)
     random.seed(1)
@@ -343,7 +374,7 @@ def test_pipeline(spark):
 
     kept = stages["toxicity"](spark, docs, str(SF))
     assert kept.columns == columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in want)
-    want = [(i, t) for (i, t), (_, _, c) in zip(want, brute_groups(want)) if i == c]
+    want = [(i, t) for (i, t), (_, _, c) in zip(want, brute_groups(want, 5, 80)) if i == c]
     kept = stages["jaccard_join"](spark, kept, str(SF))
     assert kept.columns == columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in want)
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
