@@ -6,6 +6,8 @@ Each stage takes all that its predecessor kept, as a written table.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,13 +15,16 @@ from cartwheel.llm import byte_bpe, decontamination, jaccard_join, toxicity
 from cartwheel.llm.common import materialise, read
 from cartwheel.llm.queries import TOKENIZER
 
+# near copies share four fifths of their five-word shingles
+NEAR_WORDS, NEAR_SIMILARITY = 5, Fraction(4, 5)
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.acceptable(docs, read(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_SIMILARITY)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
