@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.enrich import ip_number
 from cartwheel.functions.timeline import micros, position
+from cartwheel.operators.matching import matches
 from cartwheel.operators.previous import with_previous
 
 
@@ -73,29 +74,30 @@ def ip_lookup(events: DataFrame, ip: str, table: DataFrame, fields: Sequence[str
     return events.join(best.select(ip, *[F.col(f"_m._best.{f}").alias(f) for f in fields]), ip, "left")
 
 
-def _has_any(agent: Column, patterns: Sequence[str]) -> Column:
-    low = F.lower(agent)
-    listed = F.lit([p.lower() for p in patterns])
-    return F.coalesce(F.exists(listed, lambda p: F.contains(low, p)), F.lit(False))
-
-
 def mark_robots(
     events: DataFrame,
     ip: str,
     agent: str,
     ip_table: DataFrame,
-    include: Sequence[str],
-    exclude: Sequence[str],
+    include: DataFrame | None = None,
+    exclude: DataFrame | None = None,
 ) -> DataFrame:
-    """``is_robot``: address in a listed range, or an agent that is not a browser or is a listed robot."""
+    """``is_robot``: address in a listed range, or an agent that is not a browser or is a listed robot.
+
+    ``include`` and ``exclude`` are tables with a column ``pattern``: pieces of the names of browsers and of robots.
+    Without ``include`` every agent is a browser, with it a missing agent is none.
+    """
     listed = ip_lookup(events, ip, ip_table.withColumn("_listed", F.lit(True)), ["_listed"])
-    browser = _has_any(F.col(agent), include) if include else F.lit(True)
-    robot = _has_any(F.col(agent), exclude) if exclude else F.lit(False)
-    # pattern lists of any length are held against each agent once, however many events it has
-    agents = events.select(agent).distinct().select(F.col(agent).alias("_agent"), (~browser | robot).alias("_robot"))
-    known = listed.join(agents, F.col(agent).eqNullSafe(F.col("_agent")), "left")
-    by_ip = F.coalesce("_listed", F.lit(False))
-    return known.withColumn("is_robot", by_ip | F.col("_robot")).drop("_listed", "_agent", "_robot")
+
+    def found(patterns: DataFrame, mark: str) -> DataFrame:
+        return matches(events, agent, patterns.select("pattern"), "pattern").select(F.col("_text").alias(f"_of{mark}"), F.lit(True).alias(mark)).distinct()
+
+    robot = F.coalesce("_listed", F.lit(False))
+    for patterns, mark, sought in ((include, "_browser", False), (exclude, "_excluded", True)):
+        if patterns is not None:
+            listed = listed.join(found(patterns, mark), F.col(agent) == F.col(f"_of{mark}"), "left")
+            robot = robot | (F.coalesce(mark, F.lit(False)) == sought)
+    return listed.select(*events.columns, robot.alias("is_robot"))
 
 
 def without_robots(events: DataFrame, **lists) -> DataFrame:

@@ -299,6 +299,14 @@ WHERE event_type IN ('page_view', 'product_view', 'add_to_cart', 'remove_from_ca
   session_id AS domain_sessionid, page_url, CASE WHEN event_type = 'list_view' THEN category END AS list_name FROM shop""",
     "bad_rows_split": f"""{SHOP} SELECT CASE WHEN k % 50 = 0 THEN 'malformed JSON' ELSE 'good' END AS outcome, count(*) AS n
 FROM shop GROUP BY 1""",
+    "bad_rows": f"{SHOP} SELECT event_id, 'malformed JSON' AS parse_error FROM shop WHERE k % 50 = 0",
+    "events_deduplicated": f"""{SHOP} SELECT event_id, event_type, user_id, ts, page_url FROM shop
+UNION ALL SELECT event_id, event_type, user_id, ts, '/other' FROM shop WHERE CAST(event_id AS BIGINT) % 5 = 0""",
+    "device_class_os": """SELECT event_id,
+  CASE k WHEN 0 THEN 'Desktop' WHEN 1 THEN 'Phone' WHEN 2 THEN 'Tablet' WHEN 3 THEN 'Robot' WHEN 4 THEN 'Unknown' ELSE 'Desktop' END AS device_class,
+  CASE k WHEN 0 THEN 'Windows NT' WHEN 1 THEN 'iOS' WHEN 2 THEN 'Android' WHEN 3 THEN 'Linux' WHEN 4 THEN 'Unknown' ELSE 'Mac OS' END AS os_name
+FROM (SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER) % 6, 0) AS k FROM events)""",
+    "grid_unique_approx": f"{PRODUCT_ITEMS} SELECT user_id, emit_ts, window_size, unique_product_count FROM pfeat",
     "field_length_limit": """SELECT page_id, CASE WHEN length(url) > 45 THEN 'url longer than 45' END AS parse_error FROM pages""",
     "multi_size_cart": f"""{SHOP} SELECT x.user_id, x.event_id,
   {", ".join(f"count(*) FILTER (WHERE y.event_type = 'add_to_cart' AND y.ts >= x.ts - INTERVAL {d} DAY) AS adds_{d}d" for d in (1, 3, 7))},
@@ -435,6 +443,8 @@ SELECT sid AS session_id, session_start, as_of, closed, user_id, page_views, sea
   latest_platform, epoch_us(as_of) // 1000 - epoch_us(session_start) // 1000 AS duration_ms, page_views < 2 AS bounce,
   CASE WHEN product_views = 0 THEN 0 ELSE cart_adds // product_views END AS cart_ratio
 FROM counted JOIN listed USING (sid, no, as_of, closed)""",
+    "stream_deduplicated": f"""{SHOP} SELECT event_id, event_type, user_id, ts, page_url FROM shop
+UNION ALL SELECT event_id, event_type, user_id, ts, '/other' FROM shop WHERE CAST(event_id AS BIGINT) % 5 = 0""",
     "stream_late_rows": f"""{SHOP},
 parts AS (SELECT *, CAST(event_id AS BIGINT) % 3 AS part, epoch_us(ts) // 1000 AS ms FROM shop),
 marks AS (

@@ -1,6 +1,6 @@
 """The whole job: events in, feature table out, as one batch run or as streaming queries.
 
-Events are parsed once into a canonical table, and the branches read narrow columns of it. In a stream that table is
+Events are parsed once, and once per event sent, into a canonical table, and the branches read narrow columns of it. In a stream that table is
 written by a query of its own and read as a stream by one query per branch, each with its own checkpoint and all
 window sizes of the branch in one state.
 """
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from cartwheel import schema
 from cartwheel.config import CHECKPOINT_INTERVAL, WATERMARK_DELAY, FeatureConfig, RollingWindow
 from cartwheel.operators import branches, canonical
+from cartwheel.operators.repeats import without_repeats
 from cartwheel.operators.reshape import reshape
 from cartwheel.plans import grid_features, session_features
 from cartwheel.plans.metrics import session_metrics, user_metrics
@@ -116,7 +117,7 @@ def run_batch(
     """``run`` names this run: repeated under the same name it supersedes itself, any other run adds."""
     spark = prepare(raw.sparkSession)
     run = run or uuid.uuid4().hex
-    table = materialise(canonical_table(parse(raw, reshaped)), "canonical")
+    table = materialise(without_repeats(canonical_table(parse(raw, reshaped))), "canonical")
     if bad_path:
         bad(table).write.mode("append").json(bad_path)
     kept = stores(spark, store_path, config)
@@ -130,8 +131,15 @@ def stream_run(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
 
-def _upserting(store: FeatureStore, checkpoint: str) -> Callable[[DataFrame, int], None]:
-    return lambda metrics, batch_id: store.upsert(metrics, batch_id, stream_run(store.spark, checkpoint))
+def _upserting(store: FeatureStore, checkpoint: str, also: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    def upsert(metrics: DataFrame, batch_id: int) -> None:
+        if also is not None:
+            metrics = metrics.persist()  # computed once for both
+            also(metrics, batch_id)
+        store.upsert(metrics, batch_id, stream_run(store.spark, checkpoint))
+        metrics.unpersist()
+
+    return upsert
 
 
 def run_stream(
@@ -144,15 +152,17 @@ def run_stream(
     delay: str = WATERMARK_DELAY,
     once: bool = False,
     late_path: str | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> list[StreamingQuery]:
     """Start the queries; ``once`` works off what is there and stops.
 
     The first query parses into the stream table ``{checkpoint}/events``, the others read that. ``late_path`` gets the
-    rows behind the watermark of any branch, with whether all windows have missed them.
+    rows behind the watermark, with whether all windows have missed them. ``also`` gets each batch of metrics besides
+    the feature table, such as ``sinks.external_store_writer``.
     """
     spark = prepare_streaming(raw.sparkSession)
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_INTERVAL}
-    parsed, path = canonical_table(parse(raw, reshaped)), f"{checkpoint}/events"
+    parsed, path = without_repeats(canonical_table(parse(raw, reshaped))), f"{checkpoint}/events"
     make_folder(spark, path)
 
     def start(df: DataFrame, name: str, sink: Callable[[DataStreamWriter], DataStreamWriter]) -> StreamingQuery:
@@ -169,7 +179,7 @@ def run_stream(
     events = with_event_time(good(table), delay=delay)
     kept = stores(spark, store_path, config)
     for name, metrics in stream_metrics(events, config).items():
-        upsert = _upserting(kept[name], f"{checkpoint}/{name}-metrics")
+        upsert = _upserting(kept[name], f"{checkpoint}/{name}-metrics", also)
         queries.append(start(metrics, f"{name}-metrics", lambda writer, upsert=upsert: writer.foreachBatch(upsert)))
     if bad_path:
         queries.append(start(bad(table), "bad-rows", files("json", bad_path)))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cartwheel import schema
 from cartwheel.config import RollingWindow
 from cartwheel.functions import enrich
-from cartwheel.operators import branches, canonical, lookups, sessions
+from cartwheel.operators import agents, branches, canonical, lookups, sessions
+from cartwheel.operators.repeats import without_repeats
 from cartwheel.operators.reshape import reshape
 from cartwheel.operators.rolling import rolling_features
 from cartwheel.plans import event_features as by_event
@@ -162,7 +163,7 @@ def reshaped_blocks(spark, sf):
     return out.select(*[F.get_json_object("value", path).alias(n) for n, path in fields.items()])
 
 
-def bad_rows_split(spark, sf):
+def _cut_in_half(spark, sf):
     """Every row whose k is a multiple of 50 arrives cut in half."""
     text = tracker_json(shop(spark, sf))
     whole = table(spark, sf, "events")
@@ -170,7 +171,11 @@ def bad_rows_split(spark, sf):
     cut = whole.where(k % 50 == 0).select(F.col("event_id").cast("string").alias("cut_id"))
     keyed = text.withColumn("cut_id", F.get_json_object("value", "$.event_id")).join(cut.withColumn("_cut", F.lit(True)), "cut_id", "left")
     broken = keyed.select(F.when(F.col("_cut"), F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
-    parsed = canonical.parse_events(reshape(broken, full=False))
+    return canonical.parse_events(reshape(broken, full=False))
+
+
+def bad_rows_split(spark, sf):
+    parsed = _cut_in_half(spark, sf)
     return parsed.groupBy(F.coalesce(canonical.ERROR, F.lit("good")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
@@ -467,11 +472,54 @@ def shopper_regions(spark, sf):
     return out.select("user_id", F.array_join("shopper_locations", ",").alias("shopper_locations"), "shopper_region_changes")
 
 
+def _patterns(spark, *patterns):
+    return spark.createDataFrame([(p,) for p in patterns], "pattern string")
+
+
+# user agents for the events, by k: all device classes
+LISTED_AGENTS = (
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64)",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 17_0 like Mac OS X)",
+    "Mozilla/5.0 (Linux; Android 14; SM-X700) Tablet",
+    "Mozilla/5.0 (compatible; Googlebot/2.1) Linux",
+    "curl/8.4.0",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7)",
+)
+
+
+def device_class_os(spark, sf):
+    """Classes by the table of rules."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    agent = F.element_at(F.array(*[F.lit(a) for a in LISTED_AGENTS]), F.coalesce(F.pmod(k, F.lit(len(LISTED_AGENTS))), F.lit(0)) + 1)
+    events = table(spark, sf, "events").select("event_id", agent.alias("agent"))
+    return agents.classified(events, "agent", agents.default_rules(spark)).select("event_id", "device_class", "os_name")
+
+
+def events_deduplicated(spark, sf):
+    """A third of the events sent twice, and a fifth of their ids used again for another event."""
+    events = shop(spark, sf)
+    number = F.col("event_id").cast("long")
+    again = events.where(number % 3 == 0)
+    other = events.where(number % 5 == 0).withColumn("page_url", F.lit("/other"))
+    kept = without_repeats(events.unionByName(again).unionByName(other))
+    return kept.select("event_id", "event_type", "user_id", "ts", "page_url")
+
+
+def bad_rows(spark, sf):
+    """The rows themselves, with their reasons."""
+    found = canonical.bad_rows(_cut_in_half(spark, sf))
+    return found.select(F.regexp_extract("value", '"event_id":"([0-9]+)"', 1).alias("event_id"), canonical.ERROR)
+
+
+def grid_unique_approx(spark, sf):
+    return by_grid.unique_products_approx(branches.product_views(shop(spark, sf)), WINDOWS)
+
+
 def robot_filter(spark, sf):
     """Addresses of nations count as listed; event types play the user agents."""
     ranges = address_ranges(spark, sf).where(F.col("cidr").endswith("/16"))
     events = with_address(table(spark, sf, "events"))
-    kept = lookups.without_robots(events, ip="ip", agent="event_type", ip_table=ranges, include=["CLICK", "view", "err"], exclude=["err"])
+    kept = lookups.without_robots(events, ip="ip", agent="event_type", ip_table=ranges, include=_patterns(spark, "CLICK", "view", "err"), exclude=_patterns(spark, "err"))
     return kept.select("event_id", "user_id")
 
 
@@ -539,6 +587,10 @@ BATCH: dict[str, Query] = {
         ip_lookup,
         shopper_regions,
         robot_filter,
+        device_class_os,
+        events_deduplicated,
+        bad_rows,
+        grid_unique_approx,
         currency_conversion,
         pii_pseudonym,
         ip_anonymous,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.config import WATERMARK_DELAY
 from cartwheel.operators import branches
+from cartwheel.operators.repeats import without_repeats
 from cartwheel.plans.queries import EMIT, GAP, GRID_KEYS, WINDOWS, table
 from cartwheel.plans.session import prepare_streaming
 from cartwheel.sources.events import with_event_time
@@ -88,6 +89,18 @@ def stream_late_rows(spark, sf):
     return out
 
 
+def stream_deduplicated(spark, sf):
+    """The events, then a third of them again with a fifth of their ids used for another event, as a stream in two runs."""
+    events = shop_events_from_table(table(spark, sf, "events"))
+    number = F.col("event_id").cast("long")
+    other = events.where(number % 5 == 0).withColumn("page_url", F.lit("/other"))
+    folder, work = new_folder(spark, "sent_events"), new_folder(spark, "stream_deduplicated")
+    for sent in (events, events.where(number % 3 == 0).unionByName(other)):
+        sent.write.mode("append").parquet(folder)
+        out = finish(without_repeats(spark.readStream.schema(events.schema).parquet(folder)), "stream_deduplicated", work)
+    return out.select("event_id", "event_type", "user_id", "ts", "page_url")
+
+
 def stream_sessions(spark, sf):
     out = finish(native.session_stream(events_stream(spark, sf), GAP), "stream_sessions")
     devices = F.array_join("device_types", ",").alias("devices")
@@ -119,6 +132,7 @@ STREAM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_sessions,
         stream_sessions_metrics,
         stream_late_rows,
+        stream_deduplicated,
         stream_cart_exact,
         stream_sessions_running,
     )

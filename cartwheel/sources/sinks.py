@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import time
+import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from concurrent.futures import TimeoutError as FutureTimeout
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
@@ -14,6 +18,8 @@ from cartwheel.config import CHECKPOINT_INTERVAL, DEFAULT_TTL_SECONDS
 
 MAX_RETRIES = 3
 RETRY_DELAY_SECONDS = 1.0
+IN_FLIGHT = 100
+TIMEOUT_SECONDS = 1.0
 
 
 def print_sink(df: DataFrame, name: str, checkpoint: str) -> DataStreamWriter:
@@ -80,6 +86,72 @@ def put_all(
         _close(client)
 
 
+def put_in_flight(
+    rows: Iterator[Row],
+    connect: Callable[[], Any],
+    default_ttl: int = DEFAULT_TTL_SECONDS,
+    retries: int = MAX_RETRIES,
+    delay: float = RETRY_DELAY_SECONDS,
+    in_flight: int = IN_FLIGHT,
+    timeout: float = TIMEOUT_SECONDS,
+) -> None:
+    """As ``put_all``, with up to ``in_flight`` calls under way at a time.
+
+    Names are dealt out to lanes, each with a connection of its own that makes one call at a time: calls of a name
+    stay in their order, also when one is tried again. Rows are taken in only as calls complete, the oldest first. A
+    call that takes longer than ``timeout`` counts as failed once: the lane's connection is closed, so that its
+    retry goes over a new one.
+    """
+    lanes = [_Lane(connect, retries, delay) for _ in range(in_flight)]
+    under_way: deque[tuple[_Lane, Future]] = deque()
+
+    def complete() -> None:
+        lane, call = under_way.popleft()
+        try:
+            call.result(timeout)
+        except FutureTimeout:
+            lane.drop()
+            call.result((retries + 1) * (timeout + delay))
+
+    pools = [ThreadPoolExecutor(1) for _ in lanes]
+    try:
+        for row in rows:
+            if len(under_way) >= in_flight:
+                complete()
+            ttl = default_ttl if row["ttl_seconds"] is None else row["ttl_seconds"]
+            number = zlib.crc32(row["name"].encode()) % in_flight
+            under_way.append((lanes[number], pools[number].submit(lanes[number].put, row["name"], ttl, row["value"])))
+        while under_way:
+            complete()
+    finally:
+        for pool, lane in zip(pools, lanes):
+            pool.shutdown(wait=False, cancel_futures=True)
+            lane.drop()
+
+
+class _Lane:
+    """One connection, made when it is needed."""
+
+    def __init__(self, connect: Callable[[], Any], retries: int, delay: float) -> None:
+        self.connect, self.retries, self.delay, self.client = connect, retries, delay, None
+
+    def put(self, name: str, ttl: int, value: str) -> None:
+        for attempt in range(self.retries + 1):
+            try:
+                self.client = self.client or self.connect()
+                self.client.setex(name, ttl, value)
+                return
+            except Exception:
+                self.drop()
+                if attempt == self.retries:
+                    raise
+                time.sleep(self.delay)
+
+    def drop(self) -> None:
+        client, self.client = self.client, None
+        _close(client)
+
+
 def _close(client: Any) -> None:
     if client is not None:
         try:
@@ -88,12 +160,12 @@ def _close(client: Any) -> None:
             pass
 
 
-def external_store_writer(connect: Callable[[], Any], **options: Any) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: newest value per name, then one connection per partition."""
+def external_store_writer(connect: Callable[[], Any], put: Callable[..., None] = put_in_flight, **options: Any) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: newest value per name, then the calls of each partition."""
 
     def write(metrics: DataFrame, batch_id: int) -> None:
         rank = F.struct("emit_ts", "value", "ttl_seconds")
         latest = metrics.groupBy("name").agg(F.max(rank).alias("_r")).select("name", "_r.value", "_r.ttl_seconds")
-        latest.foreachPartition(lambda rows: put_all(rows, connect, **options))
+        latest.foreachPartition(lambda rows: put(rows, connect, **options))
 
     return write
