@@ -92,6 +92,11 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(mixed(shingles).sum(dtype=_U).astype(np.int64)) if len(shingles) else 0
 
 
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    """How many elements of a set fall into each group: its point."""
+    return np.bincount((shingles & _U(GROUPS - 1)).astype(np.intp), minlength=GROUPS).astype("<u4")
+
+
 def most_different(total: int, threshold: Fraction) -> int:
     """Elements in which two linked sets of ``total`` elements together can differ."""
     return int(total * (1 - threshold) / (1 + threshold))
@@ -142,14 +147,15 @@ def entries(shingles: np.ndarray, ends: np.ndarray, threshold: Fraction) -> np.n
 
 
 def sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id``, hash of the text, size and hash of the shingle set of each row."""
+    """``doc_id``, hash of the text, and of the shingle set of each row the size, hash and count vector."""
 
-    @F.arrow_udf("struct<n:int,hash:long>")
+    @F.arrow_udf("struct<n:int,hash:long,counts:binary>")
     def described(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in parts:
             found = [shingle_set(t, words) for t in texts.to_pylist()]
             sizes = pa.array([len(x) for x in found], pa.int32())
-            yield pa.StructArray.from_arrays([sizes, pa.array([set_hash(x) for x in found], pa.int64())], ["n", "hash"])
+            hashes, counts = pa.array([set_hash(x) for x in found], pa.int64()), pa.array([count_vector(x).tobytes() for x in found], pa.binary())
+            yield pa.StructArray.from_arrays([sizes, hashes, counts], ["n", "hash", "counts"])
 
     rows = documents.select("doc_id", text_hash().alias("text_hash"), described(text_of("text")).alias("_set"))
     return rows.select("doc_id", "text_hash", "_set.*")
@@ -219,6 +225,21 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame
     return held.where("elements IS NOT NULL")
 
 
+def possible_pairs(pairs: DataFrame, described: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs whose points allow a link: the sum of the smaller coordinates bounds the overlap."""
+
+    @F.arrow_udf("boolean")
+    def possible(left: pa.Array, right: pa.Array) -> pa.Array:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u4").reshape(-1, GROUPS) for x in (left, right))
+        total = a.sum(1, dtype=np.int64) + b.sum(1, dtype=np.int64)
+        return pa.array(np.minimum(a, b).sum(1, dtype=np.int64) >= least_overlap(total, threshold))
+
+    points = described.where("n > 0").select("hash", "counts").dropDuplicates(["hash"])
+    for side in ("a", "b"):
+        pairs = pairs.join(points.withColumnsRenamed({"hash": side, "counts": f"_{side}"}), side)
+    return pairs.where(possible("_a", "_b")).select("a", "b")
+
+
 def linked_pairs(pairs: DataFrame, documents: DataFrame, classes: DataFrame, words: int, threshold: Fraction) -> DataFrame:
     """The pairs (a, b) of sets that are linked; a set that is in many pairs is a hot key of an ordinary join."""
 
@@ -274,7 +295,7 @@ def tree_links(sets_of: list[np.ndarray], roots: np.ndarray, sides: np.ndarray |
     n = np.array([len(x) for x in sets_of])
     at = np.zeros((len(n), GROUPS), np.uint32)
     for row, own in zip(at, sets_of, strict=True):
-        row[:] = np.bincount((own & _U(GROUPS - 1)).astype(np.intp), minlength=GROUPS)
+        row[:] = count_vector(own)
     known = Roots(roots)
     if sides is None:
         root = packed_tree(at, n)
@@ -372,7 +393,7 @@ def _grouped(documents: DataFrame, words: int, threshold: Fraction) -> tuple[Dat
 
     tiled = materialise(tiles(documents, words, threshold, decks), "tiles")
     star = tiled.where("hash != middle").select(F.col("middle").alias("a"), F.col("hash").alias("b")).distinct()
-    star = materialise(star, "pairs")
+    star = materialise(possible_pairs(star, described, threshold), "pairs")
     links = materialise(linked_pairs(star, documents, classes, words, threshold), "links")
     roots = components(links)
 

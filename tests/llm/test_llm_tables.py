@@ -5,8 +5,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,26 @@ def test_one_of_each_tells_rows_apart(spark):
     assert jaccard_join.one_of_each(docs.limit(0)).collect() == []
 
 
+def test_one_of_each_at_other_values(spark):
+    """Five words and a similarity of 0.8."""
+    rows = near_copies(7)
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard_join.one_of_each(docs, 5, Fraction(4, 5)).collect()
+    numbered = brute_groups([(n, t) for n, (_, t) in enumerate(rows)], 5, 80)
+    assert len(kept) == len({group for _, _, group in numbered})
+
+
+def test_points_lose_no_link():
+    """The bound is never below the overlap, and tells most unrelated sets apart."""
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        own = rng.integers(0, 2**63, rng.integers(1, 900), dtype=np.uint64)
+        other = np.union1d(rng.choice(own, rng.integers(0, len(own) + 1), replace=False), rng.integers(0, 2**63, rng.integers(0, 300), dtype=np.uint64))
+        a, b = np.unique(own), np.unique(other)
+        bound = np.minimum(jaccard_join.count_vector(a), jaccard_join.count_vector(b)).sum()
+        assert bound >= len(np.intersect1d(a, b))
+
+
 def test_pipeline_on_repeated_and_null_ids(spark):
     docs = prepare(spark).read.parquet(f"{SF}/documents.parquet").limit(60)
     again = docs.where("doc_id % 3 = 0").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
@@ -89,7 +111,7 @@ def test_pipeline_on_repeated_and_null_ids(spark):
     every = docs.unionByName(again).unionByName(shifted).unionByName(docs.where("doc_id % 5 = 0"))
     kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, every, str(SF)).collect()
     rows = [(r.doc_id, r.text) for r in every.collect()]
-    numbered = brute_groups([(n, t) for n, (_, t) in enumerate(rows)], 5, 80)
+    numbered = brute_groups([(n, t) for n, (_, t) in enumerate(rows)])
     of_text = {rows[n][1]: group for n, _, group in numbered}
     assert sorted(of_text[r.text] for r in kept) == sorted({group for _, _, group in numbered})
     least = {}
@@ -374,7 +396,7 @@ def test_pipeline(spark):
 
     kept = stages["toxicity"](spark, docs, str(SF))
     assert kept.columns == columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in want)
-    want = [(i, t) for (i, t), (_, _, c) in zip(want, brute_groups(want, 5, 80)) if i == c]
+    want = [(i, t) for (i, t), (_, _, c) in zip(want, brute_groups(want)) if i == c]
     kept = stages["jaccard_join"](spark, kept, str(SF))
     assert kept.columns == columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in want)
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
