@@ -81,27 +81,20 @@ def _answers(
     return _union(parts)
 
 
-def _empty_times(panes: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
-    users = panes.select("user_id", "stamp").distinct()
-    pane = pane_width(windows)
-    parts = []
-    for group in _by_emit(windows):
-        largest = micros(max(w.duration_seconds for w in group))
-        times = grid_times(users, USER, largest, micros(group[0].emit_seconds), pane, (), True)
-        labels = F.explode(F.array(*[F.lit(w.label) for w in group])).alias("window_size")
-        parts.append(_in_reach(times.select("*", labels), group, pane, True).where("empty"))
-    return _union(parts).select("user_id", "emit_ts", "window_size")
-
-
 def _views(item: str) -> Column:
     return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct(item, "n")))))
 
 
-def product_item_views(views: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def _items(answers: DataFrame, item: str, *measures: str) -> DataFrame:
+    """Rows per item; one in which it has just left the window has no measures, and only keeps the window open."""
+    return answers.select("user_id", item, "emit_ts", "window_size", *[F.when(~F.col("empty"), F.col(m)).alias(m) for m in measures])
+
+
+def product_item_views(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     """Per user, product and emit time: views, earliest price in the window, price bounds."""
-    return _answers(*_product_panes(views, windows), ["user_id", "product_id"], windows, **_PRODUCT_MEASURES).select(
-        "user_id", "product_id", "emit_ts", "window_size", "n", "first_price", "low", "high"
-    )
+    keys = ["user_id", "product_id"]
+    answers = _answers(*_product_panes(views, windows), keys, windows, empty_rows=empty_rows, **_PRODUCT_MEASURES)
+    return _items(answers, "product_id", "n", "first_price", "low", "high")
 
 
 _PRODUCT_MEASURES = {"sums": ["n"], "firsts": ["first_price"], "lows": ["low"], "highs": ["high"]}
@@ -128,18 +121,12 @@ def _product_panes(views: DataFrame, windows: Sequence[RollingWindow]) -> tuple[
     return counted, panes.select("user_id", "product_id", "stamp")
 
 
+NO_VIEWS = "cast(map() as map<string,bigint>)"
+
+
 def product_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
-    _, panes = _product_panes(views, windows)
-    out = summarise_products(product_item_views(views, windows), "emit_ts")
-    if empty_rows:
-        zeros = _empty_times(panes, windows).select(
-            "*",
-            F.lit(0).cast("long").alias("unique_product_count"),
-            *[F.lit(0.0).alias(n) for n in ("average_price", "min_price", "max_price")],
-            F.lit(None).cast("map<string,bigint>").alias("views"),
-        )
-        out = out.unionByName(zeros)
-    return out.withColumn("views", F.coalesce("views", F.expr("cast(map() as map<string,bigint>)")))
+    out = summarise_products(product_item_views(views, windows, empty_rows), "emit_ts")
+    return out.withColumn("views", F.coalesce("views", F.expr(NO_VIEWS)))
 
 
 def summarise_products(items: DataFrame, time: str) -> DataFrame:
@@ -175,7 +162,7 @@ def unique_products_approx(views: DataFrame, windows: Sequence[RollingWindow], i
     return merged.select("user_id", F.timestamp_micros("pos").alias("emit_ts"), "window_size", "unique_product_count")
 
 
-def category_item_views(views: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+def category_item_views(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     panes = (
         views.where(F.col("category").isNotNull())
         .groupBy("user_id", "category", _stamp(windows))
@@ -183,23 +170,12 @@ def category_item_views(views: DataFrame, windows: Sequence[RollingWindow]) -> D
     )
     keys = ["user_id", "category"]
     counted = panes.select(*keys, F.col("stamp").alias("pos"), "n")
-    return _answers(counted, panes.select(*keys, "stamp"), keys, windows, sums=["n"]).select(
-        *keys, "emit_ts", "window_size", "n"
-    )
+    return _items(_answers(counted, panes.select(*keys, "stamp"), keys, windows, empty_rows=empty_rows, sums=["n"]), "category", "n")
 
 
 def category_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
-    out = summarise_categories(category_item_views(views, windows), "emit_ts")
-    if empty_rows:
-        panes = views.where(F.col("category").isNotNull()).select("user_id", _stamp(windows))
-        zeros = _empty_times(panes, windows).select(
-            "*",
-            F.lit(0).cast("long").alias("unique_category_count"),
-            F.lit(None).cast("string").alias("most_viewed_category"),
-            F.lit(None).cast("map<string,bigint>").alias("views"),
-        )
-        out = out.unionByName(zeros)
-    return out.withColumn("views", F.coalesce("views", F.expr("cast(map() as map<string,bigint>)")))
+    out = summarise_categories(category_item_views(views, windows, empty_rows), "emit_ts")
+    return out.withColumn("views", F.coalesce("views", F.expr(NO_VIEWS)))
 
 
 def summarise_categories(items: DataFrame, time: str) -> DataFrame:
