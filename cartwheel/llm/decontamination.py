@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 from cartwheel.llm.common import LOWER, text_of
 
 WINDOW = 13
-# benchmark bytes that one automaton (and one broadcast) holds; more make several automata, one pass each
-AUTOMATON_BYTES = 16 << 20
+# benchmark bytes that one automaton (and one broadcast) holds: about 400 bytes of trie for each, 0.4 GB in all; more
+# make several automata, one pass each
+AUTOMATON_BYTES = 1 << 20
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 # lower case first, so that A-Z are no separators

@@ -204,3 +204,14 @@ def test_fingerprints_stay_in_the_jvm(spark):
     docs = prepare(spark).createDataFrame([(1, "a")], "doc_id long, text string")
     plan = fingerprints.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_an_automaton_at_its_limit():
+    """Varied text of a quarter of the limit takes less than a quarter of 0.6 GB."""
+    rng = random.Random(12)
+    items, size = [], 0
+    while size < decontamination.AUTOMATON_BYTES // 4:
+        text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60))
+        items.append((str(len(items)), text))
+        size += len(text)
+    assert decontamination.automaton(items).get_stats()["total_size"] < 150e6
