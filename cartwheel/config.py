@@ -33,6 +33,8 @@ class SessionWindow:
 class FeatureConfig:
     session: SessionWindow
     rolling: Mapping[str, tuple[RollingWindow, ...]] = field(default_factory=dict)
+    contexts: Mapping[str, str] = field(default_factory=dict)
+    """Field names of the contexts of raw tracker events; without any they are found by their endings."""
 
     def windows(self, branch: str) -> tuple[RollingWindow, ...]:
         return self.rolling.get(branch, ())
@@ -66,7 +68,8 @@ class FeatureConfig:
             int(props["metric.session.emit_seconds"]),
             int(props["metric.session.ttl_seconds"]),
         )
-        return cls(session, rolling)
+        contexts = {key.removeprefix("context."): name for key, name in props.items() if key.startswith("context.")}
+        return cls(session, rolling, contexts)
 
     @classmethod
     def from_files(cls, *paths: str) -> FeatureConfig:

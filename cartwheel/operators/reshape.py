@@ -1,12 +1,16 @@
 """Raw tracker events to the JSON the feature job reads.
 
 A raw event is one JSON object: flat fields, arrays of context objects, and possibly an ecommerce action.
-Context fields are found by the start and end of their names, whoever publishes the schema. Missing
-fields stay missing and explicit nulls stay null, as the parser tells them apart.
+Context fields are read by the exact names that the job is configured with: two publishers can use the same ending,
+and a name is a path, where an ending asks for every field. Without names they are found by the start and
+end, the first of them if there are several. Missing fields stay missing and explicit nulls stay null, as the
+parser tells them apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,22 +63,12 @@ DEVICE_FIELDS = {
 }
 
 
-def reshape(raw: DataFrame, full: bool = True) -> DataFrame:
-    """``value`` in, ``value`` out. ``full=False`` leaves out the blocks the feature job never reads."""
-    named = F.map_filter(
-        F.from_json("value", "map<string,variant>"),
-        lambda k, _: k.startswith(MARKETING_START)
-        | k.startswith(CONTEXT_START)
-        | (k.startswith(ACTION_START) & k.endswith(ACTION_END)),
-    )
-    parsed = raw.select("value", parsed_once(v=F.try_parse_json("value"), m=named))
-    contexts = parsed.select(
-        "v",
-        "value",
-        F.map_filter("m", lambda k, _: k.startswith(MARKETING_START)).alias("marketing"),
-        *[_by_name(CONTEXT_START, end).alias(f"c_{name}") for name, end in CONTEXTS.items()],
-        _first_or_self(_by_name(ACTION_START, ACTION_END)).alias("action"),
-    )
+def reshape(raw: DataFrame, full: bool = True, names: Mapping[str, str] | None = None) -> DataFrame:
+    """``value`` in, ``value`` out. ``full=False`` leaves out the blocks the feature job never reads.
+
+    ``names``: field name per key of ``CONTEXTS``, and of the ``action``; a key without a name is never there.
+    """
+    contexts = _found(raw) if names is None else _named(raw, names)
     typed = contexts.select("*", event_type().alias("kind"), merged_products().alias("products"))
     v = F.col("v")
     client = {"useragent": get(v, "$.useragent")}
@@ -106,6 +100,43 @@ def _struct(**fields: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
 
 
+ACTION = "action"
+
+
+def _found(raw: DataFrame) -> DataFrame:
+    """Contexts and action by the start and end of their names: every field of a row is asked."""
+    named = F.map_filter(
+        F.from_json("value", "map<string,variant>"),
+        lambda k, _: k.startswith(MARKETING_START)
+        | k.startswith(CONTEXT_START)
+        | (k.startswith(ACTION_START) & k.endswith(ACTION_END)),
+    )
+    parsed = raw.select("value", parsed_once(v=F.try_parse_json("value"), m=named))
+    return parsed.select(
+        "v",
+        "value",
+        _marketing("m"),
+        *[_by_name(CONTEXT_START, end).alias(f"c_{name}") for name, end in CONTEXTS.items()],
+        _first_or_self(_by_name(ACTION_START, ACTION_END)).alias(ACTION),
+    )
+
+
+def _named(raw: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Contexts and action by their names; all fields are read of rows with marketing fields only."""
+    marketed = F.exists(F.json_object_keys("value"), lambda k: k.startswith(MARKETING_START))
+    fields = F.when(marketed, F.from_json("value", "map<string,variant>"))
+    parsed = raw.select("value", parsed_once(v=F.try_parse_json("value"), m=fields))
+
+    def field(key: str) -> Column:
+        return get(F.col("v"), f"$.{names[key]}") if key in names else F.lit(None).cast("variant")
+
+    return parsed.select("v", "value", _marketing("m"), *[field(name).alias(f"c_{name}") for name in CONTEXTS], _first_or_self(field(ACTION)).alias(ACTION))
+
+
+def _marketing(fields: str) -> Column:
+    return F.map_filter(fields, lambda k, _: k.startswith(MARKETING_START)).alias("marketing")
+
+
 def _by_name(start: str, end: str) -> Column:
     found = F.map_filter("m", lambda k, _: k.startswith(start) & k.endswith(end))
     return F.try_element_at(F.map_values(found), F.lit(1))

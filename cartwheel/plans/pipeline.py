@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,9 +43,9 @@ STREAM_FEATURES: dict[str, Callable] = {
 }
 
 
-def parse(raw: DataFrame, reshaped: bool = True) -> DataFrame:
+def parse(raw: DataFrame, reshaped: bool = True, contexts: Mapping[str, str] | None = None) -> DataFrame:
     """Parsed rows of JSON text; ``reshaped=False`` when ``raw`` still holds tracker events."""
-    return canonical.parse_events(raw if reshaped else reshape(raw, full=False))
+    return canonical.parse_events(raw if reshaped else reshape(raw, full=False, names=contexts or None))
 
 
 # what the branches and the bad rows need of a parsed event; the raw text of bad rows only
@@ -117,7 +117,7 @@ def run_batch(
     """``run`` names this run: repeated under the same name it supersedes itself, any other run adds."""
     spark = prepare(raw.sparkSession)
     run = run or uuid.uuid4().hex
-    table = materialise(without_repeats(canonical_table(parse(raw, reshaped))), "canonical")
+    table = materialise(without_repeats(canonical_table(parse(raw, reshaped, config.contexts))), "canonical")
     if bad_path:
         bad(table).write.mode("append").json(bad_path)
     kept = stores(spark, store_path, config)
@@ -162,7 +162,7 @@ def run_stream(
     """
     spark = prepare_streaming(raw.sparkSession)
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_INTERVAL}
-    parsed, path = without_repeats(canonical_table(parse(raw, reshaped))), f"{checkpoint}/events"
+    parsed, path = without_repeats(canonical_table(parse(raw, reshaped, config.contexts))), f"{checkpoint}/events"
     make_folder(spark, path)
 
     def start(df: DataFrame, name: str, sink: Callable[[DataStreamWriter], DataStreamWriter]) -> StreamingQuery:

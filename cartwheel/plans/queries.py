@@ -94,6 +94,14 @@ AGENTS = {
 }
 
 
+CONTEXT_NAMES = {
+    "product": "contexts_shop_ecommerce_product_1",
+    "cart": "contexts_shop_ecommerce_cart_1",
+    "checkout": "contexts_shop_ecommerce_checkout_step_1",
+    "action": "unstruct_event_shop_ecommerce_action_1",
+}
+
+
 def tracker_json(events: DataFrame) -> DataFrame:
     """The shop events as raw tracker JSON, so that reshaping and parsing run over whole tables."""
     c, kind = F.col, F.col("event_type")
@@ -117,16 +125,16 @@ def tracker_json(events: DataFrame) -> DataFrame:
         agent.otherwise(AGENTS["Tablet"]).alias("useragent"),
         c("enrichment.marketing.campaign").alias("mkt_campaign"),
         "page_url",
-        F.when(product.isNotNull(), F.array(product)).alias("contexts_shop_ecommerce_product_1"),
-        F.when(in_cart, F.array(F.struct(c("cart_total").alias("total_value")))).alias("contexts_shop_ecommerce_cart_1"),
-        F.when(kind == schema.CHECKOUT, F.array(F.struct("step"))).alias("contexts_shop_ecommerce_checkout_step_1"),
-        action.alias("unstruct_event_shop_ecommerce_action_1"),
+        F.when(product.isNotNull(), F.array(product)).alias(CONTEXT_NAMES["product"]),
+        F.when(in_cart, F.array(F.struct(c("cart_total").alias("total_value")))).alias(CONTEXT_NAMES["cart"]),
+        F.when(kind == schema.CHECKOUT, F.array(F.struct("step"))).alias(CONTEXT_NAMES["checkout"]),
+        action.alias(CONTEXT_NAMES["action"]),
     )
     return events.select(F.to_json(row).alias("value"))
 
 
 def json_path(spark, sf):
-    events = canonical.canonical_events(reshape(tracker_json(shop(spark, sf)), full=False))
+    events = canonical.canonical_events(reshape(tracker_json(shop(spark, sf)), full=False, names=CONTEXT_NAMES))
     kind = F.col("event_type")
     return events.select(
         "event_id",

@@ -220,3 +220,36 @@ def test_json_is_parsed_once(spark):
     events = canonical_events(lines(spark, event())).where("event_type = 'page_view'").select("event_id")
     plan = events._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+NAMES = {
+    "product": PRODUCTS,
+    "cart": CART,
+    "checkout": "contexts_shop_ecommerce_checkout_step_1",
+    "promotion": "contexts_shop_ecommerce_promotion_1",
+    "specification": "contexts_any_event_specification_1",
+    "browser": "contexts_x_browser_context_2",
+    "timing": "contexts_org_performance_navigation_timing_1",
+    "session": "contexts_x_client_session_1",
+    "action": ACTION,
+}
+
+
+def test_exact_names_equal_endings(spark):
+    """With one publisher both give the same; of two publishers only the one that is named counts."""
+    from cartwheel.operators.reshape import reshape
+
+    rows = [
+        {**BASE, ACTION: {"type": "add_to_cart", "products": [{"id": "q"}]}, PRODUCTS: [{"id": "p", "price": 1}], CART: [{"total_value": 2}]},
+        {**BASE, ACTION: [{"type": "list_view", "name": None}], "mkt_clickid": "c", "mkt_source": None, "contexts_x_client_session_1": [{"sessionId": "S"}]},
+        {"event": "page_view", "mkt_campaign": "a", "contexts_any_event_specification_1": [{"id": 1}], "contexts_x_browser_context_2": [{"viewport": "1x1"}]},
+        {**BASE, ACTION: {"type": "promo_view"}, NAMES["promotion"]: [{"id": "x"}], NAMES["timing"]: [{"t": 1}], NAMES["checkout"]: []},
+        {},
+    ]
+    raw = spark.createDataFrame([(json.dumps(r),) for r in rows] + [("broken {",), (None,)], "value string")
+    for full in (True, False):
+        assert sorted(map(str, reshape(raw, full, NAMES).collect())) == sorted(map(str, reshape(raw, full).collect()))
+    two = {**BASE, ACTION: {"type": "product_view"}, "contexts_aaa_ecommerce_product_1": [{"id": "other"}], PRODUCTS: [{"id": "mine"}]}
+    frame = spark.createDataFrame([(json.dumps(two),)], "value string")
+    assert json.loads(reshape(frame, False, NAMES).first().value)["payload"]["product"] == {"id": "mine"}
+    assert json.loads(reshape(frame, False, {"action": ACTION}).first().value)["payload"]["product"] == {}
