@@ -2,7 +2,8 @@
 
 Templates form a tree per host, built level by level (a segment of the path each). A segment stays literal
 if enough of its parent's URLs have it; any other is a wildcard of its shape: number, hexadecimal, word,
-other. What follows the deepest level is one wildcard. Sibling branches whose share of blocked labels does
+other. Levels go on until no branch has enough URLs for a literal; what follows are wildcards, one for each
+segment. Sibling branches whose share of blocked labels does
 not differ significantly are merged; a template without labels is a branch of its own. A template's purity is
 the share of blocked labels of its branch, smoothed towards the same template on all hosts, that towards all
 labels. From ``REJECT`` on it is rejected.
@@ -27,8 +28,8 @@ from cartwheel.llm.common import materialise
 
 # host and path of a rule, and what it says
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-# levels of the tree
-LEVELS = 4
+# levels with literals; deeper ones are wildcards, segment by segment
+LEVELS = 32
 # a literal segment has this share of its parent's URLs, and so many at least
 LITERAL_SHARE, LITERAL_ROWS = 0.02, 8
 # labels that the next wider level counts for, share of blocked labels before any is seen
@@ -77,21 +78,25 @@ def with_templates(urls: DataFrame) -> DataFrame:
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = urls.withColumn("_segments", segments).withColumn("template", F.lit(""))
-    for level in range(LEVELS):
+    level = 0
+    while level < LEVELS:
         segment = F.get("_segments", F.lit(level))
+        parents = rows.where(segment.isNotNull()).groupBy("host", "template").agg(F.count("*").alias("_all"))
+        parents = parents.where(F.col("_all") >= LITERAL_ROWS)
+        if parents.isEmpty():
+            break
         rows = rows.withColumn("_segment", segment)
         counts = rows.where("_segment IS NOT NULL").groupBy("host", "template", "_segment").agg(F.count("*").alias("_n"))
         counts = counts.where(~F.col("_segment").rlike("^[0-9]+$"))
-        parents = rows.where("_segment IS NOT NULL").groupBy("host", "template").agg(F.count("*").alias("_all"))
         literal = counts.join(parents, ["host", "template"]).where((F.col("_n") >= LITERAL_ROWS) & (F.col("_n") >= LITERAL_SHARE * F.col("_all")))
         literal = literal.select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("_segment").alias("_s"))
         rows = rows.join(literal, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_segment") == F.col("_s")), "left")
         name = F.when(F.col("_s").isNotNull(), F.col("_segment")).otherwise(shape(F.col("_segment")))
         rows = rows.withColumn("template", F.when(F.col("_segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name)))
-        rows = rows.drop("_h", "_t", "_s", "_segment")
-        rows = materialise(rows, "templates")
-    more = F.size("_segments") > LEVELS
-    return rows.withColumn("template", F.when(more, F.concat("template", F.lit("/{rest}"))).otherwise(F.col("template"))).drop("_segments")
+        rows = materialise(rows.drop("_h", "_t", "_s", "_segment"), "templates")
+        level += 1
+    rest = F.transform(F.slice("_segments", F.lit(level + 1), F.greatest(F.size("_segments") - level, F.lit(0))), lambda s: F.concat(F.lit("/"), shape(s)))
+    return rows.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("_segments")
 
 
 def branched(known: DataFrame) -> DataFrame:

@@ -407,3 +407,43 @@ def test_pipeline(spark):
     assert kept.columns == columns and sorted(r.doc_id for r in kept.collect()) == want
     rows = corpus_pipeline.run(spark, str(SF)).collect()
     assert sorted(r.doc_id for r in rows) == want and all(r.n_tokens > 0 for r in rows)
+
+
+# --- URL templates against a second tree -------------------------------------------------------------------
+
+
+def brute_shape(segment):
+    ending = re.search(r"(\.[A-Za-z]{1,5})$", segment)
+    stem = segment[: ending.start()] if ending else segment
+    kinds = (("{}", stem == ""), ("{number}", re.fullmatch(r"[0-9]+", stem)), ("{hex}", re.fullmatch(r"[0-9a-fA-F-]{8,}", stem)), ("{word}", re.fullmatch(r"[^\W\d]+|[^\W\d_-]*[_-][\w-]*", stem) and not re.search(r"\d", stem)))
+    return next((k for k, found in kinds if found), "{other}") + (ending.group() if ending else "")
+
+
+def brute_templates(urls):
+    """Level by level over lists: a template for each (host, path)."""
+    rows = [(h, (p[1:] if p.startswith("/") else p).split("/")) for h, p in urls]
+    templates = [""] * len(rows)
+    for level in range(max(len(s) for _, s in rows)):
+        below = [i for i, (_, s) in enumerate(rows) if len(s) > level]
+        all_ = Counter((rows[i][0], templates[i]) for i in below)
+        own = Counter((rows[i][0], templates[i], rows[i][1][level]) for i in below)
+        named = {}
+        for i in below:
+            host, segment = rows[i][0], rows[i][1][level]
+            n = own[host, templates[i], segment]
+            literal = n >= 8 and n >= 0.02 * all_[host, templates[i]] and not re.fullmatch("[0-9]+", segment)
+            named[i] = templates[i] + "/" + (segment if literal else brute_shape(segment))
+        for i, t in named.items():
+            templates[i] = t
+    return templates
+
+
+def test_templates_of_any_depth(spark):
+    rng = random.Random(13)
+    hosts, words = ["a.com", "b.net", ""], ["de", "fr", "en", "x1", "12", "ab12cd34ef", "page.html", "", "lang-x"]
+    urls = [(rng.choice(hosts), "/" + "/".join(rng.choices(words, [9, 9, 5, 1, 3, 1, 2, 1, 1], k=rng.choice([0, 1, 3, 6, 9])))) for _ in range(1500)]
+    urls += [("c.org", f"/a/b/c/d/{lang}/{i}") for lang in ("de", "fr") for i in range(20)] + [("d.org", ""), ("d.org", "/" + "z/" * 60)]
+    rows = prepare(spark).createDataFrame(urls, "host string, path string")
+    got = Counter((r.host, r.path, r.template) for r in url_filters.with_templates(rows).collect())
+    assert got == Counter((h, p, t) for (h, p), t in zip(urls, brute_templates(urls)))
+    assert {t for (h, _, t) in got if h == "c.org"} == {"/a/b/c/d/de/{number}", "/a/b/c/d/fr/{number}"}
