@@ -107,5 +107,7 @@ def session_events(events: DataFrame) -> DataFrame:
         F.col("enrichment.platform").alias("platform"),
         F.col("enrichment.marketing").isNotNull().alias("has_marketing"),
         F.col("enrichment.marketing.campaign").alias("campaign"),
+        # only where the job locates addresses
+        *([] if "region" not in events.columns else ["region"]),
         "ts",
     )

@@ -11,8 +11,8 @@ from cartwheel import schema
 from cartwheel.functions.useragent import user_agent
 from cartwheel.functions.variants import get, is_number, is_text, number, parsed_once, present, text, text_or_empty
 
-AMOUNT_LIMIT = 1e15
-"""Amounts are summed as decimals with room for twelve places; larger ones make a bad row."""
+AMOUNT_LIMIT = 1e19
+"""Amounts are summed as decimals with room for twelve places, ten million of this size in a total; larger ones make a bad row."""
 
 ERROR = "parse_error"
 MARKETING_FIELDS = ("campaign", "source", "medium", "term", "content")

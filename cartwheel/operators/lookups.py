@@ -74,6 +74,21 @@ def ip_lookup(events: DataFrame, ip: str, table: DataFrame, fields: Sequence[str
     return events.join(best.select(ip, *[F.col(f"_m._best.{f}").alias(f) for f in fields]), ip, "left")
 
 
+def with_region(events: DataFrame, ip: Column, table: DataFrame, field: str, name: str = "region") -> DataFrame:
+    """``name``: ``field`` of the narrowest range (``table``: cidr and ``field``) that holds the event's address.
+
+    Ranges are cut at the leading 16 bits of the addresses, so an event asks one equality key and picks among
+    the ranges of its block. That is one join without a shuffle of results, and so runs on streams as well.
+    """
+    ranges = ip_ranges(table).where(F.col("ip_from").isNotNull())
+    blocks = F.sequence(F.shiftright("ip_from", 16), F.shiftright("ip_to", 16))
+    held = ranges.select(F.explode(blocks).alias("_block"), F.struct("ip_length", "ip_from", "ip_to", field).alias("_range"))
+    held = held.groupBy("_block").agg(F.collect_set("_range").alias("_ranges"))
+    asked = events.withColumn("_n", ip_number(ip)).withColumn("_block", F.shiftright("_n", 16))
+    inside = F.filter("_ranges", lambda r: (r["ip_from"] <= F.col("_n")) & (F.col("_n") <= r["ip_to"]))
+    return asked.join(held, "_block", "left").select(*[events[c] for c in events.columns], F.array_max(inside)[field].alias(name))
+
+
 def mark_robots(
     events: DataFrame,
     ip: str,
@@ -133,12 +148,13 @@ def convert_currency(
     return with_rate.withColumn("amount_base", F.col(amount) * rate).drop("rate")
 
 
-def shopper_regions(events: DataFrame, key: str, ts: str, region: str, block_seconds: int) -> DataFrame:
+def shopper_regions(events: DataFrame, key: str | Sequence[str], ts: str, region: str, block_seconds: int) -> DataFrame:
     """Per key: the regions seen, and how often the region changed from one event to the next."""
-    rows = events.where(F.col(region).isNotNull()).select(key, "event_id", F.col(region).alias("_region"), position(ts).alias("pos"))
-    rows = with_previous(rows, [key], ["pos", "event_id", "_region"], micros(block_seconds))
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = events.where(F.col(region).isNotNull()).select(*keys, "event_id", F.col(region).alias("_region"), position(ts).alias("pos"))
+    rows = with_previous(rows, keys, ["pos", "event_id", "_region"], micros(block_seconds))
     changed = F.col("prev._region") != F.col("_region")
-    return rows.groupBy(key).agg(
+    return rows.groupBy(*keys).agg(
         F.array_sort(F.collect_set("_region")).alias("shopper_locations"),
         F.count_if(changed).alias("shopper_region_changes"),
     )

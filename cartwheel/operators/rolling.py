@@ -26,7 +26,7 @@ from cartwheel.functions.timeline import (
     position,
 )
 
-MONEY = "decimal(28,12)"
+MONEY = "decimal(38,12)"
 """Amounts are added as decimals: totals do not depend on row order, and what leaves a window cancels
 exactly what entered it."""
 

@@ -48,9 +48,14 @@ def _session_metrics() -> dict[str, Column]:
         "session_search_count": c("searches"),
         "shopper_device_types": list_text(c("device_types")),
         "shopper_latest_platform": c("latest_platform"),
+        **_location_metrics(),
     }
 
 
+def _location_metrics() -> dict[str, Column]:
+    return {"shopper_locations": list_text(F.col("shopper_locations")), "shopper_region_changes": F.col("shopper_region_changes")}
+
+
 def _long(df: DataFrame, name, metrics: Mapping[str, Column], ttl: Column, emit_ts: Column) -> DataFrame:
     rows = F.explode(
         F.array(*[F.struct(name(m).alias("name"), v.cast("string").alias("value")) for m, v in metrics.items()])
@@ -72,11 +77,16 @@ def user_metrics(features: DataFrame, branch: str, ttl_seconds: Mapping[str, int
 
 
 def session_metrics(sessions: DataFrame, ttl_seconds: int, emit_ts: str = "close_ts") -> DataFrame:
-    """``session:{session}:{metric}``"""
+    """``session:{session}:{metric}``; of sessions with or without regions, or of ``session_regions`` alone."""
+    metrics, places = _session_metrics(), _location_metrics()
+    if "shopper_locations" not in sessions.columns:
+        metrics = {m: v for m, v in metrics.items() if m not in places}
+    elif "page_views" not in sessions.columns:
+        metrics = places
     return _long(
         sessions,
         lambda m: F.concat(F.lit("session:"), "session_id", F.lit(f":{m}")),
-        _session_metrics(),
+        metrics,
         F.lit(ttl_seconds),
         F.col(emit_ts),
     )

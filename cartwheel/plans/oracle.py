@@ -279,6 +279,16 @@ placed AS (
   FROM addressed a LEFT JOIN nation n ON n.n_nationkey = a.second LEFT JOIN region r ON r.r_regionkey = a.second // 8)"""
 
 
+PLACED = ADDRESSED.strip().removeprefix("WITH ")
+
+# Events of sessions with their region and the one before in the same session.
+LOCATED = """
+moved AS (
+  SELECT s.session_id, s.session_no, s.ts, p.place,
+    lag(p.place) OVER (PARTITION BY s.session_id, s.session_no ORDER BY s.ts, s.event_id) AS before
+  FROM sev s JOIN placed p USING (event_id) WHERE p.place IS NOT NULL)"""
+
+
 def _parameter(name: str) -> str:
     found = f"regexp_extract(query, '(^|&){name}=([^&]*)', 2)"
     return f"CASE WHEN regexp_matches(query, '(^|&){name}=') THEN url_decode({found}) END"
@@ -378,6 +388,12 @@ moves AS (SELECT user_id, place, lag(place) OVER (PARTITION BY user_id ORDER BY
 SELECT user_id, string_agg(DISTINCT place, ',' ORDER BY place) AS shopper_locations,
   count(*) FILTER (WHERE before <> place) AS shopper_region_changes
 FROM moves GROUP BY user_id""",
+    "session_locations": f"""{SHOP}, {PLACED}, {SESSIONS}, {LOCATED},
+told AS (
+  SELECT session_id, close_ts, string_agg(DISTINCT place, ', ' ORDER BY place) AS seen, count(*) FILTER (WHERE place <> before) AS changes
+  FROM moved JOIN sess USING (session_id, session_no) GROUP BY session_id, session_no, close_ts)
+SELECT 'session:' || session_id || ':shopper_locations' AS name, '[' || seen || ']' AS value, CAST(3600 AS BIGINT) AS ttl_seconds, close_ts AS emit_ts FROM told
+UNION ALL SELECT 'session:' || session_id || ':shopper_region_changes', CAST(changes AS VARCHAR), 3600, close_ts FROM told""",
     "robot_filter": f"""{ADDRESSED} SELECT event_id, user_id FROM addressed
 WHERE second NOT IN (SELECT n_nationkey FROM nation) AND event_type IN ('click', 'view')""",
     "currency_conversion": """
@@ -443,6 +459,11 @@ SELECT sid AS session_id, session_start, as_of, closed, user_id, page_views, sea
   latest_platform, epoch_us(as_of) // 1000 - epoch_us(session_start) // 1000 AS duration_ms, page_views < 2 AS bounce,
   CASE WHEN product_views = 0 THEN 0 ELSE cart_adds // product_views END AS cart_ratio
 FROM counted JOIN listed USING (sid, no, as_of, closed)""",
+    "stream_session_locations": f"""{SHOP}, {PLACED}, {SESSIONS}, {LOCATED}, {OPEN_AT}
+SELECT o.session_id, o.as_of, o.closed, string_agg(DISTINCT m.place, ',' ORDER BY m.place) AS shopper_locations,
+  count(*) FILTER (WHERE m.place <> m.before) AS shopper_region_changes
+FROM open_at o JOIN moved m ON m.session_id = o.session_id AND m.session_no = o.session_no AND (o.closed OR m.ts < o.as_of)
+GROUP BY o.session_id, o.session_no, o.as_of, o.closed""",
     "stream_deduplicated": f"""{SHOP} SELECT event_id, event_type, user_id, ts, page_url FROM shop
 UNION ALL SELECT event_id, event_type, user_id, ts, '/other' FROM shop WHERE CAST(event_id AS BIGINT) % 5 = 0""",
     "stream_late_rows": f"""{SHOP},

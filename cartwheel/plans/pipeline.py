@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartwheel import schema
 from cartwheel.config import CHECKPOINT_INTERVAL, WATERMARK_DELAY, FeatureConfig, RollingWindow
-from cartwheel.operators import branches, canonical
+from cartwheel.operators import branches, canonical, lookups
 from cartwheel.operators.repeats import without_repeats
 from cartwheel.operators.reshape import reshape
 from cartwheel.plans import grid_features, session_features
@@ -74,23 +74,30 @@ def _metrics(features: DataFrame, branch: str, windows: tuple[RollingWindow, ...
     return user_metrics(features, branch, {w.label: w.ttl_seconds for w in windows})
 
 
-def batch_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
-    """Metric rows per job, sessions included."""
+def located(events: DataFrame, places: DataFrame | None) -> DataFrame:
+    """Events with the ``region`` of their address; ``places``: cidr, region. Without them as they are."""
+    return events if places is None else lookups.with_region(events, F.col("enrichment.user.ip_address"), places, "region")
+
+
+def batch_metrics(events: DataFrame, config: FeatureConfig, places: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Metric rows per job, sessions included, with locations where ``places`` are given."""
     out = {}
     for name, (branch, windows) in jobs(config).items():
         project, features = BATCH_FEATURES[branch]
         out[name] = _metrics(features(project(events), windows), branch, windows)
-    sessions = session_features.shop_sessions(branches.session_events(events), config.session.gap_seconds)
-    out["session"] = session_metrics(sessions, config.session.ttl_seconds)
+    rows, gap, ttl = branches.session_events(located(events, places)), config.session.gap_seconds, config.session.ttl_seconds
+    out["session"] = session_metrics(session_features.shop_sessions(rows, gap), ttl)
+    if places is not None:
+        out["session"] = out["session"].unionByName(session_metrics(session_features.session_regions(rows, gap), ttl))
     return out
 
 
-def stream_metrics(events: DataFrame, config: FeatureConfig) -> dict[str, DataFrame]:
+def stream_metrics(events: DataFrame, config: FeatureConfig, places: DataFrame | None = None) -> dict[str, DataFrame]:
     """Sessions are among the metrics while they are open, and once more when they close."""
     out = {}
     for name, (branch, windows) in jobs(config).items():
         out[name] = _metrics(STREAM_FEATURES[branch](events, windows), branch, windows)
-    sessions = open_sessions.session_features(events, config.session.gap_seconds, config.session.emit_seconds)
+    sessions = open_sessions.session_features(located(events, places), config.session.gap_seconds, config.session.emit_seconds)
     out["session"] = session_metrics(sessions, config.session.ttl_seconds, "as_of")
     return out
 
@@ -113,6 +120,7 @@ def run_batch(
     bad_path: str | None = None,
     run: str | None = None,
     reshaped: bool = True,
+    places: DataFrame | None = None,
 ) -> dict[str, FeatureStore]:
     """``run`` names this run: repeated under the same name it supersedes itself, any other run adds."""
     spark = prepare(raw.sparkSession)
@@ -121,7 +129,7 @@ def run_batch(
     if bad_path:
         bad(table).write.mode("append").json(bad_path)
     kept = stores(spark, store_path, config)
-    for name, metrics in batch_metrics(good(table), config).items():
+    for name, metrics in batch_metrics(good(table), config, places).items():
         kept[name].upsert(metrics, 0, run)
     return kept
 
@@ -153,12 +161,13 @@ def run_stream(
     once: bool = False,
     late_path: str | None = None,
     also: Callable[[DataFrame, int], None] | None = None,
+    places: DataFrame | None = None,
 ) -> list[StreamingQuery]:
     """Start the queries; ``once`` works off what is there and stops.
 
     The first query parses into the stream table ``{checkpoint}/events``, the others read that. ``late_path`` gets the
     rows behind the watermark, with whether all windows have missed them. ``also`` gets each batch of metrics besides
-    the feature table, such as ``sinks.external_store_writer``.
+    the feature table, such as ``sinks.external_store_writer``. ``places`` (cidr, region) adds the metrics of locations.
     """
     spark = prepare_streaming(raw.sparkSession)
     trigger = {"availableNow": True} if once else {"processingTime": CHECKPOINT_INTERVAL}
@@ -178,7 +187,7 @@ def run_stream(
     table = spark.readStream.schema(parsed.schema).parquet(path)
     events = with_event_time(good(table), delay=delay)
     kept = stores(spark, store_path, config)
-    for name, metrics in stream_metrics(events, config).items():
+    for name, metrics in stream_metrics(events, config, places).items():
         upsert = _upserting(kept[name], f"{checkpoint}/{name}-metrics", also)
         queries.append(start(metrics, f"{name}-metrics", lambda writer, upsert=upsert: writer.foreachBatch(upsert)))
     if bad_path:

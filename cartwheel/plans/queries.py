@@ -18,6 +18,7 @@ from cartwheel.plans import event_features as by_event
 from cartwheel.plans import grid_features as by_grid
 from cartwheel.plans import session_features as by_session
 from cartwheel.plans.metrics import session_metrics, user_metrics
+from cartwheel.plans.pipeline import located
 from cartwheel.sources.table_events import shop_events_from_table
 from cartwheel.sources.workspace import materialise, new_folder
 
@@ -480,6 +481,24 @@ def shopper_regions(spark, sf):
     return out.select("user_id", F.array_join("shopper_locations", ",").alias("shopper_locations"), "shopper_region_changes")
 
 
+def shop_with_address(shop_events: DataFrame) -> DataFrame:
+    """Shop events with the addresses of ``with_address``."""
+    number = lambda name: F.col(name).cast("long")
+    second = F.get_json_object("payload", "$.k").cast("int") % 30
+    ip = F.concat_ws(".", F.lit("10"), second.cast("string"), (number("user_id") % 256).cast("string"), (number("event_id") % 256).cast("string"))
+    return shop_events.withColumn("enrichment", F.col("enrichment").withField("user.ip_address", ip))
+
+
+def places(spark, sf):
+    return address_ranges(spark, sf).withColumnRenamed("place", "region")
+
+
+def session_locations(spark, sf):
+    """Metric rows of the sessions' regions and of their changes, as the job writes them."""
+    events = located(shop_with_address(shop(spark, sf)), places(spark, sf))
+    return session_metrics(by_session.session_regions(branches.session_events(events), GAP), SESSION_TTL)
+
+
 def _patterns(spark, *patterns):
     return spark.createDataFrame([(p,) for p in patterns], "pattern string")
 
@@ -594,6 +613,7 @@ BATCH: dict[str, Query] = {
         referer_parser,
         ip_lookup,
         shopper_regions,
+        session_locations,
         robot_filter,
         device_class_os,
         events_deduplicated,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel import schema
 from cartwheel.functions.timeline import micros, position
+from cartwheel.operators.lookups import shopper_regions
 from cartwheel.operators.rolling import rolling_stats
 from cartwheel.operators.sessions import OPS, session_blocks, session_bounds, with_session_start
 
@@ -64,6 +65,14 @@ def shop_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     return derive(out, F.col("close_ts"))
 
 
+def session_regions(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """Regions of each session that has any, and how often the region changed; ``events`` as above, with ``region``."""
+    located = with_session_start(events, KEY, "ts", gap_seconds, {"_last": ("max", position("ts"))})
+    close = F.timestamp_micros(F.col("_last") + micros(gap_seconds)).alias("close_ts")
+    keys = [KEY, "session_start", "close_ts"]
+    return shopper_regions(located.select(KEY, "session_start", close, "event_id", "region", "ts"), keys, "ts", "region", gap_seconds)
+
+
 def derive(sessions: DataFrame, as_of: Column) -> DataFrame:
     """Durations in milliseconds, bounce flag, and cart ratio (whole-number division, and exact)."""
     start = F.unix_millis("session_start")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from cartwheel.config import WATERMARK_DELAY
 from cartwheel.operators import branches
 from cartwheel.operators.repeats import without_repeats
-from cartwheel.plans.queries import EMIT, GAP, GRID_KEYS, WINDOWS, table
+from cartwheel.plans.pipeline import located
+from cartwheel.plans.queries import EMIT, GAP, GRID_KEYS, WINDOWS, places, shop_with_address, table
 from cartwheel.plans.session import prepare_streaming
 from cartwheel.sources.events import with_event_time
 from cartwheel.sources.table_events import shop_events_from_table
@@ -77,6 +78,14 @@ def stream_sessions_metrics(spark, sf):
     )
 
 
+def stream_session_locations(spark, sf):
+    """Regions and their changes, of sessions while they are open and at their close."""
+    events = located(shop_with_address(events_stream(spark, sf)), places(spark, sf))
+    out = finish(open_sessions.session_features(events, GAP, EMIT), "stream_session_locations")
+    seen = out.where("shopper_locations IS NOT NULL")
+    return seen.select("session_id", "as_of", "closed", F.array_join("shopper_locations", ",").alias("shopper_locations"), "shopper_region_changes")
+
+
 def stream_late_rows(spark, sf):
     """A third of the events at a time, by their numbers: what then comes behind the watermark, and what no window takes."""
     events = shop_events_from_table(table(spark, sf, "events"))
@@ -131,6 +140,7 @@ STREAM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_purchase,
         stream_sessions,
         stream_sessions_metrics,
+        stream_session_locations,
         stream_late_rows,
         stream_deduplicated,
         stream_cart_exact,

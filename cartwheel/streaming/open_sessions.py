@@ -7,6 +7,10 @@ accumulator holds grows only with the number of distinct devices.
 
 A late row joins the open session if it is within the gap of it, before or after. Other late rows are sessions of
 their own, closed at once, as the state of closed sessions is gone.
+
+Regions, where events have them: a pane keeps its sightings until it is passed, as their order tells the changes. The
+session keeps the regions seen, the newest and the number of changes. A late row behind the newest sighting adds its
+region and no change.
 """
 
 from __future__ import annotations
@@ -24,17 +28,19 @@ from cartwheel.operators import branches
 from cartwheel.plans.session_features import COUNTS, derive
 from cartwheel.streaming.stateful import MOMENT, after, from_micros, from_ms
 
-COLUMNS = ("event_id", "event_type", "user_id", "searched", "device", "platform", "has_marketing", "campaign")
-FEATURES = "page_views bigint, searches bigint, product_views bigint, cart_adds bigint, user_id string, campaign string, device_types array<string>, latest_platform string"
+COLUMNS = ("event_id", "event_type", "user_id", "searched", "device", "platform", "has_marketing", "campaign", "region")
+FEATURES = "page_views bigint, searches bigint, product_views bigint, cart_adds bigint, user_id string, campaign string, device_types array<string>, latest_platform string, shopper_locations array<string>, shopper_region_changes bigint"
 OUTPUT = f"session_id string, session_start timestamp, last_ts timestamp, as_of timestamp, closed boolean, {FEATURES}"
 
 
 def lift(row: Row) -> list:
-    """First and last moment, counts, newest user and platform, first campaign, first sighting of each device."""
+    """First and last moment, counts, newest user and platform, first campaign, first sighting of each device, sightings
+    of regions, and what earlier ones came to."""
     place, kind = [row[MOMENT], row.event_id], row.event_type
     counts = [int(kind == schema.PAGE_VIEW), int(row.searched), int(kind == schema.PRODUCT_VIEW), int(kind == schema.ADD)]
     marketed = [*place, row.campaign] if row.has_marketing else None
-    return [row[MOMENT], row[MOMENT], counts, [*place, row.user_id, row.platform], marketed, [[*place, row.device]]]
+    located = [] if row.region is None else [[*place, row.region]]
+    return [row[MOMENT], row[MOMENT], counts, [*place, row.user_id, row.platform], marketed, [[*place, row.device]], located, None]
 
 
 def merge(a: list | None, b: list | None) -> list | None:
@@ -51,9 +57,23 @@ def merge(a: list | None, b: list | None) -> list | None:
         max(a[3], b[3], key=lambda n: n[:2]),
         min((m for m in (a[4], b[4]) if m is not None), key=lambda m: m[:2], default=None),
         list(devices.values()),
+        a[6] + b[6],
+        b[7] if a[7] is None else a[7],
     ]
 
 
+def settled(session: list) -> list:
+    """Sightings of regions counted in the order of time, after those counted before."""
+    if not session[6]:
+        return session
+    regions, newest, changes = session[7] or [[], None, 0]
+    for sighting in sorted(session[6]):
+        if newest is None or sighting[:2] > newest[:2]:
+            changes += newest is not None and sighting[2] != newest[2]
+            newest = sighting
+    return [*session[:6], [], [sorted({*regions, *(s[2] for s in session[6])}), newest, changes]]
+
+
 class OpenSessions(StatefulProcessor):
     def __init__(self, gap_seconds: int, emit_seconds: int, output: Sequence[str]) -> None:
         self.gap, self.emit, self.names = gap_seconds * 1000, emit_seconds * 1000, list(output)
@@ -100,7 +120,7 @@ class OpenSessions(StatefulProcessor):
                 pane = time // self.pane * self.pane
                 touched[pane] = merge(touched.get(pane), lift(row))
             elif found is not None and found[0] // 1000 - self.gap <= time <= found[1] // 1000 + self.gap:
-                head["open"] = merge(found, lift(row))
+                head["open"] = settled(merge(found, lift(row)))
             else:
                 strays.append(lift(row))
         for pane, content in touched.items():
@@ -117,7 +137,7 @@ class OpenSessions(StatefulProcessor):
                 sessions[-1] = merge(sessions[-1], row)
             else:
                 sessions.append(row)
-        return [self._row(key, s, s[1] // 1000 + self.gap, True) for s in sessions]
+        return [self._row(key, settled(s), s[1] // 1000 + self.gap, True) for s in sessions]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
@@ -133,7 +153,7 @@ class OpenSessions(StatefulProcessor):
             if head["open"] is not None:
                 reached = content[0] // 1000 - head["open"][1] // 1000 <= self.gap
                 self._emit(key, head, pane if reached else watermark, not reached, out)
-            head["open"] = merge(head["open"], content)
+            head["open"] = settled(merge(head["open"], content))
         if head["open"] is not None:
             # a pane that is not passed yet may still carry the session on, as may a row to come
             self._emit(key, head, watermark, head["open"][1] // 1000 + self.gap <= watermark and not self._carried_on(head), out)
@@ -160,16 +180,20 @@ class OpenSessions(StatefulProcessor):
             head.update(open=None, done=None)
 
     def _row(self, key, found: list, at: int, closed: bool) -> Row:
-        first, last, counts, newest, marketed, devices = found
+        first, last, counts, newest, marketed, devices, _, places = found
         campaign = None if marketed is None else marketed[2]
-        return Row(*self.names)(*key, from_micros(first), from_micros(last), from_ms(at), closed, *counts, newest[2], campaign, [d[2] for d in devices], newest[3])
+        locations, changes = (None, None) if places is None else (places[0], places[2])
+        return Row(*self.names)(*key, from_micros(first), from_micros(last), from_ms(at), closed, *counts, newest[2], campaign, [d[2] for d in devices], newest[3], locations, changes)
 
 
 def session_features(events: DataFrame, gap_seconds: int, emit_seconds: int) -> DataFrame:
     """Sessions at each multiple of ``emit_seconds`` while they are open, and ``closed`` at their end, with durations."""
     names = [f.strip().split()[0] for f in OUTPUT.split(",")]
-    rows = branches.session_events(events).select("session_id", *COLUMNS, F.unix_micros("ts").alias(MOMENT))
+    rows = branches.session_events(events)
+    if "region" not in rows.columns:
+        rows = rows.withColumn("region", F.lit(None).cast("string"))
+    rows = rows.select("session_id", *COLUMNS, F.unix_micros("ts").alias(MOMENT))
     out = rows.groupBy("session_id").transformWithState(
         statefulProcessor=OpenSessions(gap_seconds, emit_seconds, names), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime", eventTimeColumnName="as_of"
     )
-    return derive(out, F.col("as_of")).select("session_id", "session_start", "last_ts", "as_of", "closed", "user_id", *COUNTS, "campaign", "device_types", "latest_platform", "duration_ms", "active_ms", "bounce", "cart_ratio", "cart_ratio_exact")
+    return derive(out, F.col("as_of")).select("session_id", "session_start", "last_ts", "as_of", "closed", "user_id", *COUNTS, "campaign", "device_types", "latest_platform", "shopper_locations", "shopper_region_changes", "duration_ms", "active_ms", "bounce", "cart_ratio", "cart_ratio_exact")

@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from cartwheel.operators.canonical import bad_rows, canonical_events, good_rows, limit_lengths, parse_events
 from cartwheel.operators.reshape import reshape
 
@@ -197,9 +199,10 @@ def test_good_and_bad_rows(spark):
         event("add_to_cart", {"cart": {}, "product": {"price": 2}}),
         event("remove_from_cart", {"cart": {"total_value": 1}}),
         event("add_to_cart", {"cart": {"total_value": 1e300}, "product": {"price": 2}}),
+        event("add_to_cart", {"cart": {"total_value": 2e15}, "product": {"price": 9e18}}),
     )
     out = parse_events(rows)
-    assert good_rows(out).count() == 2
+    assert good_rows(out).count() == 3
     assert sorted(r.parse_error for r in bad_rows(out).collect()) == [
         "amount out of range",
         "cart event without amounts",
@@ -253,3 +256,31 @@ def test_exact_names_equal_endings(spark):
     frame = spark.createDataFrame([(json.dumps(two),)], "value string")
     assert json.loads(reshape(frame, False, NAMES).first().value)["payload"]["product"] == {"id": "mine"}
     assert json.loads(reshape(frame, False, {"action": ACTION}).first().value)["payload"]["product"] == {}
+
+
+def test_many_very_large_orders_are_added(spark):
+    from cartwheel.plans.event_features import purchase_stats
+
+    rows = []
+    for i in range(40):
+        rows += [(f"a{i:02d}", "u", "add_to_cart", 9e18, 9e18, False, 2 * i), (f"b{i:02d}", "u", "checkout_step", 0.0, 0.0, True, 2 * i + 1)]
+    events = spark.createDataFrame(rows, "event_id string, user_id string, event_type string, cart_total double, cart_price double, completed boolean, s int")
+    out = purchase_stats(events.withColumn("ts", F.timestamp_seconds("s")).drop("s"), {"1h": 3600})
+    last = max((r.orders_count, r.order_value) for r in out.collect())
+    assert last[0] == 40 and last[1] == 40 * 1.8e19
+
+
+def test_locations_are_metrics_of_the_job(spark, tmp_path):
+    """The narrowest range gives the region; addresses outside all ranges, and none, count as no sighting."""
+    from cartwheel.config import FeatureConfig, SessionWindow
+    from cartwheel.plans import pipeline
+
+    addresses = ["10.1.0.5", "10.1.0.6", None, "10.2.3.4", "99.0.0.1", "10.1.0.5"]
+    sent = [
+        event(id=str(i), timestamp=f"2024-01-01T00:0{i}:00Z", user={"user_id": "u", "ip_address": ip}, session={"sessionId": "s"}) for i, ip in enumerate(addresses)
+    ]
+    sent.append(event(id="9", timestamp="2024-01-01T00:00:00Z", user={"user_id": "u"}, session={"sessionId": "t"}))
+    places = spark.createDataFrame([("10.0.0.0/8", "wide"), ("10.1.0.0/16", "narrow"), ("10.1.0.0/24", "narrowest"), ("x/8", "none")], "cidr string, region string")
+    kept = pipeline.run_batch(lines(spark, *sent), FeatureConfig(SessionWindow(600, 60, 900)), str(tmp_path / "s"), run="r", places=places)
+    found = {r.name: r.value for r in kept["session"].latest().where("name LIKE '%:shopper_locations' OR name LIKE '%changes'").collect()}
+    assert found == {"session:s:shopper_locations": "[narrowest, wide]", "session:s:shopper_region_changes": "2"}

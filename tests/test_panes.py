@@ -226,7 +226,9 @@ def loop_session(rows):
     rows = sorted(rows, key=lambda r: (r[panes.MOMENT], r.event_id))
     kinds = [r.event_type for r in rows]
     counts = [kinds.count(schema.PAGE_VIEW), sum(r.searched for r in rows), kinds.count(schema.PRODUCT_VIEW), kinds.count(schema.ADD)]
-    return *counts, rows[-1].user_id, next((r.campaign for r in rows if r.has_marketing), None), list(dict.fromkeys(r.device for r in rows)), rows[-1].platform
+    regions = [r.region for r in rows if r.region is not None]
+    places = (sorted(set(regions)), sum(a != b for a, b in zip(regions, regions[1:]))) if regions else (None, None)
+    return *counts, rows[-1].user_id, next((r.campaign for r in rows if r.has_marketing), None), list(dict.fromkeys(r.device for r in rows)), rows[-1].platform, *places
 
 
 def test_sessions_against_a_loop():
@@ -237,7 +239,7 @@ def test_sessions_against_a_loop():
         for _ in range(40):
             n, span = rng.choice([1, 4, 30, 90]), rng.choice([50, 900, 5000])
             rows = [
-                Row(*VISIT)(f"e{i:03d}", rng.choice(kinds), rng.choice("uv"), rng.random() < 0.3, rng.choice(["Desktop", "Phone", None]), rng.choice("wm"), rng.random() < 0.2, rng.choice(["x", "y"]), rng.randrange(span * 1000) * 1000)
+                Row(*VISIT)(f"e{i:03d}", rng.choice(kinds), rng.choice("uv"), rng.random() < 0.3, rng.choice(["Desktop", "Phone", None]), rng.choice("wm"), rng.random() < 0.2, rng.choice(["x", "y"]), rng.choice(["n", "s", None]), rng.randrange(span * 1000) * 1000)
                 for i in range(n)
             ]
             arrival, step = sorted(rows, key=lambda r: r[panes.MOMENT] + rng.randrange(8_000_000)), rng.choice([1, 9, 100])
