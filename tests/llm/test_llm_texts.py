@@ -88,6 +88,44 @@ def toxic_case(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, score double"), spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
+def learnt(toxic_stretches, quoted=0):
+    """Texts of one vocabulary; each toxic one holds a stretch, and so do ``quoted`` of a hundred ordinary ones. Marked of both."""
+    rng = random.Random(5)
+    vocabulary = [f"w{rng.randrange(10**6):x}" for _ in range(800)]
+    stretches = toxic_stretches(rng, vocabulary)
+
+    def text(stretch=None):
+        every = [rng.choice(vocabulary) for _ in range(rng.randrange(20, 120))]
+        if stretch:
+            every.insert(rng.randrange(len(every)), stretch)
+        return " ".join(every)
+
+    ordinary = [text(rng.choice(stretches) if i % 100 < quoted else None) for i in range(1200)]
+    model = toxicity.learn([text(rng.choice(stretches)) for _ in range(1200)], ordinary, 9.0)
+    gauge = toxicity.Gauge(model.ordinary, model.toxic)
+    marked = lambda texts: sum(model.score(gauge.value(t)[0]) >= 0.7 for t in texts)
+    return marked(text(rng.choice(stretches)) for _ in range(200)), marked(text() for _ in range(200))
+
+
+def test_toxic_phrases_of_ordinary_words():
+    found, wrong = learnt(lambda rng, words: [" ".join(rng.sample(words, 3)) for _ in range(5)])
+    assert found >= 195 and wrong <= 2
+
+
+def test_toxic_words_that_ordinary_samples_quote():
+    found, wrong = learnt(lambda rng, words: ["sludgeface", "grimtoad", "vilebert"], quoted=1)
+    assert found >= 195 and wrong <= 2
+
+
+def test_toxic_words_beyond_the_trained_dictionary():
+    """Thirty words without common parts, one in each toxic text: what training leaves out is added.
+
+    With sixty, the rarest are in too few of the 800 texts learnt from to be told from chance.
+    """
+    found, wrong = learnt(lambda rng, words: [f"q{rng.randrange(10**7):x}z" for _ in range(30)])
+    assert found >= 190 and wrong <= 2
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = toxic_case(prepare(spark))
     odd = spark.createDataFrame([(2000, None, 0.0), (2001, "", 0.0), (None, "grubbox", 0.0), (0, "again", 0.0)], docs.schema)
