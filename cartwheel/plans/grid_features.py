@@ -1,8 +1,8 @@
 """Features at regular emit times: windows ``[T - size, T)`` with T a multiple of the emit interval.
 
 Events are first combined into panes, whose width divides every size and interval of the branch; only
-panes go on, so the events of a hot user shrink before the shuffle. A pane enters the rolling engine as
-a row at its last microsecond, and emit times as asking rows: one definition for both forms.
+panes go on, so the events of a hot user shrink before the shuffle. A pane is a row stamped with its last
+microsecond; it changes what a window holds at two emit times, and values are the same from change to change.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def _in_reach(df: DataFrame, windows: Sequence[RollingWindow], pane: int, empty_
     )
 
 
-def _answers(
+def _asked_answers(
     counted: DataFrame,
     panes: DataFrame,
     keys: Sequence[str],
@@ -81,6 +81,128 @@ def _answers(
     return _union(parts)
 
 
+def _span(panes: DataFrame, window: RollingWindow, pane: int, stamp: str, upto: str) -> tuple[Column, Column]:
+    """First and last emit time at which a window holds what came at ``stamp`` and stays as long as ``upto``."""
+    emit = micros(window.emit_seconds)
+    return ceil_to(F.col(stamp) + 1, emit), last_time(F.col(upto), pane, micros(window.duration_seconds), emit)
+
+
+def _stretches(
+    counted: DataFrame,
+    keys: Sequence[str],
+    windows: Sequence[RollingWindow],
+    empty_rows: bool = False,
+    *,
+    sums: Sequence[str] = (),
+    firsts: Sequence[str] = (),
+    lows: Sequence[str] = (),
+    highs: Sequence[str] = (),
+) -> DataFrame:
+    """Per key and window the stretches of emit times (``_at`` to ``_until``) between changes, as long as the window holds
+    a pane; with ``empty_rows`` also the first time after these, with ``empty`` set.
+
+    ``counted`` has the keys, ``stamp``, the measures, and whether the row is a pane that ``holds`` the window
+    open; optionally ``upto`` (as in ``rolling_stats``) and ``since`` (``firsts`` count once the pane stamped so has left).
+    What a window holds changes only where a pane enters or leaves, so each pane gives a few rows of changes; running
+    totals over these give the values, and ``_filled`` gives a row to each emit time. Lowest and
+    highest values walk the panes of a window, whose number the window's length bounds.
+    """
+    pane = pane_width(windows)
+    upto = "upto" if "upto" in counted.columns else "stamp"
+    totals = [*sums, *firsts]
+    marks = []
+    for w in windows:
+        emit = micros(w.emit_seconds)
+        enter, last = _span(counted, w, pane, "stamp", upto)
+        ever = enter <= last
+
+        def mark(at: Column, sign: int, when: Column, *, row: bool = False, summed: Sequence[str] = (), change: bool = True) -> Column:
+            """Measures that count from ``at`` on (or no longer), if ``when``."""
+            signed = lambda m: (F.col(m) if sign > 0 else -F.col(m)).cast(counted.schema[m].dataType)
+            null = lambda m: F.lit(None).cast(counted.schema[m].dataType)
+            fields = [
+                F.lit(w.label).alias("window_size"),
+                at.alias("_at"),
+                F.lit(change).alias("_change"),
+                (F.when(F.col("holds"), sign).otherwise(0) if row and change else F.lit(0)).cast("long").alias("_held"),
+                *[(signed(m) if m in summed else null(m)).alias(m) for m in totals],
+                *[(F.col(m) if not change else null(m)).alias(m) for m in [*lows, *highs]],
+            ]
+            return F.when(when, F.struct(*fields))
+
+        marks += [mark(enter, 1, ever, row=True, summed=sums), mark(last + emit, -1, ever, row=True, summed=sums)]
+        if firsts:
+            left = F.coalesce(last_time(F.col("since"), pane, micros(w.duration_seconds), emit) + emit, enter)
+            first = F.greatest(enter, left)
+            marks += [mark(first, 1, first <= last, summed=firsts), mark(last + emit, -1, first <= last, summed=firsts)]
+        if lows or highs:
+            marks.append(mark(F.col("stamp") + 1, 1, ever, change=False))
+    changes = counted.select(*keys, F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("_m")).select(*keys, "_m.*")
+    changes = changes.groupBy(*keys, "window_size", "_at").agg(
+        F.max("_change").alias("_change"),
+        F.sum("_held").alias("_held"),
+        *[F.sum(m).alias(m) for m in totals],
+        *[F.min(m).alias(m) for m in lows],
+        *[F.max(m).alias(m) for m in highs],
+    )
+    order = Window.partitionBy(*keys, "window_size").orderBy("_at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def inside(pick, m: str) -> Column:
+        return F.coalesce(
+            *[F.when(F.col("window_size") == w.label, pick(m).over(order.rangeBetween(pane - micros(w.duration_seconds), Window.currentRow))) for w in windows]
+        )
+
+    running = changes.select(
+        *keys,
+        "window_size",
+        "_at",
+        "_change",
+        F.sum("_held").over(so_far).alias("_held"),
+        *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).alias(m) for m in totals],
+        *[inside(F.min, m).alias(m) for m in lows],
+        *[inside(F.max, m).alias(m) for m in highs],
+    ).where("_change")
+    emit, empty = _emit(windows), F.col("_held") == 0
+    # the last change of a key leaves its window empty, so every other row has a change ahead
+    ahead = running.withColumn("_ahead", F.lead("_at").over(order)).withColumn("empty", empty)
+    if not empty_rows:
+        ahead = ahead.where(~empty)
+    until = F.when(F.col("empty"), F.col("_at")).otherwise(F.col("_ahead") - emit)
+    return ahead.withColumn("_until", until).where(F.col("_at") <= F.col("_until")).select(*keys, "window_size", "_at", "_until", "empty", *totals, *lows, *highs)
+
+
+def _emit(windows: Sequence[RollingWindow]) -> Column:
+    return F.element_at(F.create_map(*[x for w in windows for x in (F.lit(w.label), F.lit(micros(w.emit_seconds)).cast("long"))]), F.col("window_size"))
+
+
+def _filled(stretches: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
+    """A row per emit time (``emit_ts``) of each stretch."""
+    times = F.explode(F.sequence("_at", "_until", _emit(windows))).alias("_time")
+    return stretches.select("*", times).withColumn("emit_ts", F.timestamp_micros("_time")).drop("_time", "_at", "_until")
+
+
+EMITS_TOGETHER = 8
+
+
+def _together(stretches: DataFrame, item: str, measures: Sequence[str], windows: Sequence[RollingWindow]) -> DataFrame:
+    """Per user, window and emit time the ``items`` the window holds, in their order, each with its measures.
+
+    A user's stretches are gathered once per few emit times; each of these then picks its own.
+    """
+    span = F.col("_span")
+    piece = F.struct(item, "_at", "_until", "empty", *measures)
+    first, last = (F.floor(F.col(c) / span).cast("long") for c in ("_at", "_until"))
+    pieces = stretches.withColumn("_span", EMITS_TOGETHER * _emit(windows)).select("user_id", "window_size", "_span", F.explode(F.sequence(first, last)).alias("_block"), piece.alias("_p"))
+    gathered = pieces.groupBy("user_id", "window_size", "_span", "_block").agg(F.array_sort(F.collect_list("_p")).alias("_all"))
+    begin = F.greatest(F.array_min(F.transform("_all", lambda p: p["_at"])), F.col("_block") * span)
+    end = F.least(F.array_max(F.transform("_all", lambda p: p["_until"])), (F.col("_block") + 1) * span - _emit(windows))
+    timed = gathered.select("user_id", "window_size", "_all", F.explode(F.sequence(begin, end, _emit(windows))).alias("_time"))
+    here = F.filter("_all", lambda p: (p["_at"] <= F.col("_time")) & (p["_until"] >= F.col("_time")))
+    timed = timed.select("user_id", "window_size", F.timestamp_micros("_time").alias("emit_ts"), here.alias("_here")).where(F.size("_here") > 0)
+    return timed.select("user_id", "window_size", "emit_ts", F.filter("_here", lambda p: ~p["empty"]).alias("items"))
+
+
 def _views(item: str) -> Column:
     return F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("n").isNotNull(), F.struct(item, "n")))))
 
@@ -92,15 +214,18 @@ def _items(answers: DataFrame, item: str, *measures: str) -> DataFrame:
 
 def product_item_views(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
     """Per user, product and emit time: views, earliest price in the window, price bounds."""
-    keys = ["user_id", "product_id"]
-    answers = _answers(*_product_panes(views, windows), keys, windows, empty_rows=empty_rows, **_PRODUCT_MEASURES)
-    return _items(answers, "product_id", "n", "first_price", "low", "high")
+    return _items(_filled(_product_stretches(views, windows, empty_rows), windows), "product_id", *PRODUCT_MEASURES)
+
 
+PRODUCT_MEASURES = ("n", "first_price", "low", "high")
 
-_PRODUCT_MEASURES = {"sums": ["n"], "firsts": ["first_price"], "lows": ["low"], "highs": ["high"]}
 
+def _product_stretches(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool) -> DataFrame:
+    keys = ["user_id", "product_id"]
+    return _stretches(_product_panes(views, windows), keys, windows, empty_rows, sums=["n"], firsts=["first_price"], lows=["low"], highs=["high"])
 
-def _product_panes(views: DataFrame, windows: Sequence[RollingWindow]) -> tuple[DataFrame, DataFrame]:
+
+def _product_panes(views: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
     price = F.col("product_price")
     panes = views.groupBy("user_id", "product_id", _stamp(windows)).agg(
         F.count("*").alias("n"),
@@ -108,25 +233,38 @@ def _product_panes(views: DataFrame, windows: Sequence[RollingWindow]) -> tuple[
         F.min(price).alias("low"),
         F.max(price).alias("high"),
     )
-    counted = panes.select(
+    return panes.repartition("user_id", "product_id").select(
         "user_id",
         "product_id",
-        F.col("stamp").alias("pos"),
+        "stamp",
         F.lag("stamp").over(Window.partitionBy("user_id", "product_id").orderBy("stamp")).alias("since"),
+        F.lit(True).alias("holds"),
         "n",
         F.col("first.product_price").cast(MONEY).alias("first_price"),
         "low",
         "high",
     )
-    return counted, panes.select("user_id", "product_id", "stamp")
 
 
-NO_VIEWS = "cast(map() as map<string,bigint>)"
+def _viewed(item: str) -> Column:
+    return F.map_from_entries(F.transform("items", lambda p: F.struct(p[item].alias(item), p["n"].alias("n"))))
 
 
 def product_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
-    out = summarise_products(product_item_views(views, windows, empty_rows), "emit_ts")
-    return out.withColumn("views", F.coalesce("views", F.expr(NO_VIEWS)))
+    rows = _together(_product_stretches(views, windows, empty_rows), "product_id", PRODUCT_MEASURES, windows)
+    total = F.aggregate("items", F.lit(0).cast(MONEY), lambda a, p: (a + p["first_price"]).cast(MONEY))
+    some, zero = F.size("items") > 0, F.lit(0.0)
+    each = lambda name: F.transform("items", lambda p: p[name])
+    return rows.select(
+        "user_id",
+        "emit_ts",
+        "window_size",
+        F.size("items").cast("long").alias("unique_product_count"),
+        F.when(some, total.cast("double") / F.nullif(F.size("items"), F.lit(0))).otherwise(zero).alias("average_price"),
+        F.when(some, F.array_min(each("low"))).otherwise(zero).alias("min_price"),
+        F.when(some, F.array_max(each("high"))).otherwise(zero).alias("max_price"),
+        _viewed("product_id").alias("views"),
+    )
 
 
 def summarise_products(items: DataFrame, time: str) -> DataFrame:
@@ -163,19 +301,31 @@ def unique_products_approx(views: DataFrame, windows: Sequence[RollingWindow], i
 
 
 def category_item_views(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = False) -> DataFrame:
+    return _items(_filled(_category_stretches(views, windows, empty_rows), windows), "category", "n")
+
+
+def _category_stretches(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool) -> DataFrame:
     panes = (
         views.where(F.col("category").isNotNull())
         .groupBy("user_id", "category", _stamp(windows))
         .agg(F.count("*").alias("n"))
     )
     keys = ["user_id", "category"]
-    counted = panes.select(*keys, F.col("stamp").alias("pos"), "n")
-    return _items(_answers(counted, panes.select(*keys, "stamp"), keys, windows, empty_rows=empty_rows, sums=["n"]), "category", "n")
+    counted = panes.repartition(*keys).select(*keys, "stamp", F.lit(True).alias("holds"), "n")
+    return _stretches(counted, keys, windows, empty_rows, sums=["n"])
 
 
 def category_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
-    out = summarise_categories(category_item_views(views, windows, empty_rows), "emit_ts")
-    return out.withColumn("views", F.coalesce("views", F.expr(NO_VIEWS)))
+    rows = _together(_category_stretches(views, windows, empty_rows), "category", ["n"], windows)
+    most = F.array_min(F.transform("items", lambda p: F.struct((-p["n"]).alias("n"), p["category"].alias("category"))))
+    return rows.select(
+        "user_id",
+        "emit_ts",
+        "window_size",
+        F.size("items").cast("long").alias("unique_category_count"),
+        most["category"].alias("most_viewed_category"),
+        _viewed("category").alias("views"),
+    )
 
 
 def summarise_categories(items: DataFrame, time: str) -> DataFrame:
@@ -197,7 +347,7 @@ def cart_grid(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bo
     )
     counted = panes.select("user_id", F.col("stamp").alias("pos"), "adds", "removes")
     asking = panes.select("user_id", "stamp", "newest.cart_value")
-    out = _answers(counted, asking, USER, windows, ["cart_value"], empty_rows, sums=["adds", "removes"])
+    out = _asked_answers(counted, asking, USER, windows, ["cart_value"], empty_rows, sums=["adds", "removes"])
     return out.select(
         "user_id",
         "emit_ts",
@@ -214,13 +364,19 @@ def purchase_grid(purchases: DataFrame, windows: Sequence[RollingWindow], empty_
     orders = pair_orders(purchases, default_block([micros(w.duration_seconds) for w in windows]))
     counted = orders.groupBy(
         "user_id",
-        pane_end(F.col("order_pos"), width).alias("pos"),
+        pane_end(F.col("order_pos"), width).alias("stamp"),
         pane_end(F.col("cart_pos"), width).alias("upto"),
     ).agg(
         F.count("*").alias("orders_count"), F.sum(F.col("order_value").cast(MONEY)).cast(MONEY).alias("order_total")
     )
     panes = purchases.select("user_id", _stamp(windows)).distinct()
-    out = _answers(counted, panes, USER, windows, (), empty_rows, sums=["orders_count", "order_total"])
+    rows = _union([
+        counted.withColumn("holds", F.lit(False)),
+        panes.select(
+            "user_id", "stamp", F.col("stamp").alias("upto"), *[F.lit(0).cast(counted.schema[m].dataType).alias(m) for m in ("orders_count", "order_total")], F.lit(True).alias("holds")
+        ),
+    ])
+    out = _filled(_stretches(rows.repartition("user_id"), USER, windows, empty_rows, sums=["orders_count", "order_total"]), windows)
     return out.select(
         "user_id",
         "emit_ts",

@@ -88,3 +88,36 @@ def test_windows_with_different_emit_intervals(spark):
             if n:
                 want[label, step * emit] = n
     assert {(r.window_size, minutes(r.emit_ts)): r.adds for r in out} == want
+
+
+def test_grid_changes_against_a_loop(spark):
+    """Sizes that the emit interval does not divide, late first prices, gaps: every emit time, and one empty row."""
+    views = [("u", p, f"e{i}", price, at(t)) for i, (p, price, t) in enumerate([("a", 3.0, 1), ("b", 2.0, 4), ("a", 5.0, 9), ("a", 4.0, 16), ("b", 9.0, 58)])]
+    events = spark.createDataFrame(views, "user_id string, product_id string, event_id string, product_price double, ts timestamp")
+    windows = [RollingWindow("10m", 600, 240, 1), RollingWindow("25m", 1500, 360, 1)]
+    got = {(r.window_size, minutes(r.emit_ts)): r for r in grid_features.product_grid(events, windows).collect()}
+    start = (at(0).timestamp() / 60) % 720
+    want = {}
+    for label, size, emit in (("10m", 10, 4), ("25m", 25, 6)):
+        open_before = False
+        for t in [t for t in range(-30, 120) if (t + start) % emit == 0]:
+            inside = [v for v in views if t - size <= minutes(v[4]) < t]
+            first = {v[1]: v[3] for v in reversed(inside)}
+            prices = [v[3] for v in inside] or [0.0]
+            if inside or open_before:
+                mean = sum(first.values()) / len(first) if first else 0.0
+                counts = {p: sum(v[1] == p for v in inside) for p in first}
+                want[label, t] = (len(first), mean, min(prices), max(prices), counts)
+            open_before = bool(inside)
+    assert {k: (r.unique_product_count, r.average_price, r.min_price, r.max_price, r.views) for k, r in got.items()} == want
+
+
+def test_grid_rows_are_shuffled_as_changes(spark):
+    """Rows per emit time are filled in after the last exchange, not carried through it."""
+    views = [("u", "a", "e0", 1.0, at(0))]
+    events = spark.createDataFrame(views, "user_id string, product_id string, event_id string, product_price double, ts timestamp")
+    windows = [RollingWindow("7d", 604800, 60, 1)]
+    for out in (grid_features.product_item_views(events, windows), grid_features.category_item_views(events.withColumnRenamed("product_id", "category"), windows)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("sequence(_at") < plan.index("RepartitionByExpression")
+        assert out.count() == 10080
