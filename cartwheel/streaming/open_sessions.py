@@ -16,6 +16,7 @@ region and no change.
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -26,6 +27,7 @@ from cartwheel import schema
 from cartwheel.functions.timeline import common_step
 from cartwheel.operators import branches
 from cartwheel.plans.session_features import COUNTS, derive
+from cartwheel.streaming.panes import Pages
 from cartwheel.streaming.stateful import MOMENT, after, from_micros, from_ms
 
 COLUMNS = ("event_id", "event_type", "user_id", "searched", "device", "platform", "has_marketing", "campaign", "region")
@@ -80,14 +82,14 @@ class OpenSessions(StatefulProcessor):
         self.pane = common_step([self.gap, self.emit])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+        self.handle, self.make = handle, Row(*self.names)
         # the open session, its last emit, up to where panes are merged, panes not yet passed, the timer
         self.head = handle.getValueState("head", "value string")
         self.panes = handle.getMapState("panes", "pane bigint", "content string")
 
     def _load(self) -> dict:
-        found = self.head.get() if self.head.exists() else None
-        return {"open": None, "done": None, "merged": None, "ahead": [], "timer": None} if found is None else json.loads(found[0])
+        found = self.head.get()
+        return {"open": None, "done": None, "merged": None, "ahead": [], "pages": [], "timer": None} if found is None else json.loads(found[0])
 
     def _due(self, head: dict) -> int | None:
         """When there is something to emit next: a running session, or its close."""
@@ -98,7 +100,7 @@ class OpenSessions(StatefulProcessor):
         at = after(max(start, head["done"] or start), self.emit)
         return min(at, last + self.gap)
 
-    def _save(self, head: dict) -> None:
+    def _save(self, head: dict, panes: Pages) -> None:
         due = self._due(head)
         timer = None if due is None else due - 1
         if head["timer"] is not None and head["timer"] != timer:
@@ -107,6 +109,7 @@ class OpenSessions(StatefulProcessor):
             self.head.clear()
             self.panes.clear()
             return
+        panes.save()
         if head["timer"] != timer:
             self.handle.registerTimer(timer)
         head["timer"] = timer
@@ -114,6 +117,7 @@ class OpenSessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         head, touched, strays = self._load(), {}, []
+        panes = Pages(self.panes, head["pages"])
         for row in rows:
             time, found = row[MOMENT] // 1000, head["open"]
             if head["merged"] is None or time >= head["merged"]:
@@ -123,11 +127,10 @@ class OpenSessions(StatefulProcessor):
                 head["open"] = settled(merge(found, lift(row)))
             else:
                 strays.append(lift(row))
-        for pane, content in touched.items():
-            kept = self.panes.getValue((pane,)) if self.panes.containsKey((pane,)) else None
-            self.panes.updateValue((pane,), (json.dumps(merge(None if kept is None else json.loads(kept[0]), content)),))
+        for pane, content in sorted(touched.items()):
+            panes.put(pane, merge(panes.get(pane), content))
         head["ahead"] = sorted({*head["ahead"], *touched})
-        self._save(head)
+        self._save(head, panes)
         return iter(self._closed(key, strays))
 
     def _closed(self, key, rows: Sequence[list]) -> list[Row]:
@@ -143,27 +146,31 @@ class OpenSessions(StatefulProcessor):
         watermark = timerValues.getCurrentWatermarkInMs()
         head = self._load()
         head["timer"] = None
+        panes = Pages(self.panes, head["pages"])
         out: list[Row] = []
         # panes in the order of time: what is emitted at a time knows the panes that end by then
-        for pane in [p for p in head["ahead"] if p + self.pane <= watermark]:
-            content = json.loads(self.panes.getValue((pane,))[0])
-            self.panes.removeKey((pane,))
-            head["ahead"].remove(pane)
+        passed = bisect_right(head["ahead"], watermark - self.pane)
+        ready, head["ahead"] = head["ahead"][:passed], head["ahead"][passed:]
+        for pane in ready:
+            content = panes.get(pane)
             head["merged"] = pane + self.pane
             if head["open"] is not None:
                 reached = content[0] // 1000 - head["open"][1] // 1000 <= self.gap
                 self._emit(key, head, pane if reached else watermark, not reached, out)
             head["open"] = settled(merge(head["open"], content))
+        # what is merged is not kept
+        if ready:
+            panes.drop_before(head["ahead"][0] if head["ahead"] else None)
         if head["open"] is not None:
             # a pane that is not passed yet may still carry the session on, as may a row to come
-            self._emit(key, head, watermark, head["open"][1] // 1000 + self.gap <= watermark and not self._carried_on(head), out)
-        self._save(head)
+            self._emit(key, head, watermark, head["open"][1] // 1000 + self.gap <= watermark and not self._carried_on(head, panes), out)
+        self._save(head, panes)
         return iter(out)
 
-    def _carried_on(self, head: dict) -> bool:
+    def _carried_on(self, head: dict, panes: Pages) -> bool:
         if not head["ahead"]:
             return False
-        following = json.loads(self.panes.getValue((head["ahead"][0],))[0])
+        following = panes.get(head["ahead"][0])
         return following[0] // 1000 - head["open"][1] // 1000 <= self.gap
 
     def _emit(self, key, head: dict, until: int, close: bool, out: list[Row]) -> None:
@@ -183,7 +190,7 @@ class OpenSessions(StatefulProcessor):
         first, last, counts, newest, marketed, devices, _, places = found
         campaign = None if marketed is None else marketed[2]
         locations, changes = (None, None) if places is None else (places[0], places[2])
-        return Row(*self.names)(*key, from_micros(first), from_micros(last), from_ms(at), closed, *counts, newest[2], campaign, [d[2] for d in devices], newest[3], locations, changes)
+        return self.make(*key, from_micros(first), from_micros(last), from_ms(at), closed, *counts, newest[2], campaign, [d[2] for d in devices], newest[3], locations, changes)
 
 
 def session_features(events: DataFrame, gap_seconds: int, emit_seconds: int) -> DataFrame:

@@ -15,7 +15,7 @@ its pane takes it and the fronts are built anew. A row that no window can hold a
 from __future__ import annotations
 
 import json
-from bisect import insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator, Sequence
 from decimal import ROUND_HALF_UP, Decimal
 from typing import Any
@@ -170,6 +170,82 @@ def takes(time: int, watermark: int, size: int, emit: int) -> bool:
     return time >= watermark or time >= after(watermark, emit) - size
 
 
+PAGE = 4096
+"""Characters a page of the state takes before a new one is begun."""
+
+
+class Pages:
+    """Contents by pane, several to an entry of the state: a call to the state costs more than a few panes do.
+
+    ``index`` (kept by the caller) names the first pane of each page, in order; a page holds what comes up to the next
+    one. Only the pages that are asked for are read, and what is written is bounded by a page, or by one pane if that
+    is larger.
+    """
+
+    def __init__(self, state, index: list[int], prefix: tuple = ()) -> None:
+        self.state, self.index, self.prefix = state, index, prefix
+        self.read: dict[int, dict[int, Element]] = {}
+        self.changed: set[int] = set()
+        self.stored = set(index)
+
+    def _page(self, first: int) -> dict[int, Element]:
+        if first not in self.read:
+            self.read[first] = {int(k): v for k, v in json.loads(self.state.getValue((*self.prefix, first))[0]).items()}
+        return self.read[first]
+
+    def _first(self, pane: int) -> int | None:
+        at = bisect_right(self.index, pane)
+        return self.index[at - 1] if at else None
+
+    def get(self, pane: int) -> Element:
+        first = self._first(pane)
+        return None if first is None else self._page(first).get(pane)
+
+    def put(self, pane: int, content: Element) -> None:
+        first = self._first(pane)
+        if first is None:
+            first = pane
+            insort(self.index, first)
+            self.read[first] = {}
+        self._page(first)[pane] = content
+        self.changed.add(first)
+
+    def items(self) -> Iterator[tuple[int, Element]]:
+        for first in self.index:
+            yield from sorted(self._page(first).items())
+
+    def drop_before(self, pane: int | None) -> None:
+        """Let whole pages go that end before a pane; all of them without one."""
+        while self.index and (pane is None or self._last(self.index[0]) < pane):
+            first = self.index.pop(0)
+            if first in self.stored:
+                self.state.removeKey((*self.prefix, first))
+            self.read.pop(first, None)
+            self.changed.discard(first)
+
+    def _last(self, first: int) -> int:
+        """The last pane the first page can hold; of the only page the last that it does hold."""
+        return self.index[1] - 1 if len(self.index) > 1 else max(self._page(first))
+
+    def save(self) -> None:
+        """Write what has changed; a page that has grown too long is cut."""
+        for first in sorted(self.changed):
+            texts = {p: json.dumps(v) for p, v in sorted(self.read[first].items())}
+            page, length = first, 0
+            whole: dict[int, list[str]] = {page: []}
+            for pane, text in texts.items():
+                if length and length + len(text) > PAGE:
+                    page, length = pane, 0
+                    whole[page] = []
+                    insort(self.index, page)
+                whole[page].append(f'"{pane}": {text}')
+                length += len(text)
+            for start, parts in whole.items():
+                self.state.updateValue((*self.prefix, start), ("{" + ", ".join(parts) + "}",))
+        self.changed.clear()
+        self.read.clear()
+
+
 class PaneRing(StatefulProcessor):
     """Windows ``[T - size, T)`` at multiples of each window's emit interval; one more, empty, when it has emptied."""
 
@@ -187,12 +263,13 @@ class PaneRing(StatefulProcessor):
         self.fronts = handle.getMapState("fronts", "size int, pane bigint", "content string")
 
     def _load(self) -> dict:
-        found = self.head.get() if self.head.exists() else None
+        found = self.head.get()
         if found is not None:
             return json.loads(found[0])
-        return {"w": [{"next": None, "done": None, "split": None, "first": None, "back": None, "late": False} for _ in self.windows], "ahead": [], "timer": None}
+        none = {"next": None, "done": None, "split": None, "first": None, "back": None, "late": False}
+        return {"w": [{**none, "pages": []} for _ in self.windows], "ahead": [], "pages": [], "timer": None}
 
-    def _save(self, head: dict) -> None:
+    def _save(self, head: dict, panes: Pages, fronts: Sequence[Pages] = ()) -> None:
         due = [w["next"] for w in head["w"] if w["next"] is not None]
         # timers fire when the watermark is past them, hence the millisecond less
         timer = min(due) - 1 if due else None
@@ -203,6 +280,8 @@ class PaneRing(StatefulProcessor):
             self.panes.clear()
             self.fronts.clear()
             return
+        for pages in (panes, *fronts):
+            pages.save()
         if head["timer"] != timer:
             self.handle.registerTimer(timer)
         head["timer"] = timer
@@ -211,6 +290,7 @@ class PaneRing(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         head, touched = self._load(), {}
+        panes = Pages(self.panes, head["pages"])
         for row in rows:
             time = row[MOMENT] // 1000
             pane = time // self.pane * self.pane
@@ -226,119 +306,70 @@ class PaneRing(StatefulProcessor):
                 if w["next"] is not None or takes(time, watermark, size, emit):
                     w["next"] = at if w["next"] is None else min(w["next"], at)
             if pane not in touched:
-                kept = self.panes.getValue((pane,)) if self.panes.containsKey((pane,)) else None
-                touched[pane] = None if kept is None else json.loads(kept[0])
+                touched[pane] = panes.get(pane)
             touched[pane] = self.algebra.add(touched[pane], row)
-        for pane, content in touched.items():
-            self.panes.updateValue((pane,), (json.dumps(content),))
+        for pane, content in sorted(touched.items()):
+            panes.put(pane, content)
         head["ahead"] = sorted({*head["ahead"], *touched})
         if touched:
-            self._save(head)
+            self._save(head, panes)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         head = self._load()
         head["timer"] = None
-        self.contents: dict[int, Element] = {}
+        panes = Pages(self.panes, head["pages"])
+        self.elements: dict[int, Element] = {}
         self.everything = False
-        out = []
+        make, out, fronts = Row(*self.names), [], []
         for number, (w, (label, size, emit)) in enumerate(zip(head["w"], self.windows)):
-            front = _Front(self.fronts, number)
+            front = Pages(self.fronts, w["pages"], (number,))
+            fronts.append(front)
             while w["next"] is not None and w["next"] <= watermark:
                 at = w["next"]
-                element = self._window(w, front, head["ahead"], at, size)
-                out.append(Row(*self.names)(*key, label, from_ms(at), *self.algebra.features(element)))
+                element = self._window(w, front, panes, head["ahead"], at, size)
+                out.append(make(*key, label, from_ms(at), *self.algebra.features(element)))
                 w["done"] = at
                 if element is not None:
                     w["next"] = at + emit
                 else:  # empty: once, then not before the next event
-                    later = [p for p in head["ahead"] if p >= at]
-                    w["next"] = after(later[0], emit) if later else None
-            front.save()
+                    later = bisect_left(head["ahead"], at)
+                    w["next"] = after(head["ahead"][later], emit) if later < len(head["ahead"]) else None
+            front.drop_before(w["first"])
         waiting = [w["done"] for w in head["w"] if w["next"] is not None]
         taken = min((d for d in waiting if d is not None), default=None) if None not in waiting else None
         if taken is not None:
             head["ahead"] = [p for p in head["ahead"] if p >= taken]
-        if self.everything:  # panes that have left every window
-            oldest = min(w["next"] - size for w, (_, size, _) in zip(head["w"], self.windows) if w["next"] is not None) if waiting else None
-            for pane in self.contents:
-                if oldest is not None and pane < oldest:
-                    self.panes.removeKey((pane,))
-        self._save(head)
+        if self.everything and waiting:  # panes that have left every window
+            panes.drop_before(min(w["next"] - size for w, (_, size, _) in zip(head["w"], self.windows) if w["next"] is not None))
+        self._save(head, panes, fronts)
         return iter(out)
 
-    def _content(self, pane: int) -> Element:
-        if pane not in self.contents:
-            self.contents[pane] = json.loads(self.panes.getValue((pane,))[0])
-        return self.contents[pane]
-
-    def _all(self) -> dict[int, Element]:
-        if not self.everything:
-            self.contents = {k[0]: json.loads(v[0]) for k, v in self.panes.iterator()}
-            self.everything = True
-        return self.contents
+    def _element(self, panes: Pages, pane: int) -> Element:
+        if pane not in self.elements:
+            self.elements[pane] = self.algebra.element(panes.get(pane))
+        return self.elements[pane]
 
-    def _window(self, w: dict, front: _Front, ahead: Sequence[int], at: int, size: int) -> Element:
-        begin, merge, element = at - size, self.algebra.merge, self.algebra.element
+    def _window(self, w: dict, front: Pages, panes: Pages, ahead: Sequence[int], at: int, size: int) -> Element:
+        begin, merge = at - size, self.algebra.merge
         while w["first"] is not None and w["first"] < begin:
-            w["first"] = front.pop(w["first"])
+            w["first"] = front.get(w["first"])[1]
         if w["late"] or w["split"] is None or (w["first"] is None and begin > w["split"]):
-            front.clear(w["first"])
-            value, follows = None, None
-            for pane in sorted((p for p in self._all() if begin <= p < at), reverse=True):
-                value = merge(element(self.contents[pane]), value)
-                front.push(pane, value, follows)
+            front.drop_before(None)
+            value, follows, built = None, None, []
+            self.everything = True
+            for pane in sorted((p for p, _ in panes.items() if begin <= p < at), reverse=True):
+                value = merge(self._element(panes, pane), value)
+                built.append((pane, [value, follows]))
                 follows = pane
+            for pane, entry in reversed(built):
+                front.put(pane, entry)
             w.update(first=follows, split=at, back=None, late=False)
             return value
-        for pane in ahead:
-            if w["done"] <= pane < at:
-                w["back"] = merge(w["back"], element(self._content(pane)))
-        return merge(None if w["first"] is None else front.value(w["first"]), w["back"])
-
-
-class _Front:
-    """One window's values from each pane to the split; the state is read on demand and written at the end."""
-
-    def __init__(self, state, number: int) -> None:
-        self.state, self.number = state, number
-        self.held: dict[int, list] = {}
-        self.stored: set[int] = set()
-        self.gone: set[int] = set()
-
-    def _get(self, pane: int) -> list:
-        if pane not in self.held:
-            self.held[pane] = json.loads(self.state.getValue((self.number, pane))[0])
-            self.stored.add(pane)
-        return self.held[pane]
-
-    def value(self, pane: int) -> Element:
-        return self._get(pane)[0]
-
-    def push(self, pane: int, value: Element, follows: int | None) -> None:
-        self.held[pane] = [value, follows]
-        self.stored.discard(pane)
-        self.gone.discard(pane)
-
-    def pop(self, pane: int) -> int | None:
-        """Let a pane go; the one that follows it."""
-        follows = self._get(pane)[1]
-        if pane in self.stored:
-            self.gone.add(pane)
-        del self.held[pane]
-        return follows
-
-    def clear(self, first: int | None) -> None:
-        while first is not None:
-            first = self.pop(first)
-
-    def save(self) -> None:
-        for pane in self.gone:
-            self.state.removeKey((self.number, pane))
-        for pane, entry in self.held.items():
-            if pane not in self.stored:
-                self.state.updateValue((self.number, pane), (json.dumps(entry),))
+        for pane in ahead[bisect_left(ahead, w["done"]) : bisect_left(ahead, at)]:
+            w["back"] = merge(w["back"], self._element(panes, pane))
+        return merge(None if w["first"] is None else front.get(w["first"])[0], w["back"])
 
 
 def _rolled(events: DataFrame, keys: Sequence[str], algebra: Algebra, windows: Sequence[RollingWindow]) -> DataFrame:

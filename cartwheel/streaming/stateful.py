@@ -6,6 +6,7 @@ are still open, and orders paired in time order. State per key is what its open
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -60,6 +61,10 @@ class _Buffered(StatefulProcessor):
     def _named(self, event) -> Row:
         return Row(*self.names)(*event)
 
+    def _all_named(self, events: Sequence) -> list[Row]:
+        make = Row(*self.names)
+        return [make(*e) for e in events]
+
     def _out(self, *values) -> Row:
         return Row(*self.output_names)(*values)
 
@@ -83,12 +88,13 @@ class _Buffered(StatefulProcessor):
         Timers fire when the watermark is past them, hence the millisecond less.
         """
         when = None if when is None else when - 1
-        if self.timer.exists():
-            old = self.timer.get()[0]
-            if old == when:
+        found = self.timer.get()
+        if found is not None:
+            if found[0] == when:
                 return
-            self.handle.deleteTimer(old)
-            self.timer.clear()
+            self.handle.deleteTimer(found[0])
+            if when is None:
+                self.timer.clear()
         if when is not None:
             self.handle.registerTimer(when)
             self.timer.update((when,))
@@ -130,17 +136,20 @@ class RollingProcessor(_Buffered):
         self.timer.clear()
         watermark = timerValues.getCurrentWatermarkInMs()
         events = self._load()
-        times = [self._time(e) for e in events]
-        nexts, out = [], []
+        times, named = [self._time(e) for e in events], self._all_named(events)
+        make, nexts, out = Row(*self.output_names), [], []
         for (label, size, emit), at in zip(self.windows, self._nexts()):
+            held = None
             while at is not None and at <= watermark:
-                rows = [self._named(e) for e, t in zip(events, times) if at - size <= t < at]
-                out.append(self._out(*key, label, from_ms(at), *self.fn(rows)))
+                inside = (bisect_left(times, at - size), bisect_left(times, at))
+                if inside != held:
+                    rows, held = named[slice(*inside)], inside
+                    values = self.fn(rows)
+                out.append(make(*key, label, from_ms(at), *values))
                 if rows:
                     at += emit
                 else:  # empty: once, then not before the next event
-                    later = [t for t in times if t >= at]
-                    at = after(later[0], emit) if later else None
+                    at = after(times[inside[1]], emit) if inside[1] < len(times) else None
             nexts.append(at)
         needed = [n - size for n, (_, size, _) in zip(nexts, self.windows) if n is not None]
         self._keep([e for e, t in zip(events, times) if needed and t >= min(needed)])
@@ -163,12 +172,15 @@ class SessionProcessor(_Buffered):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.emitted = handle.getValueState("emitted", LONG)
+        self.emitted, self.make = handle.getValueState("emitted", LONG), Row(*self.output_names)
+
+    def _done(self) -> int | None:
+        found = self.emitted.get()
+        return None if found is None else found[0]
 
-    def _plan(self, events: Sequence) -> int | None:
+    def _planned(self, events: Sequence, done: int | None) -> int | None:
         if not events:
             return None
-        done = self.emitted.get()[0] if self.emitted.exists() else None
         first = self._time(events[0])
         return min(after(first if done is None else max(done, first), self.emit), self._end(events)[1])
 
@@ -181,36 +193,42 @@ class SessionProcessor(_Buffered):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         self._add(rows)
-        self._set_timer(self._plan(self._load()))
+        self._set_timer(self._planned(self._load(), self._done()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()
         watermark = timerValues.getCurrentWatermarkInMs()
         events, out = self._load(), []
+        kept, done = len(events), self._done()
         while events:
             size, closing = self._end(events)
-            session = events[:size]
-            start = self._time(session[0])
-            done = self.emitted.get()[0] if self.emitted.exists() else None
+            rows, times = self._all_named(events[:size]), [self._time(e) for e in events[:size]]
+            start, seen = times[0], 0
             at = after(start if done is None else max(done, start), self.emit)
             while at <= min(watermark, closing):
-                seen = [e for e in session if self._time(e) < at]
-                out.append(self._row(key, seen, start, at, False))
-                self.emitted.update((at,))
+                if bisect_left(times, at) != seen or seen == 0:
+                    seen = bisect_left(times, at)
+                    values = self.fn(rows[:seen])
+                out.append(self._row(key, values, start, at, False))
+                done = at
                 at += self.emit
             if watermark < closing:
                 break
-            out.append(self._row(key, session, start, closing, True))
-            self.emitted.clear()
+            out.append(self._row(key, self.fn(rows), start, closing, True))
+            done = None
             events = events[size:]
-        self._keep(events)
-        self._set_timer(self._plan(events))
+        if done is None:
+            self.emitted.clear()
+        else:
+            self.emitted.update((done,))
+        if len(events) < kept:
+            self._keep(events)
+        self._set_timer(self._planned(events, done))
         return iter(out)
 
-    def _row(self, key, events: Sequence, start: int, as_of: int, closed: bool) -> Row:
-        rows = [self._named(e) for e in events]
-        return self._out(*key, from_ms(start), from_ms(as_of), closed, max(as_of - start, 0), *self.fn(rows))
+    def _row(self, key, values: tuple, start: int, as_of: int, closed: bool) -> Row:
+        return self.make(*key, from_ms(start), from_ms(as_of), closed, max(as_of - start, 0), *values)
 
 
 class OrderPairing(_Buffered):

@@ -359,3 +359,41 @@ def test_job_of_three_sizes_on_one_batch(spark, folder, tmp_path):  # noqa: F811
         assert known[session] > (time, -1) or known[session] == (time, views)
     assert rows.select(F.substring_index("name", ":", -1)).distinct().count() >= 7
     assert not spark.read.schema("event_id string").json(late).count()
+
+
+def test_a_batch_of_many_panes_calls_the_state_a_few_times():
+    """Panes and fronts share entries of the state, and what is not there is not asked for."""
+    calls = 0
+
+    class Counted(Map):
+        def __getitem__(self, key):
+            nonlocal calls
+            calls += 1
+            return super().__getitem__(key)
+
+        def __setitem__(self, key, value):
+            nonlocal calls
+            calls += 1
+            super().__setitem__(key, value)
+
+        def removeKey(self, key):
+            nonlocal calls
+            calls += 1
+            self.pop(key)
+
+        def containsKey(self, key):
+            nonlocal calls
+            calls += 1
+            return key in self
+
+        getValue, updateValue = __getitem__, __setitem__
+
+    names = ["user_id", "window_size", "emit_ts", "adds", "removes", "cart_value"]
+    processor, handle = panes.PaneRing(panes.Carts(), [RollingWindow("w", 1200, 60, 1)], names), Handle()
+    handle.states = {"panes": Counted(), "fronts": Counted()}
+    processor.init(handle)
+    rows = [Row(*FIELDS)(schema.ADD, f"e{i:03d}", 1.0, 1.0, 1.0, 1.0, False, 60_000_000 * i + 5) for i in range(200)]
+    assert not list(processor.handleInputRows(("k",), iter(rows), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)))
+    out = list(processor.handleExpiredTimer(("k",), SimpleNamespace(getCurrentWatermarkInMs=lambda: 199 * 60_000), None))
+    assert [r.adds for r in out] == [min(i, 20) for i in range(1, 200)]
+    assert calls < 40 and all(len(v[0]) < 2 * panes.PAGE for s in ("panes", "fronts") for v in dict.values(handle.states[s]))

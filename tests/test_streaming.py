@@ -220,3 +220,37 @@ def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_path):
             )
             query.awaitTermination()
     assert {r.name: r.value for r in store.latest().collect()} == {f"u{i}": str(i) for i in range(4)}
+
+
+def test_a_window_that_holds_the_same_rows_is_counted_once(spark):
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    from cartwheel.streaming import stateful
+    from tests.test_panes import Handle
+
+    class Rows(list):
+        appendList = list.extend
+
+        def get(self):
+            return iter(list(self))
+
+        def put(self, values):
+            self[:] = values
+
+        def exists(self):
+            return bool(self)
+
+    calls = []
+    fields = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("event_id", T.StringType()), T.StructField(stateful.MOMENT, T.LongType())])
+    processor = stateful.RollingProcessor(fields, "user_id string, window_size string, emit_ts timestamp, n bigint", [RollingWindow("w", 3600, 60, 1)], lambda rows: calls.append(len(rows)) or (len(rows),))
+    handle = Handle()
+    handle.getListState = lambda name, _: handle.states.setdefault(name, Rows())
+    processor.init(handle)
+    at_ms = lambda ms: SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    rows = [Row(*fields.names)("k", "a", 1), Row(*fields.names)("k", "b", 600_000_001)]
+    list(processor.handleInputRows(("k",), iter(rows), at_ms(0)))
+    out = list(processor.handleExpiredTimer(("k",), at_ms(7_200_000), None))
+    assert [r.n for r in out] == [1] * 10 + [2] * 50 + [1] * 10 + [0] and len(calls) == 4
