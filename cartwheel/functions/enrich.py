@@ -51,12 +51,10 @@ def anonymous_ip(ip: Column, octets: int = 1) -> Column:
 
 
 def ip_number(ip: Column) -> Column:
-    """IPv4 text as a number, null for anything else, octets above 255 included."""
-    parts = F.split(ip, r"\.")
-    octets = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i in range(4)]
-    good = ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$")
-    number = F.lit(0).cast("long")
-    for octet in octets:
-        good = good & (octet <= 255)
-        number = number * 256 + octet
-    return F.when(good, number)
+    """IPv4 text as a number, null for anything else, octets above 255 included.
+
+    The text occurs twice here: filters and join keys work out an expression anew wherever it occurs.
+    """
+    octet = lambda o: o.try_cast("long")
+    number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"), lambda n, o: n * 256 + F.when(octet(o) <= 255, octet(o)))
+    return F.when(ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), number)

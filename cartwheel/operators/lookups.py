@@ -1,7 +1,7 @@
 """Enrichments that join events with reference tables.
 
-No side is forced to be broadcast: the planner does so below its size threshold, and splits skewed
-partitions of the larger joins.
+No side is forced to be broadcast, but for address ranges that were counted to be few: the planner does so
+below its size threshold, and splits skewed partitions of the larger joins.
 """
 
 from __future__ import annotations
@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.enrich import ip_number
-from cartwheel.functions.timeline import micros, position
+from cartwheel.functions.timeline import BLOCK, block_of, micros, position
 from cartwheel.operators.matching import matches
-from cartwheel.operators.previous import with_previous
 
 
 def at_most_one(table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,21 +53,35 @@ def ip_ranges(table: DataFrame, cidr: str = "cidr") -> DataFrame:
     return table.select("*", start.alias("ip_from"), (start + size - 1).alias("ip_to"), F.when(known, length).alias("ip_length"))
 
 
-def ip_lookup(events: DataFrame, ip: str, table: DataFrame, fields: Sequence[str]) -> DataFrame:
+FEW_RANGES = 10_000
+
+
+def ip_lookup(events: DataFrame, ip: str, table: DataFrame, fields: Sequence[str], few: int = FEW_RANGES) -> DataFrame:
     """Fields of the narrowest range holding the event's address; what is no address or no range matches nothing.
 
-    Addresses are looked up once each. A range is its length and its leading bits, so an address has one
-    candidate per length that occurs (33 at most), and the search is an equality join.
+    A range is its length and its leading bits, so an address has one candidate per length that occurs (33 at
+    most), and the search is an equality join. Up to ``few`` ranges go to the events, one length after the
+    other, and events are not shuffled; with more, addresses are looked up once each.
     """
     ranges = ip_ranges(table).where(F.col("ip_from").isNotNull())
-    lengths = sorted(r["ip_length"] for r in ranges.select("ip_length").distinct().collect())
+    counts = {r["ip_length"]: r["count"] for r in ranges.groupBy("ip_length").count().collect()}
+    lengths = sorted(counts)
     bits = F.call_function("shiftright", F.col("ip_from"), 32 - F.col("ip_length"))
     ranges = ranges.select(*fields, "ip_length", bits.alias("_bits"))
     ranges = ranges.groupBy("ip_length", "_bits").agg(F.max(F.struct(*fields)).alias("_best"))
-    addresses = events.select(ip).distinct().withColumn("_n", ip_number(F.col(ip))).where(F.col("_n").isNotNull())
-    candidates = F.array(*[F.struct(F.lit(n).alias("l"), F.shiftright("_n", 32 - n).alias("b")) for n in lengths])
     if not lengths:
         return events.select("*", *[F.lit(None).cast(table.schema[f].dataType).alias(f) for f in fields])
+    if sum(counts.values()) <= few:
+        # never null, so no join adds a filter that would read the address again
+        found = events.withColumn("_n", F.coalesce(ip_number(F.col(ip)), F.lit(-1).cast("long")))
+        for n in lengths:
+            held = ranges.where(F.col("ip_length") == n).select(F.col("_bits").alias(f"_bits_{n}"), F.col("_best").alias(f"_best_{n}"))
+            found = found.join(F.broadcast(held), F.shiftright("_n", 32 - n) == F.col(f"_bits_{n}"), "left")
+        best = F.coalesce(*[F.col(f"_best_{n}") for n in reversed(lengths)])
+        kept = [ip, *[c for c in events.columns if c != ip]]
+        return found.select(*kept, best.alias("_m")).select(*kept, *[F.col(f"_m.{f}").alias(f) for f in fields])
+    addresses = events.select(ip).distinct().withColumn("_n", ip_number(F.col(ip))).where(F.col("_n").isNotNull())
+    candidates = F.array(*[F.struct(F.lit(n).alias("l"), F.shiftright("_n", 32 - n).alias("b")) for n in lengths])
     asked = addresses.select(ip, F.explode(candidates).alias("_c")).select(ip, F.col("_c.l").alias("ip_length"), F.col("_c.b").alias("_bits"))
     best = asked.join(ranges, ["ip_length", "_bits"]).groupBy(ip).agg(F.max(F.struct("ip_length", "_best")).alias("_m"))
     return events.join(best.select(ip, *[F.col(f"_m._best.{f}").alias(f) for f in fields]), ip, "left")
@@ -149,12 +162,30 @@ def convert_currency(
 
 
 def shopper_regions(events: DataFrame, key: str | Sequence[str], ts: str, region: str, block_seconds: int) -> DataFrame:
-    """Per key: the regions seen, and how often the region changed from one event to the next."""
+    """Per key: the regions seen, and how often the region changed from one event to the next.
+
+    Changes are counted inside blocks of ``block_seconds``, and between the last region of a block and the first
+    of the next, so a hot key spreads over as many tasks as it has blocks. Both read one exchange.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    rows = events.where(F.col(region).isNotNull()).select(*keys, "event_id", F.col(region).alias("_region"), position(ts).alias("pos"))
-    rows = with_previous(rows, keys, ["pos", "event_id", "_region"], micros(block_seconds))
-    changed = F.col("prev._region") != F.col("_region")
-    return rows.groupBy(*keys).agg(
-        F.array_sort(F.collect_set("_region")).alias("shopper_locations"),
-        F.count_if(changed).alias("shopper_region_changes"),
+    pos = position(ts)
+    block = block_of(pos, micros(block_seconds)).alias(BLOCK)
+    rows = events.where(F.col(region).isNotNull()).select(*keys, block, pos.alias("pos"), "event_id", F.col(region).alias("_region"))
+    here = Window.partitionBy(*keys, BLOCK).orderBy("pos", "event_id")
+    inside = rows.repartition(*keys, BLOCK).select(
+        *keys,
+        BLOCK,
+        "_region",
+        F.first("_region").over(here).alias("_first"),
+        F.lag("_region").over(here).alias("_before"),
+        F.lead("_region").over(here).isNull().alias("_tail"),
+    )
+    changed = lambda a, b: F.coalesce(a != b, F.lit(False)).cast("long").alias("_changes")
+    across = Window.partitionBy(*keys).orderBy(BLOCK)
+    ends = inside.where("_tail").select(*keys, "_region", changed(F.lag("_region").over(across), F.col("_first")))
+    counted = inside.select(*keys, "_region", changed(F.col("_before"), F.col("_region"))).unionByName(ends)
+    counted = counted.groupBy(*keys, "_region").agg(F.sum("_changes").alias("_changes"))
+    return counted.groupBy(*keys).agg(
+        F.array_sort(F.collect_list("_region")).alias("shopper_locations"),
+        F.sum("_changes").alias("shopper_region_changes"),
     )
