@@ -19,3 +19,12 @@ def list_text(a: Column) -> Column:
 
 def range_text(low: Column, high: Column) -> Column:
     return F.concat(low.cast("string"), F.lit("-"), high.cast("string"))
+
+
+# how text starts that Spark reads as a double; of ranges (``1.5-2.0``) the start would do
+_NUMBER_LIKE = r"(?is)^[\x00-\x20]*[+-]?(?:[0-9.](?!.*[0-9.]-)|nan|inf)"
+
+
+def number_of(text: Column) -> Column:
+    """Text as a double, null for other text. What cannot be one is not parsed: each failed parse costs an exception."""
+    return F.when(text.rlike(_NUMBER_LIKE), text.try_cast("double"))

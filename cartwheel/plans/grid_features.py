@@ -17,7 +17,7 @@ from cartwheel import schema
 from cartwheel.config import RollingWindow
 from cartwheel.functions.timeline import ceil_to, common_step, default_block, micros, position
 from cartwheel.operators.branches import updated_total
-from cartwheel.operators.rolling import MONEY, grid_times, last_time, pane_end, rolling_stats
+from cartwheel.operators.rolling import MONEY, last_time, pane_end
 from cartwheel.plans.event_features import average_order, pair_orders
 
 USER = ("user_id",)
@@ -35,52 +35,6 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _by_emit(windows: Sequence[RollingWindow]) -> list[list[RollingWindow]]:
-    """Windows with the same emit interval go through one shuffle together."""
-    emits = dict.fromkeys(w.emit_seconds for w in windows)
-    return [[w for w in windows if w.emit_seconds == e] for e in emits]
-
-
-def _in_reach(df: DataFrame, windows: Sequence[RollingWindow], pane: int, empty_rows: bool) -> DataFrame:
-    """Of the times asked for the largest window, those that matter to the row's own window."""
-    emit = micros(windows[0].emit_seconds)
-    duration = F.element_at(
-        F.create_map(*[F.lit(x) for w in windows for x in (w.label, micros(w.duration_seconds))]), F.col("window_size")
-    )
-    last = last_time(F.col("stamp"), pane, duration, emit)
-    return (
-        df.withColumn("empty", F.col("pos") > last)
-        .where(F.col("pos") <= last + (emit if empty_rows else 0))
-        .withColumn("emit_ts", F.timestamp_micros("pos"))
-    )
-
-
-def _asked_answers(
-    counted: DataFrame,
-    panes: DataFrame,
-    keys: Sequence[str],
-    windows: Sequence[RollingWindow],
-    carry: Sequence[str] = (),
-    empty_rows: bool = False,
-    **measures: Sequence[str],
-) -> DataFrame:
-    """Rolling answers over ``counted`` (with ``pos``) at the emit times that ``panes`` calls for."""
-    pane = pane_width(windows)
-    parts = []
-    for group in _by_emit(windows):
-        sizes = {w.label: w.duration_seconds for w in group}
-        largest, emit = micros(max(sizes.values())), micros(group[0].emit_seconds)
-        asks = grid_times(panes, keys, largest, emit, pane, carry, empty_rows)
-        rows = counted.select("*", F.lit(True).alias("counted"), F.lit(False).alias("asked")).unionByName(
-            asks.select("*", F.lit(False).alias("counted"), F.lit(True).alias("asked")), allowMissingColumns=True
-        )
-        if "upto" in counted.columns:
-            rows = rows.withColumn("upto", F.coalesce("upto", "pos"))
-        stats = rolling_stats(rows, keys, sizes, carry=[*carry, "stamp"], **measures)
-        parts.append(_in_reach(stats, group, pane, empty_rows))
-    return _union(parts)
-
-
 def _span(panes: DataFrame, window: RollingWindow, pane: int, stamp: str, upto: str) -> tuple[Column, Column]:
     """First and last emit time at which a window holds what came at ``stamp`` and stays as long as ``upto``."""
     emit = micros(window.emit_seconds)
@@ -97,6 +51,7 @@ def _stretches(
     firsts: Sequence[str] = (),
     lows: Sequence[str] = (),
     highs: Sequence[str] = (),
+    latest: Sequence[str] = (),
 ) -> DataFrame:
     """Per key and window the stretches of emit times (``_at`` to ``_until``) between changes, as long as the window holds
     a pane; with ``empty_rows`` also the first time after these, with ``empty`` set.
@@ -105,7 +60,8 @@ def _stretches(
     open; optionally ``upto`` (as in ``rolling_stats``) and ``since`` (``firsts`` count once the pane stamped so has left).
     What a window holds changes only where a pane enters or leaves, so each pane gives a few rows of changes; running
     totals over these give the values, and ``_filled`` gives a row to each emit time. Lowest and
-    highest values walk the panes of a window, whose number the window's length bounds.
+    highest values walk the panes of a window, whose number the window's length bounds. ``latest`` measures are
+    those of the newest pane, null ones too.
     """
     pane = pane_width(windows)
     upto = "upto" if "upto" in counted.columns else "stamp"
@@ -127,6 +83,8 @@ def _stretches(
                 (F.when(F.col("holds"), sign).otherwise(0) if row and change else F.lit(0)).cast("long").alias("_held"),
                 *[(signed(m) if m in summed else null(m)).alias(m) for m in totals],
                 *[(F.col(m) if not change else null(m)).alias(m) for m in [*lows, *highs]],
+                *([F.when(F.lit(row and sign > 0), F.col("stamp")).alias("_stamp")] if latest else []),
+                *[(F.col(m) if row and sign > 0 else null(m)).alias(m) for m in latest],
             ]
             return F.when(when, F.struct(*fields))
 
@@ -144,6 +102,8 @@ def _stretches(
         *[F.sum(m).alias(m) for m in totals],
         *[F.min(m).alias(m) for m in lows],
         *[F.max(m).alias(m) for m in highs],
+        *[F.max_by(m, "_stamp").alias(m) for m in latest],
+        *([F.max("_stamp").alias("_stamp")] if latest else []),
     )
     order = Window.partitionBy(*keys, "window_size").orderBy("_at")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -162,6 +122,7 @@ def _stretches(
         *[F.coalesce(F.sum(m).over(so_far), F.lit(0)).alias(m) for m in totals],
         *[inside(F.min, m).alias(m) for m in lows],
         *[inside(F.max, m).alias(m) for m in highs],
+        *[F.max_by(m, "_stamp").over(so_far).alias(m) for m in latest],
     ).where("_change")
     emit, empty = _emit(windows), F.col("_held") == 0
     # the last change of a key leaves its window empty, so every other row has a change ahead
@@ -169,7 +130,7 @@ def _stretches(
     if not empty_rows:
         ahead = ahead.where(~empty)
     until = F.when(F.col("empty"), F.col("_at")).otherwise(F.col("_ahead") - emit)
-    return ahead.withColumn("_until", until).where(F.col("_at") <= F.col("_until")).select(*keys, "window_size", "_at", "_until", "empty", *totals, *lows, *highs)
+    return ahead.withColumn("_until", until).where(F.col("_at") <= F.col("_until")).select(*keys, "window_size", "_at", "_until", "empty", *totals, *lows, *highs, *latest)
 
 
 def _emit(windows: Sequence[RollingWindow]) -> Column:
@@ -182,13 +143,24 @@ def _filled(stretches: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame
     return stretches.select("*", times).withColumn("emit_ts", F.timestamp_micros("_time")).drop("_time", "_at", "_until")
 
 
+def _times(windows: Sequence[RollingWindow]) -> Column:
+    """The emit times of a stretch, in a list."""
+    return F.transform(F.sequence("_at", "_until", _emit(windows)), F.timestamp_micros).alias("emit_ts")
+
+
+def spread(held: DataFrame) -> DataFrame:
+    """A row per time, of rows that list the times (``emit_ts``) at which they hold."""
+    return held.withColumn("emit_ts", F.explode("emit_ts"))
+
+
 EMITS_TOGETHER = 8
 
 
 def _together(stretches: DataFrame, item: str, measures: Sequence[str], windows: Sequence[RollingWindow]) -> DataFrame:
-    """Per user, window and emit time the ``items`` the window holds, in their order, each with its measures.
+    """Per user and window the stretches of emit times (``_at`` to ``_until``) in which the window holds the same
+    ``items``, given in their order, each with its measures.
 
-    A user's stretches are gathered once per few emit times; each of these then picks its own.
+    A user's stretches are gathered once per few emit times and cut wherever one of them begins or ends.
     """
     span = F.col("_span")
     piece = F.struct(item, "_at", "_until", "empty", *measures)
@@ -197,10 +169,15 @@ def _together(stretches: DataFrame, item: str, measures: Sequence[str], windows:
     gathered = pieces.groupBy("user_id", "window_size", "_span", "_block").agg(F.array_sort(F.collect_list("_p")).alias("_all"))
     begin = F.greatest(F.array_min(F.transform("_all", lambda p: p["_at"])), F.col("_block") * span)
     end = F.least(F.array_max(F.transform("_all", lambda p: p["_until"])), (F.col("_block") + 1) * span - _emit(windows))
-    timed = gathered.select("user_id", "window_size", "_all", F.explode(F.sequence(begin, end, _emit(windows))).alias("_time"))
-    here = F.filter("_all", lambda p: (p["_at"] <= F.col("_time")) & (p["_until"] >= F.col("_time")))
-    timed = timed.select("user_id", "window_size", F.timestamp_micros("_time").alias("emit_ts"), here.alias("_here")).where(F.size("_here") > 0)
-    return timed.select("user_id", "window_size", "emit_ts", F.filter("_here", lambda p: ~p["empty"]).alias("items"))
+    begins, ends = F.transform("_all", lambda p: p["_at"]), F.transform("_all", lambda p: p["_until"] + F.col("_step"))
+    bounded = gathered.select("user_id", "window_size", "_all", begin.alias("_begin"), end.alias("_end"), _emit(windows).alias("_step"))
+    cuts = F.filter(F.concat(begins, ends), lambda t: (t > F.col("_begin")) & (t <= F.col("_end")))
+    bounded = bounded.select("user_id", "window_size", "_all", "_step", F.array_sort(F.array_distinct(F.concat(F.array("_begin"), cuts, F.array(F.col("_end") + F.col("_step"))))).alias("_cuts"))
+    here = lambda t: F.filter("_all", lambda p: (p["_at"] <= t) & (p["_until"] >= t))
+    until = lambda k: F.get("_cuts", k + 1) - F.col("_step")
+    held = F.transform(F.slice("_cuts", F.lit(1), F.size("_cuts") - 1), lambda t, k: F.struct(t.alias("_at"), until(k).alias("_until"), here(t).alias("_here")))
+    timed = bounded.select("user_id", "window_size", F.explode(held).alias("_s")).select("user_id", "window_size", "_s.*").where(F.size("_here") > 0)
+    return timed.select("user_id", "window_size", "_at", "_until", F.filter("_here", lambda p: ~p["empty"]).alias("items"))
 
 
 def _views(item: str) -> Column:
@@ -251,13 +228,17 @@ def _viewed(item: str) -> Column:
 
 
 def product_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    return spread(product_held(views, windows, empty_rows))
+
+
+def product_held(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
     rows = _together(_product_stretches(views, windows, empty_rows), "product_id", PRODUCT_MEASURES, windows)
     total = F.aggregate("items", F.lit(0).cast(MONEY), lambda a, p: (a + p["first_price"]).cast(MONEY))
     some, zero = F.size("items") > 0, F.lit(0.0)
     each = lambda name: F.transform("items", lambda p: p[name])
     return rows.select(
         "user_id",
-        "emit_ts",
+        _times(windows),
         "window_size",
         F.size("items").cast("long").alias("unique_product_count"),
         F.when(some, total.cast("double") / F.nullif(F.size("items"), F.lit(0))).otherwise(zero).alias("average_price"),
@@ -316,11 +297,15 @@ def _category_stretches(views: DataFrame, windows: Sequence[RollingWindow], empt
 
 
 def category_grid(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    return spread(category_held(views, windows, empty_rows))
+
+
+def category_held(views: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
     rows = _together(_category_stretches(views, windows, empty_rows), "category", ["n"], windows)
     most = F.array_min(F.transform("items", lambda p: F.struct((-p["n"]).alias("n"), p["category"].alias("category"))))
     return rows.select(
         "user_id",
-        "emit_ts",
+        _times(windows),
         "window_size",
         F.size("items").cast("long").alias("unique_category_count"),
         most["category"].alias("most_viewed_category"),
@@ -339,18 +324,21 @@ def summarise_categories(items: DataFrame, time: str) -> DataFrame:
 
 
 def cart_grid(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    return spread(cart_held(carts, windows, empty_rows))
+
+
+def cart_held(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
     value = updated_total("event_type", "previous_price", "product_price").alias("cart_value")
     panes = carts.groupBy("user_id", _stamp(windows)).agg(
         F.count_if(F.col("event_type") == schema.ADD).alias("adds"),
         F.count_if(F.col("event_type") == schema.REMOVE).alias("removes"),
         F.max(F.struct("ts", "event_id", value)).alias("newest"),
     )
-    counted = panes.select("user_id", F.col("stamp").alias("pos"), "adds", "removes")
-    asking = panes.select("user_id", "stamp", "newest.cart_value")
-    out = _asked_answers(counted, asking, USER, windows, ["cart_value"], empty_rows, sums=["adds", "removes"])
+    counted = panes.repartition("user_id").select("user_id", "stamp", F.lit(True).alias("holds"), "adds", "removes", "newest.cart_value")
+    out = _stretches(counted, USER, windows, empty_rows, sums=["adds", "removes"], latest=["cart_value"])
     return out.select(
         "user_id",
-        "emit_ts",
+        _times(windows),
         "window_size",
         "adds",
         "removes",
@@ -360,6 +348,10 @@ def cart_grid(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bo
 
 
 def purchase_grid(purchases: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    return spread(purchase_held(purchases, windows, empty_rows))
+
+
+def purchase_held(purchases: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
     width = pane_width(windows)
     orders = pair_orders(purchases, default_block([micros(w.duration_seconds) for w in windows]))
     counted = orders.groupBy(
@@ -376,10 +368,10 @@ def purchase_grid(purchases: DataFrame, windows: Sequence[RollingWindow], empty_
             "user_id", "stamp", F.col("stamp").alias("upto"), *[F.lit(0).cast(counted.schema[m].dataType).alias(m) for m in ("orders_count", "order_total")], F.lit(True).alias("holds")
         ),
     ])
-    out = _filled(_stretches(rows.repartition("user_id"), USER, windows, empty_rows, sums=["orders_count", "order_total"]), windows)
+    out = _stretches(rows.repartition("user_id"), USER, windows, empty_rows, sums=["orders_count", "order_total"])
     return out.select(
         "user_id",
-        "emit_ts",
+        _times(windows),
         "window_size",
         "orders_count",
         F.col("order_total").cast("double").alias("order_value"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cartwheel import schema
 from cartwheel.config import RollingWindow
 from cartwheel.functions import enrich
+from cartwheel.functions.text import number_of
 from cartwheel.operators import agents, branches, canonical, lookups, sessions
 from cartwheel.operators.repeats import without_repeats
 from cartwheel.operators.reshape import reshape
@@ -364,15 +365,17 @@ def session_custom(spark, sf):
 
 
 def _all_metrics(spark, sf):
+    """Metric rows, each with the list of the times (``emit_ts``) at which it holds."""
     events = shop(spark, sf)
     grids = {
-        "product": by_grid.product_grid(branches.product_views(events), WINDOWS),
-        "category": by_grid.category_grid(branches.category_views(events), WINDOWS),
-        "cart": by_grid.cart_grid(branches.cart_events(events), WINDOWS),
-        "purchase": by_grid.purchase_grid(branches.purchase_events(events), WINDOWS),
+        "product": by_grid.product_held(branches.product_views(events), WINDOWS),
+        "category": by_grid.category_held(branches.category_views(events), WINDOWS),
+        "cart": by_grid.cart_held(branches.cart_events(events), WINDOWS),
+        "purchase": by_grid.purchase_held(branches.purchase_events(events), WINDOWS),
     }
     parts = [user_metrics(df, name, TTLS) for name, df in grids.items()]
-    parts.append(session_metrics(by_session.shop_sessions(branches.session_events(events), GAP), SESSION_TTL))
+    closed = session_metrics(by_session.shop_sessions(branches.session_events(events), GAP), SESSION_TTL)
+    parts.append(closed.withColumn("emit_ts", F.array("emit_ts")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -381,14 +384,15 @@ def _all_metrics(spark, sf):
 
 def metric_long(spark, sf):
     """Numbers rounded, so that engines agree on their text; other values as they are."""
-    number = F.expr("try_cast(value as double)")
-    return _all_metrics(spark, sf).select(
+    number = number_of(F.col("value"))
+    held = _all_metrics(spark, sf).select(
         "name",
         "emit_ts",
         "ttl_seconds",
         F.round(number, 4).alias("number"),
         F.when(number.isNull(), F.col("value")).alias("words"),
     )
+    return by_grid.spread(held)
 
 
 def _cart_metrics(spark, sf):
