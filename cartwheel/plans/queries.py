@@ -396,8 +396,8 @@ def metric_long(spark, sf):
 
 
 def _cart_metrics(spark, sf):
-    carts = by_grid.cart_grid(branches.cart_events(shop(spark, sf)), WINDOWS)
-    return user_metrics(carts, "cart", TTLS)
+    carts = by_grid.cart_held(branches.cart_events(shop(spark, sf)), WINDOWS)
+    return by_grid.spread(user_metrics(carts, "cart", TTLS))
 
 
 def _store(spark, sf):

@@ -38,3 +38,17 @@ def test_a_value_is_worked_out_once_for_the_times_at_which_it_holds(spark):
     # an unknown newest value is not replaced by an older one
     held = grid_features.cart_held(carts.where("event_id <> 'e3'"), windows).orderBy(F.col("emit_ts")[0]).collect()
     assert [r.cart_value for r in held] == [11.0, None, None, None]
+
+
+def test_stored_cart_metrics_need_no_join_and_are_spread_last(spark):
+    from cartwheel.plans import queries
+    from tests.conftest import DATA
+
+    df = queries._cart_metrics(spark, str(DATA / "sf0.001"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    # the times are spread after the metrics' texts are there
+    lines = plan.splitlines()
+    spread, texts = (next(i for i, line in enumerate(lines) if f"Generate explode({what}" in line) for what in ("emit_ts", "array(struct"))
+    assert spread < texts
+    assert df.columns == ["name", "value", "ttl_seconds", "emit_ts"]
