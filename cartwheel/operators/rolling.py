@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.timeline import (
     BLOCK,
     block_of,
+    ceil_to,
     default_block,
     floor_to,
     micros,
@@ -199,6 +200,30 @@ def last_time(stamp: Column, pane: int, duration: Column | int, emit: int) -> Co
     return floor_to(stamp + 1 - pane + duration, emit)
 
 
+def grid_times(
+    panes: DataFrame,
+    keys: Sequence[str],
+    duration: int,
+    emit: int,
+    pane: int,
+    carry: Sequence[str] = (),
+    empty_rows: bool = False,
+) -> DataFrame:
+    """Emit times (column ``pos``) at which a window over ``panes`` is not empty, each exactly once.
+
+    ``panes`` has one row per (keys, ``stamp``), with ``pane_end`` as the stamp. Every pane row gives the
+    times from its own first one up to the next pane's first one, so ``stamp`` and ``carry`` belong to the
+    newest pane in the window. With ``empty_rows`` the first empty time after each stretch is added.
+    Arguments are in microseconds. A key has at most one row per pane here, so its window stays small.
+    """
+    ahead = F.lead("_first").over(Window.partitionBy(*keys).orderBy("stamp"))
+    timed = panes.withColumn("_first", ceil_to(F.col("stamp") + 1, emit)).withColumn("_ahead", ahead)
+    stop = last_time(F.col("stamp"), pane, duration, emit) + (emit if empty_rows else 0)
+    stop = F.least(stop, F.col("_ahead") - emit)
+    times = F.when(F.col("_first") <= stop, F.sequence(F.col("_first"), stop, F.lit(emit)))
+    return timed.select(*keys, *carry, "stamp", F.explode(times).alias("pos"))
+
+
 def rolling_features(
     df: DataFrame,
     keys: Sequence[str],

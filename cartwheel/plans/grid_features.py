@@ -17,7 +17,7 @@ from cartwheel import schema
 from cartwheel.config import RollingWindow
 from cartwheel.functions.timeline import ceil_to, common_step, default_block, micros, position
 from cartwheel.operators.branches import updated_total
-from cartwheel.operators.rolling import MONEY, last_time, pane_end
+from cartwheel.operators.rolling import MONEY, grid_times, last_time, pane_end, rolling_stats
 from cartwheel.plans.event_features import average_order, pair_orders
 
 USER = ("user_id",)
@@ -35,6 +35,52 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _by_emit(windows: Sequence[RollingWindow]) -> list[list[RollingWindow]]:
+    """Windows with the same emit interval go through one shuffle together."""
+    emits = dict.fromkeys(w.emit_seconds for w in windows)
+    return [[w for w in windows if w.emit_seconds == e] for e in emits]
+
+
+def _in_reach(df: DataFrame, windows: Sequence[RollingWindow], pane: int, empty_rows: bool) -> DataFrame:
+    """Of the times asked for the largest window, those that matter to the row's own window."""
+    emit = micros(windows[0].emit_seconds)
+    duration = F.element_at(
+        F.create_map(*[F.lit(x) for w in windows for x in (w.label, micros(w.duration_seconds))]), F.col("window_size")
+    )
+    last = last_time(F.col("stamp"), pane, duration, emit)
+    return (
+        df.withColumn("empty", F.col("pos") > last)
+        .where(F.col("pos") <= last + (emit if empty_rows else 0))
+        .withColumn("emit_ts", F.timestamp_micros("pos"))
+    )
+
+
+def _asked_answers(
+    counted: DataFrame,
+    panes: DataFrame,
+    keys: Sequence[str],
+    windows: Sequence[RollingWindow],
+    carry: Sequence[str] = (),
+    empty_rows: bool = False,
+    **measures: Sequence[str],
+) -> DataFrame:
+    """Rolling answers over ``counted`` (with ``pos``) at the emit times that ``panes`` calls for."""
+    pane = pane_width(windows)
+    parts = []
+    for group in _by_emit(windows):
+        sizes = {w.label: w.duration_seconds for w in group}
+        largest, emit = micros(max(sizes.values())), micros(group[0].emit_seconds)
+        asks = grid_times(panes, keys, largest, emit, pane, carry, empty_rows)
+        rows = counted.select("*", F.lit(True).alias("counted"), F.lit(False).alias("asked")).unionByName(
+            asks.select("*", F.lit(False).alias("counted"), F.lit(True).alias("asked")), allowMissingColumns=True
+        )
+        if "upto" in counted.columns:
+            rows = rows.withColumn("upto", F.coalesce("upto", "pos"))
+        stats = rolling_stats(rows, keys, sizes, carry=[*carry, "stamp"], **measures)
+        parts.append(_in_reach(stats, group, pane, empty_rows))
+    return _union(parts)
+
+
 def _span(panes: DataFrame, window: RollingWindow, pane: int, stamp: str, upto: str) -> tuple[Column, Column]:
     """First and last emit time at which a window holds what came at ``stamp`` and stays as long as ``upto``."""
     emit = micros(window.emit_seconds)
@@ -323,17 +369,34 @@ def summarise_categories(items: DataFrame, time: str) -> DataFrame:
     )
 
 
-def cart_grid(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
-    return spread(cart_held(carts, windows, empty_rows))
-
-
-def cart_held(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+def _cart_panes(carts: DataFrame, windows: Sequence[RollingWindow]) -> DataFrame:
     value = updated_total("event_type", "previous_price", "product_price").alias("cart_value")
-    panes = carts.groupBy("user_id", _stamp(windows)).agg(
+    return carts.groupBy("user_id", _stamp(windows)).agg(
         F.count_if(F.col("event_type") == schema.ADD).alias("adds"),
         F.count_if(F.col("event_type") == schema.REMOVE).alias("removes"),
         F.max(F.struct("ts", "event_id", value)).alias("newest"),
     )
+
+
+def cart_grid(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    panes = _cart_panes(carts, windows)
+    counted = panes.select("user_id", F.col("stamp").alias("pos"), "adds", "removes")
+    asking = panes.select("user_id", "stamp", "newest.cart_value")
+    out = _asked_answers(counted, asking, USER, windows, ["cart_value"], empty_rows, sums=["adds", "removes"])
+    return out.select(
+        "user_id",
+        "emit_ts",
+        "window_size",
+        "adds",
+        "removes",
+        (F.col("adds") + F.col("removes")).alias("update_frequency"),
+        F.when(~F.col("empty"), F.col("cart_value")).alias("cart_value"),
+    )
+
+
+def cart_held(carts: DataFrame, windows: Sequence[RollingWindow], empty_rows: bool = True) -> DataFrame:
+    """The rows of ``cart_grid`` with the list of the times at which they hold; carts go through changes here."""
+    panes = _cart_panes(carts, windows)
     counted = panes.repartition("user_id").select("user_id", "stamp", F.lit(True).alias("holds"), "adds", "removes", "newest.cart_value")
     out = _stretches(counted, USER, windows, empty_rows, sums=["adds", "removes"], latest=["cart_value"])
     return out.select(
